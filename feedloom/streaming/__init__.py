@@ -1,0 +1 @@
+"""Deliberately empty: every phase of this library reads finished tables."""

@@ -51,6 +51,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all cores for a table that is stored in fewer files than there are cores.
+
+    A cluster-sized table has more files than cores and is left as it is.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+
+
 def product_name() -> Column:
     return F.concat("p_name", F.lit(" "), (F.col("p_partkey") % 20).cast("string"))
 
@@ -119,7 +128,7 @@ def reviews_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def reviews_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as a raw review; `lang` is the known language."""
-    documents = table(spark, sf_dir, "documents")
+    documents = spread(table(spark, sf_dir, "documents"))
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     parts = table(spark, sf_dir, "part")
     doc = F.col("doc_id")

@@ -129,13 +129,15 @@ def brand_sentiment_pivot(df: DataFrame) -> DataFrame:
     )
 
 
-def theme_category_pivot(df: DataFrame, categories) -> DataFrame:
-    """Reviews per theme, one column per category."""
-    return (
-        measures(df)
-        .groupBy("primary_theme")
-        .agg(*[n_where(F.col("category") == c).alias(c) for c in categories])
-    )
+def theme_category_pivot(df: DataFrame, categories=None) -> DataFrame:
+    """Reviews per theme, one column per category.
+
+    Without a list of categories they are found first, from the small table of
+    theme and category counts.
+    """
+    counts = measures(df).groupBy("primary_theme", "category").agg(F.sum("n_reviews").alias("n"))
+    wide = counts.groupBy("primary_theme").pivot("category", categories)
+    return wide.agg(F.sum("n")).na.fill(0)
 
 
 def star_join(fact: DataFrame, brands: DataFrame, categories: DataFrame, dates: DataFrame) -> DataFrame:

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -16,39 +14,53 @@ def _rate(part: str, whole: str) -> Column:
     return F.coalesce(ratio(F.col(part), F.greatest(F.col(whole), F.lit(1))), F.lit(0.0))
 
 
-def _phrase_rows(df: DataFrame) -> DataFrame:
-    """One row per key phrase with whether the text supports it.
+def _total(values: Column) -> Column:
+    return F.coalesce(F.sum(values), F.lit(0)).cast("long")
+
+
+def _phrase_found(phrase: Column, low: Column) -> Column:
+    """The phrase, or at least 70 percent of its words, occurs in the text."""
+    tokens = words(F.lower(phrase))
+    found = F.size(F.filter(tokens, lambda w: low.contains(w)))
+    share = ratio(found, F.greatest(F.size(tokens), F.lit(1)))
+    return low.contains(F.lower(phrase)) | (share >= 0.7)
+
+
+def _feature_found(feature: Column, low: Column) -> Column:
+    """The feature, or any one of its words, occurs in the text."""
+    return low.contains(F.lower(feature)) | F.exists(
+        words(F.lower(feature)), lambda w: low.contains(w)
+    )
 
-    A phrase counts as grounded if it occurs in the text or at least 70 percent of
-    its words do. The check runs inside the review's row, before anything is
-    exploded, so texts are not copied.
-    """
-    low = F.lower("review_text")
 
-    def grounded(phrase: Column) -> Column:
-        tokens = words(F.lower(phrase))
-        found = F.size(F.filter(tokens, lambda w: low.contains(w)))
-        share = ratio(found, F.greatest(F.size(tokens), F.lit(1)))
-        return low.contains(F.lower(phrase)) | (share >= 0.7)
+def _counts(df: DataFrame) -> DataFrame:
+    """Per review, how many phrases and features it has and how many are grounded.
 
-    return df.select(
-        "review_id",
-        F.posexplode(
-            F.transform(
-                "key_phrases", lambda p: F.struct(p.alias("phrase"), grounded(p).alias("grounded"))
-            )
-        ).alias("position", "entry"),
-        snippet(F.col("review_text"), 200).alias("text_snippet"),
-    ).select("review_id", "position", "entry.phrase", "entry.grounded", "text_snippet")
+    Everything is counted inside the row, so texts are neither copied nor shuffled.
+    """
+    low = F.lower("review_text")
+    none = F.lit(0)
+    return df.withColumns(
+        {
+            "_phrases": F.coalesce(F.size("key_phrases"), none),
+            "_phrases_found": F.coalesce(
+                F.size(F.filter("key_phrases", lambda p: _phrase_found(p, low))), none
+            ),
+            "_features": F.coalesce(F.size("features_mentioned"), none),
+            "_features_found": F.coalesce(
+                F.size(F.filter("features_mentioned", lambda f: _feature_found(f, low))), none
+            ),
+        }
+    )
 
 
 def phrase_grounding(df: DataFrame) -> DataFrame:
     """Totals and grounding rate of the key phrases."""
     return (
-        _phrase_rows(df)
+        _counts(df)
         .agg(
-            F.count(F.lit(1)).alias("total_phrases"),
-            F.coalesce(F.sum(F.col("grounded").cast("long")), F.lit(0)).alias("grounded"),
+            _total(F.col("_phrases")).alias("total_phrases"),
+            _total(F.col("_phrases_found")).alias("grounded"),
         )
         .withColumn("hallucinated", F.col("total_phrases") - F.col("grounded"))
         .withColumn("rate", _rate("grounded", "total_phrases"))
@@ -59,32 +71,31 @@ def phrase_grounding(df: DataFrame) -> DataFrame:
 
 
 def ungrounded_examples(df: DataFrame, n: int = 10) -> DataFrame:
+    """The first phrases that are not grounded."""
+    low = F.lower("review_text")
+    missing = F.filter(
+        F.transform("key_phrases", lambda p, i: F.struct(i.alias("position"), p.alias("phrase"))),
+        lambda e: ~_phrase_found(e["phrase"], low),
+    )
     return (
-        _phrase_rows(df)
-        .filter(~F.col("grounded"))
-        .orderBy("review_id", "position")
+        df.select(
+            "review_id",
+            F.explode(missing).alias("entry"),
+            snippet(F.col("review_text"), 200).alias("text_snippet"),
+        )
+        .orderBy("review_id", "entry.position")
         .limit(n)
-        .select("review_id", "phrase", "text_snippet")
+        .select("review_id", "entry.phrase", "text_snippet")
     )
 
 
 def feature_grounding(df: DataFrame) -> DataFrame:
-    """A feature is grounded if it or any one of its words occurs in the text."""
-    low = F.lower("review_text")
-
-    def grounded(feature: Column) -> Column:
-        return low.contains(F.lower(feature)) | F.exists(
-            words(F.lower(feature)), lambda w: low.contains(w)
-        )
-
+    """Totals and grounding rate of the features."""
     return (
-        df.select(
-            F.coalesce(F.size("features_mentioned"), F.lit(0)).alias("n"),
-            F.size(F.filter("features_mentioned", grounded)).alias("found"),
-        )
+        _counts(df)
         .agg(
-            F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
-            F.coalesce(F.sum(F.when(F.col("n") > 0, F.col("found"))), F.lit(0)).alias("grounded"),
+            _total(F.col("_features")).alias("total"),
+            _total(F.col("_features_found")).alias("grounded"),
         )
         .withColumn("_rate", _rate("grounded", "total"))
         .withColumn("status", verdict(F.col("_rate"), 0.85))
@@ -167,18 +178,43 @@ def coverage(df: DataFrame) -> DataFrame:
 
 
 def quality_checks(df: DataFrame) -> DataFrame:
-    """Long table of every check with its rate and verdict."""
-    parts = [
-        phrase_grounding(df).select(
-            F.lit("phrase_grounding").alias("check"), F.col("grounding_rate").alias("rate"), "status"
+    """Long table of every check with its rate and verdict, from one pass."""
+    n = F.count(F.lit(1))
+    levels = range(1, 6)
+
+    def share(part: Column, whole: Column) -> Column:
+        return F.coalesce(ratio(part, F.greatest(whole, F.lit(1))), F.lit(0.0))
+
+    sums = _counts(df).agg(
+        share(_total(F.col("_phrases_found")), _total(F.col("_phrases"))).alias("phrases"),
+        share(_total(F.col("_features_found")), _total(F.col("_features"))).alias("features"),
+        share(
+            _total(is_aligned(F.col("rating"), F.col("sentiment")).cast("long")), n
+        ).alias("alignment"),
+        F.greatest(
+            *[
+                round_even(share(_total((F.col("severity") == k).cast("long")), n), 3)
+                for k in levels
+            ]
+        ).alias("severity"),
+    )
+    rows = [
+        ("phrase_grounding", F.col("phrases"), verdict(F.col("phrases"), 0.90, 0.80)),
+        ("feature_grounding", F.col("features"), verdict(F.col("features"), 0.85)),
+        ("rating_alignment", F.col("alignment"), verdict(F.col("alignment"), 0.75)),
+        (
+            "severity_concentration",
+            F.col("severity"),
+            F.when(F.col("severity") < 0.6, "PASS").otherwise("WARN"),
         ),
-        feature_grounding(df).select(F.lit("feature_grounding").alias("check"), "rate", "status"),
-        rating_alignment(df).select(F.lit("rating_alignment").alias("check"), "rate", "status"),
-        severity_distribution(df)
-        .agg(F.max("max_concentration").alias("rate"), F.max("status").alias("status"))
-        .select(F.lit("severity_concentration").alias("check"), "rate", "status"),
     ]
-    return reduce(DataFrame.unionByName, parts)
+    entries = F.array(
+        *[
+            F.struct(F.lit(c).alias("check"), round_even(r, 4).alias("rate"), s.alias("status"))
+            for c, r, s in rows
+        ]
+    )
+    return sums.select(F.explode(entries).alias("row")).select("row.*")
 
 
 def quality_issues(df: DataFrame) -> DataFrame:

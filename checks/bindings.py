@@ -157,3 +157,208 @@ def reviews_text(spark: SparkSession, sf_dir: str) -> DataFrame:
             "lang",
         )
     )
+
+
+# --- Landing records ----------------------------------------------------------
+
+FORUMS = {"economy": ["f0", "f1"], "small": ["f1", "f2"], "promo": ["f3"]}
+
+
+def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every part as a product."""
+    return table(spark, sf_dir, "part").select(
+        F.lower("p_type").alias("category"),
+        F.col("p_brand").alias("brand"),
+        F.col("p_partkey").cast("string").alias("product_id"),
+        product_name().alias("product_name"),
+    )
+
+
+def nested_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The catalogue as one nested map."""
+    product = F.struct(F.col("product_id").alias("asin"), F.col("product_name").alias("name"))
+    return (
+        catalog(spark, sf_dir)
+        .groupBy("category", "brand")
+        .agg(F.collect_list(product).alias("products"))
+        .groupBy("category")
+        .agg(F.map_from_entries(F.collect_list(F.struct("brand", "products"))).alias("brands"))
+        .agg(F.map_from_entries(F.collect_list(F.struct("category", "brands"))).alias("catalog"))
+    )
+
+
+def items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document as a marketplace item with gaps and dates in many formats."""
+    doc = F.col("doc_id")
+    day = F.date_add(F.lit("2024-01-01").cast("date"), (doc % 365).cast("int"))
+    kind = doc % 6
+    date = (
+        F.when(kind == 0, F.date_format(day, "MMMM d, yyyy"))
+        .when(kind == 1, F.date_format(day, "yyyy-MM-dd"))
+        .when(kind == 2, F.date_format(day, "MM/dd/yyyy"))
+        .when(kind == 3, F.date_format(day, "d MMMM yyyy"))
+        .when(kind == 4, F.concat(F.lit(" \n"), F.date_format(day, "yyyy-MM-dd"), F.lit("\t ")))
+        .otherwise("soon")
+    )
+    text = F.col("text")
+    return spread(table(spark, sf_dir, "documents")).select(
+        (doc % 200).cast("string").alias("asin"),
+        doc.alias("id"),
+        F.when(doc % 9 != 0, (doc % 5 + 1).cast("double")).alias("rating"),
+        F.when(doc % 10 != 0, F.substring(text, 1, 40)).alias("title"),
+        F.when(doc % 4 != 0, text).alias("text"),
+        F.when(doc % 8 != 0, F.concat(F.lit("R:"), text)).alias("review"),
+        date.alias("date"),
+        F.when(doc % 3 != 0, doc % 2 == 0).alias("isVerified"),
+        F.when(doc % 7 != 0, doc % 50).alias("helpfulVotes"),
+        F.when(doc % 2 == 0, F.col("source")).alias("userName"),
+        F.when(doc % 5 == 0, F.concat(F.lit("https://shop.example/"), doc.cast("string"))).alias("url"),
+    )
+
+
+def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The first turn of every conversation as a forum post."""
+    conv = F.col("conv_id")
+    return table(spark, sf_dir, "conversations").filter("turn = 0").select(
+        conv.cast("string").alias("id"),
+        F.concat(F.lit("f"), (conv % 5).cast("string")).alias("forum"),
+        F.when(conv % 2 == 0, "economy").otherwise("small").alias("category"),
+        F.substring("text", 1, 120).alias("title"),
+        F.when(conv % 10 != 0, F.col("text")).alias("selftext"),
+        (F.lit(1704067200) + conv * 7200).alias("created_utc"),
+        (conv % 100).alias("score"),
+        F.col("role").alias("author"),
+        F.concat(F.lit("/r/f/"), conv.cast("string")).alias("permalink"),
+    )
+
+
+def comments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Later turns as comments of the post."""
+    conv = F.col("conv_id")
+    key = F.concat_ws("_", conv, "turn")
+    return table(spark, sf_dir, "conversations").filter("turn > 0").select(
+        conv.cast("string").alias("post_id"),
+        (F.col("turn") - 1).cast("int").alias("position"),
+        key.alias("id"),
+        F.col("text").alias("body"),
+        (F.lit(1704067200) + conv * 7200 + F.col("turn") * 60).alias("created_utc"),
+        (F.col("turn") * 3).alias("score"),
+        F.col("role").alias("author"),
+        F.concat(F.lit("/r/f/"), key).alias("permalink"),
+    )
+
+
+def unchecked(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Raw reviews of which some break the schema."""
+    doc = F.col("doc_id")
+    return reviews_text(spark, sf_dir).withColumns(
+        {
+            "rating": F.when(doc % 6 == 0, F.col("rating") + 1).when(
+                doc % 13 != 0, F.col("rating")
+            ),
+            "source": F.when(doc % 8 == 0, "blog").otherwise(F.col("source")),
+            "brand": F.when(doc % 9 != 0, F.col("brand")),
+            "title": F.when(doc % 10 != 0, F.col("title")),
+            "helpful_votes": F.when(doc % 3 != 0, F.col("helpful_votes")),
+        }
+    )
+
+
+# --- Model traffic ------------------------------------------------------------
+
+
+def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An answer of a model for every document: clean, wrapped, broken or odd."""
+    doc = F.col("doc_id")
+    theme = F.element_at(F.array(*[F.lit(t) for t in THEMES + ["weather"]]), (doc % 16 + 1).cast("int"))
+    mood = F.element_at(
+        F.array(*[F.lit(s) for s in ("positive", "negative", "mixed", "neutral", "angry")]),
+        (doc % 5 + 1).cast("int"),
+    )
+    severity = (
+        F.when(doc % 7 == 0, '"9"')
+        .when(doc % 7 == 1, "null")
+        .when(doc % 7 == 2, "3.7")
+        .when(doc % 7 == 3, '"high"')
+        .otherwise((doc % 9 - 1).cast("string"))
+    )
+    confidence = F.when(doc % 10 == 0, "1.5").otherwise(
+        F.concat(F.lit("0."), (doc % 90 + 10).cast("string"))
+    )
+    second = F.when(doc % 3 == 0, '["noise", "weather"]').otherwise("[]")
+    optional = F.when(
+        doc % 2 == 0,
+        F.concat(
+            F.lit(', "key_phrases": ["n '), doc.cast("string"),
+            F.lit('", "m"], "has_actionable_signal": true, "actionable_detail": "d'),
+            doc.cast("string"), F.lit('"'),
+        ),
+    ).otherwise("")
+    body = F.concat(
+        F.lit('{"primary_theme": "'), theme, F.lit('", "secondary_themes": '), second,
+        F.lit(', "sentiment": "'), mood, F.lit('", "sentiment_confidence": '), confidence,
+        F.when(doc % 11 != 0, F.concat(F.lit(', "severity": '), severity)).otherwise(""),
+        optional, F.lit("}"),
+    )
+    kind = doc % 8
+    raw = (
+        F.when(kind == 0, F.concat(F.lit("Here it is: "), body, F.lit("\nDone.")))
+        .when(kind == 1, F.substring(body, 1, 30))
+        .when(kind == 2, "no answer")
+        .otherwise(body)
+    )
+    return spread(table(spark, sf_dir, "documents")).select(
+        doc.cast("string").alias("review_id"), raw.alias("response")
+    )
+
+
+def calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every event as a logged model call."""
+    event = F.col("event_id")
+    return table(spark, sf_dir, "events").select(
+        event.alias("call_id"),
+        F.element_at(F.array(F.lit("base"), F.lit("strong"), F.lit("other")), (event % 3 + 1).cast("int")).alias("model"),
+        (F.lit(200) + F.col("user_id") % 1000).alias("input_tokens"),
+        (F.lit(50) + event % 250).alias("output_tokens"),
+    )
+
+
+def two_passes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Labels of the order lines and a second opinion that sometimes differs."""
+    lines = reviews_fact(spark, sf_dir).select(
+        "review_id", "primary_theme", "sentiment", "severity", "helpful_votes"
+    )
+    votes = F.col("helpful_votes")
+    first = lines.withColumns(
+        {
+            "sentiment": F.when(votes != 7, F.col("sentiment")),
+            "severity": F.when(votes != 8, F.col("severity")),
+        }
+    )
+    second = first.withColumns(
+        {
+            "primary_theme": F.when(votes % 10 == 0, "safety").otherwise(F.col("primary_theme")),
+            "sentiment": F.when(votes % 4 == 0, "neutral").otherwise(F.col("sentiment")),
+            "severity": F.when(votes % 3 == 0, F.col("severity") + 1)
+            .when(votes % 3 == 1, F.col("severity") + 2)
+            .otherwise(F.col("severity")),
+        }
+    )
+    return first.drop("helpful_votes"), second.drop("helpful_votes")
+
+
+def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Generated recommendation lists, one per part: plain, wrapped or broken."""
+    part = F.col("p_partkey")
+    body = F.concat(
+        F.lit('[{"brand": "'), F.col("p_brand"), F.lit('", "rank": 1}, {"brand": "x", "rank": '),
+        F.col("p_size").cast("string"), F.lit("}]"),
+    )
+    kind = part % 4
+    return table(spark, sf_dir, "part").select(
+        part.alias("id"),
+        F.when(kind == 0, F.concat(F.lit("Sure: "), body, F.lit(" ok?")))
+        .when(kind == 1, F.substring(body, 1, 25))
+        .otherwise(body)
+        .alias("answer"),
+    )

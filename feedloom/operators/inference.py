@@ -7,6 +7,7 @@ from collections.abc import Callable, Iterator
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..config import PRICES, UNKNOWN_PRICE
 from ..functions.numbers import ratio
@@ -28,7 +29,11 @@ def infer(
     prompts are tried one by one so that one bad row fails alone.
     """
 
-    @F.pandas_udf("response string, failed_reason string")
+    result = T.StructType(
+        [T.StructField("response", T.StringType()), T.StructField("failed_reason", T.StringType())]
+    )
+
+    @F.pandas_udf(result)
     def answer(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scorer = make_scorer()
 
@@ -152,9 +157,10 @@ def within_budget(calls: DataFrame, budget: float, order: list[str]) -> DataFram
     spent = F.col("_before") + F.coalesce(F.sum("_cost").over(earlier), F.lit(0))
     return (
         parts.join(F.broadcast(offsets), "_part")
-        .withColumn("spent_before", spent.cast("double"))
-        .filter(spent < F.lit(budget))
-        .drop("_part", "_cost", "_before")
+        .withColumn("_spent", spent)
+        .filter(F.col("_spent") < F.lit(budget))
+        .withColumn("spent_before", F.col("_spent").cast("double"))
+        .drop("_part", "_cost", "_before", "_spent")
     )
 
 

@@ -24,6 +24,7 @@ from __future__ import annotations
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..functions.staging import Stage
 from ..functions.text import strip
@@ -62,8 +63,7 @@ def width(length: Column, percent: int, head_chars: int) -> Column:
     return F.greatest(F.least(fitting, F.lit(WIDTH)), F.lit(1))
 
 
-@F.pandas_udf("int")
-def common_length(a: pd.Series, b: pd.Series) -> pd.Series:
+def common_length(a: Column, b: Column) -> Column:
     """Length of the longest common subsequence, bit-parallel (Hyyrö, 2004)."""
 
     def one(x: str, y: str) -> int:
@@ -77,7 +77,12 @@ def common_length(a: pd.Series, b: pd.Series) -> pd.Series:
             row = ((row + hit) | (row - hit)) & full
         return len(x) - row.bit_count()
 
-    return pd.Series([one(x, y) for x, y in zip(a, b)], dtype="int32")
+    # Defined here so that it travels to the executors by value.
+    @F.pandas_udf(T.IntegerType())
+    def lengths(xs: pd.Series, ys: pd.Series) -> pd.Series:
+        return pd.Series([one(x, y) for x, y in zip(xs, ys)], dtype="int32")
+
+    return lengths(a, b)
 
 
 def blocks(heads: DataFrame, percent: int, head_chars: int) -> DataFrame:
@@ -171,7 +176,7 @@ def _verify(pairs: DataFrame, heads: DataFrame, percent: int, head_chars: int) -
         .join(earlier, "earlier")
         .withColumn("_d", F.levenshtein("a", "b", most))
         .filter((F.col("_d") >= 0) & (F.col("_d") <= edits(F.length("a"), F.length("b"), percent)))
-        .filter(common_length("a", "b") * 200 > total * percent)
+        .filter(common_length(F.col("a"), F.col("b")) * 200 > total * percent)
         .select("later", "earlier")
     )
 

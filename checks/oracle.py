@@ -81,7 +81,17 @@ def draw(key: str, salt: str) -> str:
 
 
 def pattern(patterns) -> str:
-    return quoted("(?i)" + "|".join(f"(?:{p})" for p in patterns))
+    """The patterns with Unicode word edges and blanks, which RE2 has to spell out."""
+    letter = r"[^\p{L}\p{N}_]"
+    parts = []
+    for p in patterns:
+        p = p.replace(r"\s", WS)
+        if p.startswith(r"\b"):
+            p = rf"(?:\A|{letter})" + p[2:]
+        if p.endswith(r"\b"):
+            p = p[:-2] + rf"(?:\z|{letter})"
+        parts.append(f"(?:{p})")
+    return quoted("(?i)" + "|".join(parts))
 
 
 def add(name: str, sql: str) -> None:
@@ -354,16 +364,17 @@ def padded(text: str) -> str:
 
 
 def grams(text: str) -> str:
-    """Trigrams of a padded text; the last two positions start none."""
+    """Trigrams of a text that is split into `{text}_c`; the last two characters start none."""
+    c = f"{text}_c"
     return (
-        f"list_transform(range(1, greatest(length({text}) - 1, 1)), "
-        f"lambda i: substring({text}, i, 3))"
+        f"list_transform(range(1, greatest(len({c}) - 1, 1)), "
+        f"lambda i: {c}[i] || {c}[i + 1] || {c}[i + 2])"
     )
 
 
 PROFILES = f"""
-padded AS (SELECT review_id, lang, {padded('review_text')} AS p,
-           {padded('substring(review_text, 1, 500)')} AS head FROM docs),
+padded AS (SELECT review_id, lang, string_split({padded('review_text')}, '') AS p_c,
+           string_split({padded('substring(review_text, 1, 500)')}, '') AS head_c FROM docs),
 counted AS (SELECT lang, gram, count(*) AS n FROM (
               SELECT lang, unnest({grams('p')}) AS gram FROM padded) GROUP BY ALL),
 profiles AS (SELECT lang, gram, rank FROM (
@@ -547,12 +558,13 @@ _AGREE = {
 add(
     "k09_consistency",
     f"""{FACT}, first AS (
-      SELECT primary_theme AS t1, CASE WHEN helpful_votes <> 7 THEN sentiment END AS s1,
+      SELECT review_id, primary_theme AS t1, CASE WHEN helpful_votes <> 7 THEN sentiment END AS s1,
         CASE WHEN helpful_votes <> 8 THEN severity END AS v1, helpful_votes AS h FROM fact),
-    both_passes AS (
-      SELECT *, CASE WHEN h % 10 = 0 THEN 'safety' ELSE t1 END AS t2,
+    second AS (
+      SELECT review_id, CASE WHEN h % 10 = 0 THEN 'safety' ELSE t1 END AS t2,
         CASE WHEN h % 4 = 0 THEN 'neutral' ELSE s1 END AS s2,
         CASE WHEN h % 3 = 0 THEN v1 + 1 WHEN h % 3 = 1 THEN v1 + 2 ELSE v1 END AS v2 FROM first),
+    both_passes AS (SELECT * FROM first JOIN second USING (review_id)),
     long AS ("""
     + " UNION ALL ".join(
         f"SELECT {quoted(n)} AS field, count(*) AS sample_size, "

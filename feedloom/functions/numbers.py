@@ -32,7 +32,12 @@ def unit(key: Column, salt: str) -> Column:
     return draw(key, salt).cast("double") / F.lit(4294967296.0)
 
 
+def choose(number: Column, values: list) -> Column:
+    """One of the values, chosen by a number."""
+    index = F.pmod(number, F.lit(len(values))) + 1
+    return F.element_at(F.array(*[F.lit(v) for v in values]), index.cast("int"))
+
+
 def pick(key: Column, salt: str, values: list) -> Column:
     """One of the values, chosen by the key."""
-    index = F.pmod(draw(key, salt), F.lit(len(values))) + 1
-    return F.element_at(F.array(*[F.lit(v) for v in values]), index.cast("int"))
+    return choose(draw(key, salt), values)

@@ -60,8 +60,11 @@ def first_label(text: Column, labelled) -> Column:
 
 
 def matches_any(text: Column, patterns) -> Column:
-    """Case-insensitive search for any of the patterns."""
-    return text.rlike("(?i)" + "|".join(f"(?:{p})" for p in patterns))
+    r"""Case-insensitive search for any of the patterns.
+
+    With the flag U, `\b` and `\s` know all letters and blanks, not only ASCII ones.
+    """
+    return text.rlike("(?iU)" + "|".join(f"(?:{p})" for p in patterns))
 
 
 def snippet(text: Column, size: int) -> Column:

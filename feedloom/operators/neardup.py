@@ -105,7 +105,7 @@ def blocks(heads: DataFrame, percent: int, head_chars: int) -> DataFrame:
     counts = cut.groupBy("w", "block").agg(F.count(F.lit(1)).alias("uses"))
     rarest = Window.partitionBy("id").orderBy("uses", "pos")
     return (
-        cut.join(counts, ["w", "block"])
+        cut.join(counts.hint("merge"), ["w", "block"])
         .withColumn("_n", F.row_number().over(rarest))
         .filter(F.col("_n") <= needed(F.col("len"), percent, head_chars))
         .drop("_n")
@@ -143,14 +143,18 @@ def lookups(heads: DataFrame, percent: int, head_chars: int) -> DataFrame:
 
 
 def _meet(probe: DataFrame, index: DataFrame, percent: int) -> DataFrame:
-    """Pairs (later, earlier) that share a block at positions the edits allow."""
+    """Pairs (later, earlier) that share a block at positions the edits allow.
+
+    Spark sizes an exploded table like the table before the explode and would
+    broadcast it, so a sort-merge join is asked for; it also splits skewed blocks.
+    """
     p, i = probe.alias("p"), index.alias("i")
     shift = F.col("p.pos") - F.col("i.pos")
     growth = F.col("p.len") - F.col("i.len")
     allowed = edits(F.col("p.len"), F.col("i.len"), percent)
     return (
         p.join(
-            i,
+            i.hint("merge"),
             (F.col("p.w") == F.col("i.w"))
             & (F.col("p.block") == F.col("i.block"))
             & (F.col("i.at") < F.col("p.at"))
@@ -167,15 +171,20 @@ def _verify(pairs: DataFrame, heads: DataFrame, percent: int, head_chars: int) -
     The bounded edit distance of the JVM never exceeds the number of deletions and
     insertions, so it rejects most candidates before any reaches Python.
     """
+    tasks = int(heads.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     later = heads.select(F.col("id").alias("later"), F.col("head").alias("b"))
     earlier = heads.select(F.col("id").alias("earlier"), F.col("head").alias("a"))
     most = ((100 - percent) * 2 * head_chars - 1) // 100
     total = F.length("a") + F.length("b")
+    # Beyond its bound the distance is -1; as a huge number it fails the same test.
+    distance = F.pmod(F.levenshtein("a", "b", most), F.lit(1 << 30))
     return (
-        pairs.join(later, "later")
+        # Pairs are few bytes but much work: an explicit number of tasks keeps
+        # them from being merged into one.
+        pairs.repartition(tasks, "later")
+        .join(later, "later")
         .join(earlier, "earlier")
-        .withColumn("_d", F.levenshtein("a", "b", most))
-        .filter((F.col("_d") >= 0) & (F.col("_d") <= edits(F.length("a"), F.length("b"), percent)))
+        .filter(distance <= edits(F.length("a"), F.length("b"), percent))
         .filter(common_length(F.col("a"), F.col("b")) * 200 > total * percent)
         .select("later", "earlier")
     )

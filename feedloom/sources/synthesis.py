@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.numbers import draw, pick, unit
+from ..functions.numbers import choose
 from .landing import union_sources
 
 # --- Fixed values: shares of the star ratings and helpful-vote weights ---------
@@ -83,6 +83,18 @@ TITLES = {
 }
 
 
+def draw(key: Column, salt: str) -> Column:
+    return F.xxhash64(key, F.lit(salt))
+
+
+def unit(key: Column, salt: str) -> Column:
+    return F.pmod(draw(key, salt), F.lit(1 << 32)).cast("double") / float(1 << 32)
+
+
+def pick(key: Column, salt: str, values: list) -> Column:
+    return choose(draw(key, salt), values)
+
+
 def _weighted(share: Column, weighted: list[tuple]) -> Column:
     """The value whose slice of the unit interval holds `share`."""
     total = float(sum(w for _, w in weighted))

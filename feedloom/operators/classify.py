@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import FAILURE_DETAIL, HEDGES, SENTIMENTS, THEMES, RuleSet
+from ..functions.jsontext import OBJECT_TEXT, embedded, of_kind, strict_json
 from ..functions.numbers import draw, pick, round_even, unit
 from ..functions.text import contains_any, first_label, matched, words
 from ..schema import MENTION
@@ -47,19 +48,12 @@ def route(df: DataFrame, base: str = "base", strong: str = "strong", hedges=tupl
 # --- Responses ----------------------------------------------------------------
 
 
-def _object(value: Column) -> Column:
-    """The variant if it is a JSON object, else null."""
-    return F.when(F.schema_of_variant(value).startswith("OBJECT"), value)
-
-
 def parse_response(raw: Column) -> Column:
     """JSON object in the text: the whole text or from the first `{` to the last `}`."""
+    whole = strict_json(raw)
     return F.coalesce(
-        _object(F.try_parse_json(raw)),
-        F.when(
-            F.try_parse_json(raw).isNull(),
-            _object(F.try_parse_json(F.regexp_extract(raw, r"(?s)\{.*\}", 0))),
-        ),
+        of_kind(whole, "OBJECT"),
+        F.when(whole.isNull(), of_kind(embedded(raw, OBJECT_TEXT), "OBJECT")),
     )
 
 

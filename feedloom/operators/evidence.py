@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.jsontext import ARRAY_TEXT, OBJECT_TEXT, embedded, of_kind, strict_json
 from .issues import summary_stats
 
 
@@ -128,15 +129,17 @@ def brief_context(comparison: DataFrame, category: str, n: int = 10) -> DataFram
 
 
 def parse_list(raw: Column) -> Column:
-    """Variant array in the text: from the first `[` to the last `]`."""
-    found = F.try_parse_json(F.regexp_extract(raw, r"(?s)\[.*\]", 0))
-    return F.when(F.schema_of_variant(found).startswith("ARRAY"), found)
+    """Variant array in the text: all of it if it starts with `[`, else from the
+    first `[` to the last `]`."""
+    starts = F.regexp_replace(raw, r"\A\s+", "").startswith("[")
+    return of_kind(
+        F.when(starts, strict_json(raw)).otherwise(embedded(raw, ARRAY_TEXT)), "ARRAY"
+    )
 
 
 def parse_object(raw: Column) -> Column:
     """Variant object in the text: from the first `{` to the last `}`."""
-    found = F.try_parse_json(F.regexp_extract(raw, r"(?s)\{.*\}", 0))
-    return F.when(F.schema_of_variant(found).startswith("OBJECT"), found)
+    return of_kind(embedded(raw, OBJECT_TEXT), "OBJECT")
 
 
 def recommendation_rows(answers: DataFrame, raw: str = "answer", key: str = "id") -> DataFrame:

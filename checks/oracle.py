@@ -364,11 +364,11 @@ def padded(text: str) -> str:
 
 
 def grams(text: str) -> str:
-    """Trigrams of a text that is split into `{text}_c`; the last two characters start none."""
+    """Trigrams of a text that is split into `{text}_c`: around every letter."""
     c = f"{text}_c"
     return (
-        f"list_transform(range(1, greatest(len({c}) - 1, 1)), "
-        f"lambda i: {c}[i] || {c}[i + 1] || {c}[i + 2])"
+        f"list_transform(list_filter(range(2, greatest(len({c}), 2)), lambda i: {c}[i] <> ' '), "
+        f"lambda i: {c}[i - 1] || {c}[i] || {c}[i + 1])"
     )
 
 

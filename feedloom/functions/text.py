@@ -24,6 +24,18 @@ def words(text: Column) -> Column:
     return F.filter(F.split(text, f"{SPACE}+"), lambda w: w != "")
 
 
+def first_words(text: Column, n: int) -> Column:
+    """The first n tokens; splitting stops there instead of running over all of a text."""
+    pieces = F.split(text, f"{SPACE}+", n + 2)
+    # A leading blank gives one empty piece, and the last piece may be all the rest.
+    return F.slice(F.filter(F.slice(pieces, 1, n + 1), lambda w: w != ""), 1, n)
+
+
+def let(value: Column, use) -> Column:
+    """use(value) with the value computed once per row, however often it is used."""
+    return F.element_at(F.transform(F.array(value), use), 1)
+
+
 def any_of(conditions: list[Column]) -> Column:
     """OR of the conditions, false when there are none."""
     result = F.lit(False)

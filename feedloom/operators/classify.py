@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..config import FAILURE_DETAIL, HEDGES, SENTIMENTS, THEMES, RuleSet
 from ..functions.jsontext import OBJECT_TEXT, embedded, of_kind, strict_json
 from ..functions.numbers import draw, pick, round_even, unit
-from ..functions.text import contains_any, first_label, matched, words
+from ..functions.text import contains_any, first_label, first_words, let, matched
 from ..schema import MENTION
 
 # --- Prompts and routing ------------------------------------------------------
@@ -220,12 +220,21 @@ def rule_competitors(low: Column, brand: Column, rating: Column, rules: RuleSet)
 
 
 def rule_key_phrases(text: Column, key: Column, rules: RuleSet) -> Column:
-    """Five successive words of a text with more than five, from one of the first eleven."""
-    tokens = words(text)
-    starts = F.greatest(F.least(F.size(tokens) - 5, F.lit(10)), F.lit(0)) + 1
-    start = F.pmod(draw(key, f"phrase{rules.seed}"), starts.cast("long")).cast("int") + 1
-    phrase = F.array_join(F.slice(tokens, start, F.lit(5)), " ")
-    return F.when(F.size(tokens) > 5, F.array(phrase)).otherwise(F.array().cast("array<string>"))
+    """Five successive words of a text with more than five, from one of the first eleven.
+
+    The phrase ends with the fifteenth word at the latest, and longer texts draw
+    their start like one of fifteen words, so no further words are looked at.
+    """
+    number = draw(key, f"phrase{rules.seed}")
+
+    def phrase(tokens: Column) -> Column:
+        starts = F.greatest(F.size(tokens) - 5, F.lit(0)) + 1
+        start = F.pmod(number, starts.cast("long")).cast("int") + 1
+        return F.when(
+            F.size(tokens) > 5, F.array(F.array_join(F.slice(tokens, start, F.lit(5)), " "))
+        ).otherwise(F.array().cast("array<string>"))
+
+    return let(first_words(text, 15), phrase)
 
 
 def rule_features(low: Column, rules: RuleSet) -> Column:

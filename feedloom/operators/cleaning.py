@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import PRODUCT_PATTERNS, SHIPPING_PATTERNS, SPAM_PATTERNS, Settings
 from ..functions.numbers import ratio, round_even
-from ..functions.text import collapse, matches_any, strip, words
+from ..functions.text import collapse, let, matches_any, strip, words
 from .language import detect_language, filter_language
 from .neardup import dedup_fuzzy
 
@@ -55,9 +55,10 @@ def is_shouting(text: Column, rating: Column) -> Column:
 
 def is_repetitive(text: Column) -> Column:
     """More than ten words of which fewer than 30 percent are different."""
-    tokens = words(F.lower(text))
-    different = ratio(F.size(F.array_distinct(tokens)), F.size(tokens))
-    return (F.size(tokens) > 10) & (different < 0.3)
+    return let(
+        words(F.lower(text)),
+        lambda w: (F.size(w) > 10) & (ratio(F.size(F.array_distinct(w)), F.size(w)) < 0.3),
+    )
 
 
 def is_bot(text: Column, rating: Column) -> Column:

@@ -15,22 +15,45 @@ from pyspark.sql import functions as F
 PROFILE_SIZE = 300
 
 
+def _letters(text: Column) -> Column:
+    """Lower-cased words of letters, separated by single blanks."""
+    return F.trim(F.regexp_replace(F.lower(text), r"[^\p{L}]+", " "))
+
+
+def _padded_grams(spaced: Column) -> Column:
+    """Trigrams inside the words of ` word word `, with the blanks at their edges."""
+    return F.regexp_extract_all(spaced, F.lit(r"(?=(.[^ ].))"), F.lit(1))
+
+
 def trigrams(text: Column) -> Column:
-    """Overlapping trigrams of the lower-cased text, everything but letters as blank."""
-    letters = F.regexp_replace(F.lower(text), r"[^\p{L}]+", " ")
-    padded = F.concat(F.lit(" "), F.trim(letters), F.lit(" "))
-    return F.regexp_extract_all(padded, F.lit(r"(?=(.{3}))"), F.lit(1))
+    """Overlapping trigrams of every word of the text, each with a blank on both sides."""
+    return _padded_grams(F.concat(F.lit(" "), _letters(text), F.lit(" ")))
 
 
 def train_profiles(
     df: DataFrame, text: str = "review_text", lang: str = "lang", size: int = PROFILE_SIZE
 ) -> DataFrame:
-    """The `size` most frequent trigrams of every language, ties by trigram."""
+    """The `size` most frequent trigrams of every language, ties by trigram.
+
+    Trigrams do not cross words, so words are counted first and only the different
+    words are taken apart: far fewer rows than one per trigram of every text.
+    """
     order = Window.partitionBy("lang").orderBy(F.desc("n"), F.asc("gram"))
+    vocabulary = (
+        df.select(
+            F.col(lang).alias("lang"), F.explode(F.split(_letters(F.col(text)), " ")).alias("word")
+        )
+        .groupBy("lang", "word")
+        .agg(F.count(F.lit(1)).alias("uses"))
+    )
     return (
-        df.select(F.col(lang).alias("lang"), F.explode(trigrams(F.col(text))).alias("gram"))
+        vocabulary.select(
+            "lang",
+            "uses",
+            F.explode(_padded_grams(F.concat(F.lit(" "), "word", F.lit(" ")))).alias("gram"),
+        )
         .groupBy("lang", "gram")
-        .agg(F.count(F.lit(1)).alias("n"))
+        .agg(F.sum("uses").alias("n"))
         .withColumn("rank", F.row_number().over(order))
         .filter(F.col("rank") <= size)
         .select("lang", "gram", "rank")

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import ratio, round_even
-from ..functions.text import snippet, words
+from ..functions.text import let, snippet, words
 from .inference import verdict
 
 
@@ -20,9 +20,13 @@ def _total(values: Column) -> Column:
 
 def _phrase_found(phrase: Column, low: Column) -> Column:
     """The phrase, or at least 70 percent of its words, occurs in the text."""
-    tokens = words(F.lower(phrase))
-    found = F.size(F.filter(tokens, lambda w: low.contains(w)))
-    share = ratio(found, F.greatest(F.size(tokens), F.lit(1)))
+    share = let(
+        words(F.lower(phrase)),
+        lambda tokens: ratio(
+            F.size(F.filter(tokens, lambda w: low.contains(w))),
+            F.greatest(F.size(tokens), F.lit(1)),
+        ),
+    )
     return low.contains(F.lower(phrase)) | (share >= 0.7)
 
 

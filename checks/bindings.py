@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.config import FAILURE_MODES, THEMES, RuleSet
+from feedloom.functions.staging import Stage
 
 AS_OF = "2001-11-05"
 OWN_BRANDS = ("Brand#1", "Brand#2")
@@ -51,13 +52,26 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores for a table that is stored in fewer files than there are cores.
+_SPLIT: dict[tuple, str] = {}
 
-    A cluster-sized table has more files than cores and is left as it is.
+
+def spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table that all cores can read.
+
+    The driver stores every table in one file with one row group, which only one
+    task can read. Such a table is rewritten once per session into one file per
+    core. A cluster-sized table has more files than cores and is read as it is.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    df = table(spark, sf_dir, name)
+    cores = spark.sparkContext.defaultParallelism
+    if len(df.inputFiles()) >= cores:
+        return df
+    key = (spark.sparkContext.applicationId, sf_dir, name)
+    if key not in _SPLIT:
+        stage = Stage(spark, "split")
+        stage.write(df.repartition(cores))
+        _SPLIT[key] = stage.folder + "/0001"
+    return spark.read.schema(df.schema).parquet(_SPLIT[key])
 
 
 def product_name() -> Column:
@@ -75,7 +89,7 @@ def sentiment_of(rating: Column, flag: Column) -> Column:
 
 def reviews_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every order line as a classified review (no arrays)."""
-    lines = table(spark, sf_dir, "lineitem")
+    lines = spread(spark, sf_dir, "lineitem")
     parts = table(spark, sf_dir, "part")
     rows = lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("review_id"),
@@ -128,7 +142,7 @@ def reviews_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def reviews_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as a raw review; `lang` is the known language."""
-    documents = spread(table(spark, sf_dir, "documents"))
+    documents = spread(spark, sf_dir, "documents")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     parts = table(spark, sf_dir, "part")
     doc = F.col("doc_id")
@@ -201,7 +215,7 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise("soon")
     )
     text = F.col("text")
-    return spread(table(spark, sf_dir, "documents")).select(
+    return spread(spark, sf_dir, "documents").select(
         (doc % 200).cast("string").alias("asin"),
         doc.alias("id"),
         F.when(doc % 9 != 0, (doc % 5 + 1).cast("double")).alias("rating"),
@@ -307,7 +321,7 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 2, "no answer")
         .otherwise(body)
     )
-    return spread(table(spark, sf_dir, "documents")).select(
+    return spread(spark, sf_dir, "documents").select(
         doc.cast("string").alias("review_id"), raw.alias("response")
     )
 

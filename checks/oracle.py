@@ -825,6 +825,35 @@ add(
 )
 add("a11_return_risk", f"{CLASSIFIED}{RISK} SELECT * FROM risky")
 
+_SIZES = {
+    "summary_stats": "SELECT 1",
+    "avg_rating_by_brand": "SELECT DISTINCT brand FROM fact",
+    "review_count_by_category": "SELECT DISTINCT category FROM fact",
+    "review_count_by_brand": "SELECT DISTINCT brand FROM fact",
+    "sentiment_distribution": "SELECT DISTINCT sentiment FROM fact",
+    "top_issues": "SELECT * FROM issues",
+    "competitor_comparison": "SELECT * FROM comparison",
+    "emerging_issues": "SELECT * FROM emerging",
+    "feature_gaps": "SELECT * FROM gaps",
+    # The only phrase of a review is its brand there.
+    "language_patterns": """SELECT list, brand FROM (
+        SELECT list, brand, row_number() OVER (PARTITION BY list) AS n FROM (
+          SELECT DISTINCT 'all' AS list, brand FROM fact UNION ALL
+          SELECT DISTINCT sentiment, brand FROM fact WHERE sentiment IN ('positive', 'negative')))
+      WHERE n <= 20""",
+    "return_risk": f"""SELECT DISTINCT product_name FROM fact
+      WHERE rating <= 2 AND {has_any('lower(review_text)', b.SIGNALS)}""",
+    "verified_vs_unverified": "SELECT 1",
+}
+add(
+    "a13_run_all_from_cube",
+    f"{FACT}, {SCORES}, {COMPARISON}, {EMERGING}, {GAPS} "
+    + " UNION ALL ".join(
+        f"SELECT {quoted(name)} AS analysis, count(*) AS rows FROM ({sql})"
+        for name, sql in _SIZES.items()
+    ),
+)
+
 
 def segment(name: str, condition: str) -> str:
     columns = [
@@ -916,6 +945,30 @@ _CARD = f"""{rnd(_RATING, 3)} AS avg_rating, {rnd(_SEVERITY, 3)} AS avg_severity
     count(*) AS review_count, {rnd(_NEG_SHARE, 3)} AS neg_pct"""
 add("x11_brand_scorecard", f"{FACT} SELECT brand, {_CARD} FROM fact GROUP BY 1")
 add("w04_bundle", f"{FACT} SELECT brand, {_PIVOT}, {_CARD} FROM fact GROUP BY 1")
+_CLASSIFIED_PARTS = CLASSIFIED.removeprefix(TEXT)
+_STAR = {
+    "fact_reviews": "SELECT * FROM classified",
+    "dim_date": "SELECT * FROM calendar",
+    "dim_brand": "SELECT DISTINCT brand FROM classified",
+    "dim_category": "SELECT DISTINCT category FROM classified",
+    "agg_top_issues": f"""SELECT * FROM (
+        SELECT category, row_number() OVER (PARTITION BY category) AS n FROM (
+          SELECT DISTINCT category, brand, primary_theme FROM classified WHERE {_ISSUES}))
+      WHERE n <= 10""",
+    "agg_competitor_comparison": "SELECT * FROM comparison",
+    "agg_emerging_issues": "SELECT * FROM emerging",
+}
+add(
+    "x07_star_tables",
+    FACT
+    + ", docs AS ("
+    + TEXT.strip().removeprefix("WITH docs AS (")
+    + f"{_CLASSIFIED_PARTS}, {calendar('classified')}, {COMPARISON}, {EMERGING} "
+    + " UNION ALL ".join(
+        f"SELECT {quoted(name)} AS table_name, count(*) AS rows FROM ({sql})"
+        for name, sql in _STAR.items()
+    ),
+)
 add(
     "x12_star_join",
     f"""{CLASSIFIED} SELECT {_LABEL} AS category_label,

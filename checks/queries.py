@@ -191,7 +191,7 @@ def s15_validate_classified(spark, sf):
 
 @query
 def s16_synthesize(spark, sf):
-    lines = b.spread(b.table(spark, sf, "lineitem")).select(
+    lines = b.spread(spark, sf, "lineitem").select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id")
     )
     return synthesis.synthesize_from(lines, b.catalog(spark, sf), AS_OF)

@@ -26,7 +26,8 @@ def infer(
 
     `make_scorer` is called once per task and returns a function from prompts to
     answers. Only the prompt column travels to Python. If a batch raises, its
-    prompts are tried one by one so that one bad row fails alone.
+    prompts are tried one by one so that one bad row fails alone. Calls cost money,
+    so the answers are written down once before they are split.
     """
 
     result = T.StructType(
@@ -53,7 +54,10 @@ def infer(
                     rows.extend(alone(text) for text in texts)
             yield pd.DataFrame(rows, columns=["response", "failed_reason"], dtype=object)
 
-    scored = df.withColumn("_answer", answer(F.col(prompt))).select(*df.columns, "_answer.*")
+    ask = answer.asNondeterministic()  # never copied or repeated by the optimizer
+    scored = Stage(df.sparkSession, "answers").write(
+        df.withColumn("_answer", ask(F.col(prompt))).select(*df.columns, "_answer.*")
+    )
     failed = F.col("failed_reason").isNotNull() | F.col("response").isNull()
     return scored.filter(~failed), scored.filter(failed)
 

@@ -12,6 +12,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..functions.text import let
+
 PROFILE_SIZE = 300
 
 
@@ -77,19 +79,21 @@ def detect_language(
         .agg(F.array_sort(F.collect_list(F.struct("lang", "grams"))).alias("lists"))
     )
     body = F.col(text) if chars is None else F.substring(text, 1, chars)
-    scores = F.transform(
-        "_lists",
-        lambda p: F.struct(
-            (-F.size(F.array_intersect(p["grams"], F.col("_grams")))).alias("order"),
-            p["lang"].alias("lang"),
-        ),
-    )
-    best = F.array_min(scores)
+
+    def winner(grams: Column) -> Column:
+        scores = F.transform(
+            "_lists",
+            lambda p: F.struct(
+                (-F.size(F.array_intersect(p["grams"], grams))).alias("order"),
+                p["lang"].alias("lang"),
+            ),
+        )
+        return let(F.array_min(scores), lambda best: F.when(best["order"] < 0, best["lang"]))
+
     return (
-        df.withColumns({"_lists": lists.scalar(), "_grams": trigrams(body)})
-        .withColumn("_best", best)
-        .withColumn(name, F.when(F.col("_best.order") < 0, F.col("_best.lang")))
-        .drop("_lists", "_grams", "_best")
+        df.withColumn("_lists", lists.scalar())
+        .withColumn(name, let(trigrams(body), winner))
+        .drop("_lists")
     )
 
 

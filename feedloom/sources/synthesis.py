@@ -112,37 +112,48 @@ def synthesize_from(
     """One synthetic raw review for every id."""
     templates = TEMPLATES if templates is None else templates
     key = F.concat(F.col("_key"), F.lit(f"#{seed}"))
-    # One row per category: its products and brands, as many as the catalogue has.
+    # Products, brands and categories are numbered, so that a choice is a number and
+    # the chosen thing an equi-join away; no row has to carry a whole shelf.
+    in_category = Window.partitionBy("category")
+    brands = (
+        catalog.select("category", "brand")
+        .distinct()
+        .withColumn("_brand_no", F.row_number().over(in_category.orderBy("brand")) - 1)
+    )
+    products = catalog.withColumn(
+        "_product_no", F.row_number().over(in_category.orderBy("product_id")) - 1
+    ).join(brands, ["category", "brand"])
     shelves = (
         catalog.groupBy("category")
         .agg(
-            F.array_sort(
-                F.collect_list(F.struct("product_id", "product_name", "brand"))
-            ).alias("products"),
-            F.array_sort(F.collect_set("brand")).alias("brands"),
+            F.count(F.lit(1)).alias("_products"),
+            F.countDistinct("brand").alias("_brands"),
         )
+        # One row per category.
         .withColumn("_shelf", F.row_number().over(Window.orderBy("category")) - 1)
     )
     shelf_count = catalog.agg(F.countDistinct("category").alias("n"))
+    rivals = brands.select("category", F.col("_brand_no").alias("_rival_no"), F.col("brand").alias("_rival"))
+    # Steps of 1 to n-1 from the own brand reach every other brand of the category.
+    step = F.pmod(draw(key, "competitor"), F.greatest(F.col("_brands") - 1, F.lit(1))) + 1
     rows = (
         ids.select(F.col(id_col).cast("string").alias("_key"))
         .withColumn("_n", shelf_count.scalar())
         .withColumn("_shelf", F.pmod(draw(F.col("_key"), "category"), F.col("_n")).cast("int"))
         .drop("_n")
         .join(shelves, "_shelf")
+        .withColumn("_product_no", F.pmod(draw(key, "product"), F.col("_products")).cast("int"))
+        .join(products, ["category", "_product_no"])
+        .withColumn(
+            "_rival_no",
+            F.when(
+                F.col("_brands") > 1, F.pmod(F.col("_brand_no") + step, F.col("_brands")).cast("int")
+            ),
+        )
+        .join(rivals, ["category", "_rival_no"], "left")
+        .withColumn("_rival", F.coalesce("_rival", F.lit("the competition")))
     )
     rating = _weighted(unit(key, "rating"), RATING_SHARES)
-    product = F.element_at(
-        "products", (F.pmod(draw(key, "product"), F.size("products").cast("long")) + 1).cast("int")
-    )
-    rivals = F.filter("brands", lambda b: b != F.col("brand"))
-    rival = F.when(
-        F.size(rivals) > 0,
-        F.element_at(
-            rivals,
-            (F.pmod(draw(key, "competitor"), F.greatest(F.size(rivals), F.lit(1)).cast("long")) + 1).cast("int"),
-        ),
-    ).otherwise("the competition")
 
     def sentence(side: str) -> tuple[Column, Column]:
         themes = list(templates[side])
@@ -188,9 +199,6 @@ def synthesize_from(
     age = (F.pmod(draw(key, "age"), F.lit(365)) + 1).cast("int")
     reviews = (
         rows.withColumn("rating", rating)
-        .withColumn("_product", product)
-        .select("_key", "category", "rating", "brands", "_product.*")
-        .withColumn("_rival", rival)
         .withColumn("_theme", F.when(good, good_theme).otherwise(bad_theme))
         .withColumn("_template", F.when(good, good_text).otherwise(bad_text))
         .withColumns(

@@ -29,7 +29,9 @@ from pyspark.sql import types as T
 from ..functions.staging import Stage
 from ..functions.text import strip
 
-WIDTH = 8
+# Blocks of seven characters leave a head of 200 eight blocks to spare for common
+# openings and gave the fewest candidates of five to eight on the test tables.
+WIDTH = 7
 
 
 def head_of(text: Column, head_chars: int) -> Column:

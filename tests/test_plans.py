@@ -20,7 +20,8 @@ def stored(spark, labelled, tmp_path_factory):
     return spark.read.parquet(path)
 
 
-def test_selection_reaches_the_scan(stored):
+def test_selection_reaches_the_scan(spark, stored):
+    spark.conf.set("spark.sql.maxMetadataStringLength", "2000")  # else the list is cut off
     text = plan(
         explore.filter_reviews(stored, ["vacuums"], None, ["negative"], 3, True).select("review_id")
     )

@@ -6,8 +6,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.text import collapse
-
 
 def write_reviews(df: DataFrame, path: str, fmt: str = "parquet", by: str | None = None) -> None:
     """Write raw, cleaned or classified reviews; `fmt` is parquet or json."""
@@ -62,8 +60,3 @@ def write_bundle(tables: dict[str, DataFrame], path: str, fmt: str = "csv") -> N
             write_csv(df, f"{path}/{name}")
         else:
             df.write.mode("overwrite").format(fmt).save(f"{path}/{name}")
-
-
-def csv_text(text: Column) -> Column:
-    """A text on one line, for readers that cannot take line breaks in CSV."""
-    return collapse(text)

@@ -1,29 +1,28 @@
 """Staged tables for iterative work.
 
 Loops must not drag an ever longer lineage along and must survive the loss of an
-executor, so their state is written to the shared checkpoint folder and read back.
+executor, so their state is written to a shared folder and read back.
 """
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_WAREHOUSE = "spark.sql.warehouse.dir"
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's checkpoint folder; only a local session may go without one."""
+    """The folder that the session names for checkpoints, or else a part of its warehouse."""
     folder = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING, None)
     if folder:
         return folder.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError(f"set {_SETTING} to a folder all executors can reach")
-    folder = tempfile.mkdtemp(prefix="feedloom-")
-    spark.conf.set(_SETTING, folder)
-    return folder
+    warehouse = spark.conf.get(_WAREHOUSE, None)
+    if not warehouse:
+        raise ValueError(f"set {_SETTING} or {_WAREHOUSE} to a folder all executors can reach")
+    return f"{warehouse.rstrip('/')}/_staged"
 
 
 class Stage:
@@ -40,3 +39,8 @@ class Stage:
         path = f"{self.folder}/{self._written:04d}"
         df.write.parquet(path)
         return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self) -> None:
+        """Remove the run's tables; only for steps whose result no longer reads them."""
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(self.folder)
+        path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

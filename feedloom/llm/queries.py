@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from feedloom.llm import exact_dedup, licenses, secrets
+from feedloom.llm import exact_dedup, licenses, line_dedup, packing, secrets
 from feedloom.llm.common import table
 
 
@@ -12,6 +13,17 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(table(spark, sf_dir, "documents"))
 
 
+def tokenizer_path() -> str:
+    """The public byte-level tokenizer; executors find it at the same place."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json")
+
+
+def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
@@ -20,7 +32,23 @@ def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_secret_scan, op4_exact_dedup, op9_license_scan)}
+def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    done = line_dedup.dedup_lines(table(spark, sf_dir, "documents"))
+    spans = F.transform("runs", lambda r: F.concat_ws(":", r["first"], r["last"]))
+    return done.select(
+        "row.doc_id",
+        "n_lines",
+        "n_removed",
+        F.array_join(spans, ",").alias("removed"),
+        F.sha2(F.coalesce("row.text", F.lit("")), 256).alias("text_sha256"),
+        "row.text",
+    )
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (op1_secret_scan, op3_best_fit_packing, op4_exact_dedup, op9_license_scan, op10_line_dedup)
+}
 
 SQL = {
     "op4_exact_dedup": """

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import exact_dedup, licenses, line_dedup, packing, secrets
+from feedloom.llm import exact_dedup, licenses, line_dedup, neighbours, packing, secrets
 from feedloom.llm.common import table
 
 
@@ -28,6 +28,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return neighbours.nearest(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
+
+
 def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licenses.scan_licenses(table(spark, sf_dir, "documents"))
 
@@ -47,7 +51,7 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_secret_scan, op3_best_fit_packing, op4_exact_dedup, op9_license_scan, op10_line_dedup)
+    for f in (op1_secret_scan, op3_best_fit_packing, op4_exact_dedup, op8_nearest_neighbours, op9_license_scan, op10_line_dedup)
 }
 
 SQL = {

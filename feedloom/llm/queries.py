@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import exact_dedup, licenses, line_dedup, neighbours, packing, secrets
+from feedloom.llm import exact_dedup, langid, licenses, line_dedup, mixing, neighbours, packing, quality, secrets
 from feedloom.llm.common import table
 
 
@@ -13,6 +13,19 @@ def op1_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return secrets.scan_secrets(table(spark, sf_dir, "documents"))
 
 
+# The tree of the mix: which sources make up a domain, and the target weights.
+DOMAINS = {
+    "web": ("src0", "src1", "src2", "src3", "src4"),
+    "news": ("src5", "src6", "src7", "src8", "src9"),
+    "books": ("src10", "src11", "src12", "src13", "src14"),
+}
+WEIGHTS = {
+    "domain": {"web": 30, "news": 20, "books": 40, "other": 10},
+    "lang": {"en": 50, "de": 20, "fr": 20, "es": 10},
+    "source": {"src0": 3, "src10": 2},
+}
+
+
 def tokenizer_path() -> str:
     """The public byte-level tokenizer; executors find it at the same place."""
     import public_tokenizers
@@ -20,6 +33,11 @@ def tokenizer_path() -> str:
     return public_tokenizers.path("byte_bpe_50k.json")
 
 
+def op2_quality_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return quality.score_quality(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
 def op3_best_fit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack_documents(table(spark, sf_dir, "documents"), tokenizer_path())
 
@@ -28,6 +46,17 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents"))
 
 
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return langid.identify(docs, langid.train(docs))
+
+
+def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    domain = mixing.named(F.col("source"), DOMAINS, "other")
+    return mixing.mix(docs, WEIGHTS, domain, portion=(1, 2), epochs=2)
+
+
 def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
 
@@ -51,7 +80,17 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     f.__name__: f
-    for f in (op1_secret_scan, op3_best_fit_packing, op4_exact_dedup, op8_nearest_neighbours, op9_license_scan, op10_line_dedup)
+    for f in (
+        op1_secret_scan,
+        op2_quality_score,
+        op3_best_fit_packing,
+        op4_exact_dedup,
+        op5_language_id,
+        op6_source_mix,
+        op8_nearest_neighbours,
+        op9_license_scan,
+        op10_line_dedup,
+    )
 }
 
 SQL = {

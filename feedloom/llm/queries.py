@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import exact_dedup, langid, licenses, line_dedup, mixing, neighbours, packing, quality, secrets
+from feedloom.llm import exact_dedup, jaccard, langid, licenses, line_dedup, mixing, neighbours, packing, quality, secrets
 from feedloom.llm.common import table
 
 
@@ -57,6 +57,10 @@ def op6_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.mix(docs, WEIGHTS, domain, portion=(1, 2), epochs=2)
 
 
+def op7_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.jaccard_components(table(spark, sf_dir, "documents"))
+
+
 def op8_nearest_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(table(spark, sf_dir, "embeddings"), lambda vec_id: vec_id % 20 == 0)
 
@@ -87,6 +91,7 @@ QUERIES = {
         op4_exact_dedup,
         op5_language_id,
         op6_source_mix,
+        op7_jaccard_join,
         op8_nearest_neighbours,
         op9_license_scan,
         op10_line_dedup,

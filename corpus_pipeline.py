@@ -1,9 +1,81 @@
-"""The corpus pipeline: stages that turn documents into packed training sequences."""
+"""The corpus pipeline: from documents to packed training sequences.
+
+Every stage takes (spark, docs, sf_dir) and returns a table that is written and read again
+as the next one's docs. All but the last return the columns of documents.
+"""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from feedloom.functions.staging import Stage
+from feedloom.llm import jaccard, line_dedup, mixing, packing, quality
+from feedloom.llm.common import table
+from feedloom.llm.queries import DOMAINS, WEIGHTS, tokenizer_path
+
+# Share of the tokens that the mix keeps, and how often it may read a document.
+MIX_PORTION, MIX_EPOCHS = (3, 4), 1
+
+
+def filter_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality classifier does not reject."""
+    return quality.keep_quality(docs, quality.train(docs, table(spark, sf_dir, "labels")))
+
+
+def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without runs of lines that occur earlier.
+
+    Documents of which nothing is left go; those that were empty before stay.
+    """
+    done = line_dedup.dedup_lines(docs).filter("n_removed = 0 OR row.text RLIKE '[^ \\\\t-\\\\r]'")
+    row = F.col("row")
+    if "n_chars" in docs.columns:
+        size = F.when(F.col("n_removed") > 0, F.char_length("row.text")).otherwise(F.col("row.n_chars"))
+        row = row.withField("n_chars", size.cast(docs.schema["n_chars"].dataType))
+    return done.select(row.alias("row")).select("row.*")
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Of every group of similar documents, the one with the smallest id."""
+    groups = jaccard.jaccard_components(docs)
+    later = groups.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
+    return docs.join(later.hint("shuffle_hash"), "doc_id", "left_anti").select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the target weights of domains, languages and sources select."""
+    domain = mixing.named(F.col("source"), DOMAINS, "other")
+    chosen = mixing.mix(docs, WEIGHTS, domain, portion=MIX_PORTION, epochs=MIX_EPOCHS)
+    ids = chosen.select("doc_id").distinct().hint("shuffle_hash")
+    return docs.join(ids, "doc_id", "left_semi").select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Packed pieces of all documents."""
+    return packing.pack_documents(docs, tokenizer_path())
+
+
+STAGES = [
+    ("quality classifier", filter_quality),
+    ("line dedup", drop_repeated_lines),
+    ("n-gram Jaccard join", drop_near_duplicates),
+    ("mixing sources to target weights", mix_sources),
+    ("best-fit packing", pack),
+]
+
+# A trained classifier decides the first stage, which SQL cannot express.
 ORACLE_SQL = None
 
-PIPELINE_QUERIES: dict = {}
-PIPELINE_SQL: dict = {}
+
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents of a folder."""
+    stage = Stage(spark, "pipeline")
+    docs = table(spark, sf_dir, "documents")
+    for _, function in STAGES:
+        docs = stage.write(function(spark, docs, sf_dir))
+    return docs
+
+
+PIPELINE_QUERIES = {"pipeline": run}
+PIPELINE_SQL = {} if ORACLE_SQL is None else {"pipeline": ORACLE_SQL}

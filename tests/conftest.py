@@ -1,6 +1,7 @@
 import datetime as dt
 import os
 import sys
+import tempfile
 
 import pytest
 from pyspark.sql import SparkSession
@@ -49,6 +50,7 @@ LABELS = dict(
 
 @pytest.fixture(scope="session")
 def spark():
+    shared = tempfile.mkdtemp(prefix="feedloom-tests-")
     session = (
         SparkSession.builder.master("local[4]")
         .appName("tests")
@@ -57,6 +59,8 @@ def spark():
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "6g")
+        .config("spark.checkpoint.dir", shared)
+        .config("spark.sql.warehouse.dir", f"{shared}/warehouse")
         .getOrCreate()
     )
     session.sparkContext.setLogLevel("ERROR")

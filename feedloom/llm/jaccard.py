@@ -2,7 +2,9 @@
 
 Equal shingle sets form a class. Two sets can only be similar if they share a shingle of
 their prefixes: the first fifth of each set in one order of all shingles, in which the most
-frequent ones come last. The classes that share a prefix shingle are a block.
+frequent ones come last. The prefixes are taken a twentieth longer, so similar sets share
+that many shingles of them, and sets that share fewer with others are left out. The classes
+that share a prefix shingle are a block; of blocks with the same members one is kept.
 
 In rounds, every class is compared with one centre of its blocks; verified links grow
 components, and a block that lies within one component is finished. The blocks that are
@@ -15,6 +17,7 @@ Whatever remains is verified on the whole sets.
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,8 +39,10 @@ PART, WHOLE = 80, 100
 # Shingles that stand last in the order: the FREQUENT most frequent ones that occur in at
 # least COMMON of the texts that a task handles at once. Results do not depend on them.
 FREQUENT, COMMON = 50_000, 4
+# By this share of a set its prefix is longer, and so many shingles of it must be shared.
+LONGER = 0.05
 # Rounds of comparing with centres before the trees.
-ROUNDS = 3
+ROUNDS = 2
 # Members of a leaf table row, leaves of an upper node, members below a node that is not split.
 LEAF, FANOUT, SMALLEST = 256, 16, 8
 
@@ -65,6 +70,15 @@ def least_overlap(n: int) -> int:
     return -(-PART * n // WHOLE)
 
 
+def least_shared(n: int) -> int:
+    """Shingles by which the prefix of a set of n is longer.
+
+    The prefixes of two similar sets share as many as this is for the smaller of them, and
+    the smallest set that is similar to one of n has least_overlap(n) shingles.
+    """
+    return max(1, math.ceil(LONGER * n))
+
+
 def similar(a: np.ndarray, b: np.ndarray) -> bool:
     shared = len(np.intersect1d(a, b, assume_unique=True))
     return len(a) > 0 and WHOLE * shared >= PART * (len(a) + len(b) - shared)
@@ -190,8 +204,11 @@ def frequent(docs: DataFrame) -> np.ndarray:
 
 
 def prefix(tokens: np.ndarray, last: np.ndarray, rank: np.ndarray) -> np.ndarray:
-    """The tokens of which any similar set shares one, in the order with the frequent ones last."""
-    size = len(tokens) - least_overlap(len(tokens)) + 1
+    """The first tokens in the order with the frequent ones last.
+
+    If a set of n shares k tokens with another, its first n - k + s hold the first s of them.
+    """
+    size = len(tokens) - least_overlap(len(tokens)) + least_shared(len(tokens))
     if len(last):
         at = np.minimum(np.searchsorted(last, tokens), len(last) - 1)
         order = np.where(last[at] == tokens, rank[at] + 1, 0)
@@ -205,7 +222,7 @@ def describe(docs: DataFrame) -> DataFrame:
     rank = np.argsort(ordered)  # position in the order, by token
     last = ordered[rank]
     kinds = T._parse_datatype_string(
-        "row long, doc_id long, text_key long, n long, high long, low long, prefix array<long>, bits binary"
+        "row long, doc_id long, text_key long, n long, least long, high long, low long, prefix array<long>, bits binary"
     )
     kinds["doc_id"].dataType = docs.schema["doc_id"].dataType
 
@@ -216,7 +233,8 @@ def describe(docs: DataFrame) -> DataFrame:
             digest = hashlib.md5(tokens.tobytes()).digest()
             out.append(
                 {
-                    "row": r["row"], "doc_id": r["doc_id"], "text_key": r["text_key"], "n": len(tokens),
+                    "row": r["row"], "doc_id": r["doc_id"], "text_key": r["text_key"],
+                    "n": len(tokens), "least": least_shared(least_overlap(len(tokens))),
                     "high": int.from_bytes(digest[:8], "big", signed=True),
                     "low": int.from_bytes(digest[8:], "big", signed=True),
                     "prefix": prefix(tokens, last, rank).view(np.int64).tolist() if len(tokens) else [],
@@ -283,6 +301,29 @@ def labelled(blocks: DataFrame, found: DataFrame | None) -> DataFrame:
     return blocks.join(known, "row", "left").withColumn("component", F.coalesce("component", "row"))
 
 
+def sharing(blocks: DataFrame, members: DataFrame) -> DataFrame:
+    """Members that share as many tokens as a similar set must; a block counts for `weight` tokens."""
+    held = blocks.groupBy("row").agg(F.sum("weight").alias("held")).join(members.select("row", "least"), "row")
+    return blocks.join(held.filter("held >= least").select("row"), "row", "left_semi")
+
+
+def merged(blocks: DataFrame) -> DataFrame:
+    """One of the blocks that have the same members, with the sum of their weights.
+
+    Equal members are told by their number and two 64-bit digests of them.
+    """
+    digest = lambda seed: F.bit_xor(F.xxhash64("row", F.lit(seed)))
+    sets = blocks.groupBy("token").agg(
+        F.count("*").alias("size"), digest(1).alias("one"), digest(2).alias("two"), F.max("weight").alias("weight")
+    )
+    kept = (
+        sets.filter("size > 1")
+        .groupBy("size", "one", "two")
+        .agg(F.min("token").alias("token"), F.sum("weight").alias("weight"))
+    )
+    return blocks.drop("weight").join(kept.select("token", "weight"), "token")
+
+
 def unfinished(blocks: DataFrame) -> DataFrame:
     """Members of the blocks that hold more than one component."""
     several = blocks.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b")
@@ -393,15 +434,18 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     tokens = real.select(F.explode("prefix").alias("token"), "row", F.expr("high ^ low").alias("digest"))
     shared = tokens.groupBy("token").agg(F.min("digest").alias("a"), F.max("digest").alias("b")).filter("a <> b")
     first = classes.select(F.col("class").alias("row"))
-    blocks = stage.write(
-        tokens.select("token", "row").join(shared.select("token"), "token", "left_semi").join(first, "row", "left_semi")
+    memberships = stage.write(
+        tokens.select("token", "row", F.lit(1).cast("long").alias("weight"))
+        .join(shared.select("token"), "token", "left_semi")
+        .join(first, "row", "left_semi")
     )
+    blocks = stage.write(merged(sharing(memberships, described)))
     within = blocks.select("row").distinct()
-    members = stage.write(described.select("row", "n", "bits").join(within, "row", "left_semi"))
+    members = stage.write(described.select("row", "n", "least", "bits").join(within, "row", "left_semi"))
     links = spark.createDataFrame([], "u long, v long")
     sets, found = None, None
     for turn in range(ROUNDS + 1):
-        open_blocks = stage.write(unfinished(labelled(blocks, found)))
+        open_blocks = stage.write(sharing(unfinished(labelled(blocks, found)), members))
         if open_blocks.isEmpty():
             break
         if turn < ROUNDS:

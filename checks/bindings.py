@@ -11,7 +11,6 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.config import FAILURE_MODES, THEMES, RuleSet
-from feedloom.functions.staging import Stage
 
 AS_OF = "2001-11-05"
 OWN_BRANDS = ("Brand#1", "Brand#2")
@@ -52,26 +51,14 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-_SPLIT: dict[tuple, str] = {}
+def dealt(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
+    """A table dealt out by a key that it is joined on later.
 
-
-def spread(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table that all cores can read.
-
-    The driver stores every table in one file with one row group, which only one
-    task can read. Such a table is rewritten once per session into one file per
-    core. A cluster-sized table has more files than cores and is read as it is.
+    The driver stores every table in one file with one row group, which only one task can
+    read; only the columns that a query uses are dealt.
     """
-    df = table(spark, sf_dir, name)
-    cores = spark.sparkContext.defaultParallelism
-    if len(df.inputFiles()) >= cores:
-        return df
-    key = (spark.sparkContext.applicationId, sf_dir, name)
-    if key not in _SPLIT:
-        stage = Stage(spark, "split")
-        stage.write(df.repartition(cores))
-        _SPLIT[key] = stage.folder + "/0001"
-    return spark.read.schema(df.schema).parquet(_SPLIT[key])
+    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return table(spark, sf_dir, name).repartition(tasks, key)
 
 
 def product_name() -> Column:
@@ -88,8 +75,12 @@ def sentiment_of(rating: Column, flag: Column) -> Column:
 
 
 def reviews_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every order line as a classified review (no arrays)."""
-    lines = spread(spark, sf_dir, "lineitem")
+    """Every order line as a classified review (no arrays).
+
+    Some have no rating, severity, date or mark of a verified purchase.
+    """
+    order = F.col("l_orderkey")
+    lines = dealt(spark, sf_dir, "lineitem", "l_partkey")
     parts = table(spark, sf_dir, "part")
     rows = lines.join(parts, F.col("l_partkey") == F.col("p_partkey")).select(
         F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("review_id"),
@@ -97,7 +88,7 @@ def reviews_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
         product_name().alias("product_name"),
         F.col("p_brand").alias("brand"),
         F.lower("p_type").alias("category"),
-        (F.lit(1) + F.col("l_quantity").cast("int") % 5).cast("double").alias("rating"),
+        (F.lit(1) + F.col("l_quantity").cast("int") % 5).cast("double").alias("_stars"),
         F.concat(F.lit("Order "), F.col("l_orderkey").cast("string")).alias("title"),
         F.concat(
             product_name(),
@@ -106,13 +97,15 @@ def reviews_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.lit(" flag "),
             F.col("l_returnflag"),
         ).alias("review_text"),
-        F.col("l_shipdate").cast("date").alias("date"),
-        (F.col("l_linestatus") == "F").alias("verified_purchase"),
+        F.when(order % 61 != 13, F.col("l_shipdate").cast("date")).alias("date"),
+        F.when(order % 67 != 5, F.col("l_linestatus") == "F").alias("verified_purchase"),
         (F.col("l_suppkey") % 50).cast("int").alias("helpful_votes"),
         F.when(F.col("l_linenumber") % 2 == 0, "amazon").otherwise("reddit").alias("source"),
         F.col("l_returnflag").alias("_flag"),
         ((F.col("l_linenumber") * 2 + F.col("l_suppkey")) % 15).cast("int").alias("_theme"),
         F.col("l_partkey").alias("_part"),
+        (order % 53 != 7).alias("_rated"),
+        (order % 59 != 11).alias("_graded"),
     )
     themes = F.array(*[F.lit(t) for t in THEMES])
     base = F.element_at(themes, F.col("_theme") + 1)
@@ -131,18 +124,19 @@ def reviews_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
             F.element_at(F.array(*[F.lit(m) for m in modes]), index),
         ).otherwise(failure)
     return (
-        rows.withColumn("sentiment", sentiment_of(F.col("rating"), F.col("_flag")))
-        .withColumn("severity", (F.lit(6) - F.col("rating")).cast("int"))
+        rows.withColumn("sentiment", sentiment_of(F.col("_stars"), F.col("_flag")))
+        .withColumn("rating", F.when(F.col("_rated"), F.col("_stars")))
+        .withColumn("severity", F.when(F.col("_graded"), (F.lit(6) - F.col("_stars")).cast("int")))
         .withColumn("_shifted", shifted)
         .withColumn("primary_theme", F.when(hole, "noise").otherwise(F.col("_shifted")))
         .withColumn("failure_mode", failure)
-        .drop("_flag", "_theme", "_part", "_shifted")
+        .drop("_flag", "_theme", "_part", "_shifted", "_stars", "_rated", "_graded")
     )
 
 
 def reviews_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document as a raw review; `lang` is the known language."""
-    documents = spread(spark, sf_dir, "documents")
+    documents = dealt(spark, sf_dir, "documents", "doc_id")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     parts = table(spark, sf_dir, "part")
     doc = F.col("doc_id")
@@ -189,15 +183,10 @@ def catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def nested_catalog(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The catalogue as one nested map."""
+    """The catalogue as nested maps, one landing row per product."""
     product = F.struct(F.col("product_id").alias("asin"), F.col("product_name").alias("name"))
-    return (
-        catalog(spark, sf_dir)
-        .groupBy("category", "brand")
-        .agg(F.collect_list(product).alias("products"))
-        .groupBy("category")
-        .agg(F.map_from_entries(F.collect_list(F.struct("brand", "products"))).alias("brands"))
-        .agg(F.map_from_entries(F.collect_list(F.struct("category", "brands"))).alias("catalog"))
+    return catalog(spark, sf_dir).select(
+        F.create_map("category", F.create_map("brand", F.array(product))).alias("catalog")
     )
 
 
@@ -215,7 +204,7 @@ def items(spark: SparkSession, sf_dir: str) -> DataFrame:
         .otherwise("soon")
     )
     text = F.col("text")
-    return spread(spark, sf_dir, "documents").select(
+    return dealt(spark, sf_dir, "documents", "doc_id").select(
         (doc % 200).cast("string").alias("asin"),
         doc.alias("id"),
         F.when(doc % 9 != 0, (doc % 5 + 1).cast("double")).alias("rating"),
@@ -321,7 +310,7 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(kind == 2, "no answer")
         .otherwise(body)
     )
-    return spread(spark, sf_dir, "documents").select(
+    return dealt(spark, sf_dir, "documents", "doc_id").select(
         doc.cast("string").alias("review_id"), raw.alias("response")
     )
 

@@ -4,7 +4,6 @@ from __future__ import annotations
 
 from feedloom.config import (
     FAILURE_MODES,
-    FORUM_SEARCHES,
     RISK_SIGNALS,
     SENTIMENTS,
     THEME_LABELS,
@@ -41,6 +40,25 @@ def rnd(value: str, places: int) -> str:
     return f"(round_even(({value})::DOUBLE * {scale}, 0) / {scale})"
 
 
+def exact(value: str, places: int) -> str:
+    """Rounding of the exact value, as Python's round: a decimal of many digits decides ties."""
+    scale, v = f"{10 ** places}.0::DOUBLE", f"({value})::DOUBLE"
+    high = f"({v} * 134217729.0::DOUBLE - ({v} * 134217729.0::DOUBLE - {v}))"
+    product = f"({v} * {scale})"
+    error = f"({high} * {scale} - {product} + ({v} - {high}) * {scale})"
+    return (
+        f"((CASE WHEN {product} - floor({product}) = 0.5::DOUBLE AND {error} > 0 THEN floor({product}) + 1"
+        f" WHEN {product} - floor({product}) = 0.5::DOUBLE AND {error} < 0 THEN floor({product})"
+        f" ELSE round_even({product}, 0) END) / {scale})"
+    )
+
+
+def away(value: str, places: int) -> str:
+    """Half away from zero on the scaled double."""
+    scale = f"{10 ** places}.0::DOUBLE"
+    return f"(sign({value}) * floor(abs(({value})::DOUBLE * {scale}) + 0.5::DOUBLE) / {scale})"
+
+
 def strip(text: str) -> str:
     return rf"regexp_replace({text}, '\A{WS}+|{WS}+\z', '', 'g')"
 
@@ -111,18 +129,20 @@ WITH fact_base AS (
          l_partkey::VARCHAR AS product_id,
          p_name || ' ' || (p_partkey % 20)::VARCHAR AS product_name,
          p_brand AS brand, lower(p_type) AS category,
-         (1 + l_quantity::INT % 5)::DOUBLE AS rating,
+         (1 + l_quantity::INT % 5)::DOUBLE AS stars,
+         CASE WHEN l_orderkey % 53 <> 7 THEN stars END AS rating,
          'Order ' || l_orderkey::VARCHAR AS title,
          p_name || ' ' || (p_partkey % 20)::VARCHAR || ' order ' || l_orderkey::VARCHAR
            || ' flag ' || l_returnflag AS review_text,
-         l_shipdate::DATE AS date, l_linestatus = 'F' AS verified_purchase,
-         (l_suppkey % 50)::INT AS helpful_votes,
+         CASE WHEN l_orderkey % 61 <> 13 THEN l_shipdate::DATE END AS date,
+         CASE WHEN l_orderkey % 67 <> 5 THEN l_linestatus = 'F' END AS verified_purchase,
+         l_orderkey % 59 <> 11 AS graded, (l_suppkey % 50)::INT AS helpful_votes,
          l_returnflag AS flag, l_partkey AS part_no,
          ({array(THEMES)})[(l_linenumber * 2 + l_suppkey) % 15 + 1] AS base_theme
   FROM lineitem JOIN part ON l_partkey = p_partkey
 ), fact_mood AS (
-  SELECT *, (6 - rating)::INT AS severity,
-         CASE WHEN rating >= 4 THEN 'positive' WHEN rating <= 2 THEN 'negative'
+  SELECT *, CASE WHEN graded THEN (6 - stars)::INT END AS severity,
+         CASE WHEN stars >= 4 THEN 'positive' WHEN stars <= 2 THEN 'negative'
               WHEN flag = 'R' THEN 'neutral' ELSE 'mixed' END AS sentiment,
          CASE WHEN date >= {AS_OF} - 90 AND part_no % 3 = 0 THEN 'battery'
               ELSE base_theme END AS shifted
@@ -276,7 +296,7 @@ posts AS (
   FROM comments c JOIN branded b ON c.post_id = b.id
   WHERE c.position < 3 AND length(c.body) > 50
 ), comment_reviews AS (
-  SELECT {forum_review("'reddit_c_' || substr(md5(id), 1, 12)", "own_brand", "body", "substring(post_title, 1, 100)")}
+  SELECT {forum_review("'reddit_c_' || md5(id)", "own_brand", "body", "substring(post_title, 1, 100)")}
   FROM owned
 )"""
 add("s05_marketplace_items", f"WITH {ITEMS} SELECT * FROM marketplace")
@@ -300,7 +320,7 @@ add(
     FROM docs""",
 )
 _FORUM_ROWS = ", ".join(
-    f"({quoted(c)}, {quoted(f)}, {quoted(FORUM_SEARCHES.get(c, c + ' review'))})"
+    f"({quoted(c)}, {quoted(f)}, {quoted(c + ' review')})"
     for c, forums in b.FORUMS.items()
     for f in forums
 )
@@ -373,8 +393,8 @@ def grams(text: str) -> str:
 
 
 PROFILES = f"""
-padded AS (SELECT review_id, lang, string_split({padded('review_text')}, '') AS p_c,
-           string_split({padded('substring(review_text, 1, 500)')}, '') AS head_c FROM docs),
+padded AS (SELECT review_id, lang, string_split({padded('review_text')}, '') AS p_c
+           FROM docs),
 counted AS (SELECT lang, gram, count(*) AS n FROM (
               SELECT lang, unnest({grams('p')}) AS gram FROM padded) GROUP BY ALL),
 profiles AS (SELECT lang, gram, rank FROM (
@@ -395,7 +415,7 @@ best AS (SELECT review_id, guess FROM scores
 add("c04_language_profiles", f"{TEXT}, {PROFILES} SELECT lang, gram, rank FROM profiles")
 add(
     "c04_filter_language",
-    f"""{TEXT}, {PROFILES}, {detected('head')}
+    f"""{TEXT}, {PROFILES}, {detected('p')}
     SELECT review_id, lang FROM docs LEFT JOIN best USING (review_id)
     WHERE coalesce(guess, 'en') = 'en'""",
 )
@@ -426,8 +446,49 @@ _UNWANTED = f"({_SPAM} OR {shouting('review_text')} OR {_REPETITIVE})"
 add("c05_spam_regex", f"{TEXT} SELECT review_id, {_SPAM} AS is_spam FROM docs")
 add(
     "c06_c07_bot_rules",
-    f"""{TEXT}, s AS (SELECT *, substring(title, 1, 20) || repeat('!', doc_id % 7) AS short FROM docs)
-    SELECT review_id, {shouting('short')} AS is_shouting, {_REPETITIVE} AS is_repetitive FROM s""",
+    f"""{TEXT} SELECT review_id, {shouting('review_text')} AS is_shouting,
+    {_REPETITIVE} AS is_repetitive FROM docs""",
+)
+_RECURSIVE = TEXT.replace("WITH docs", "WITH RECURSIVE docs", 1)
+# Near-duplicates. A pair within the bound shares a block of six characters; the exact
+# ratio of those that pass the bounded edit distance is computed row by row.
+NEAR = f"""
+firsts AS (SELECT * FROM (SELECT *, substring({strip('low')}, 1, 200) AS head FROM docs WHERE {_LONG})
+  QUALIFY row_number() OVER (PARTITION BY head ORDER BY doc_id) = 1),
+heads AS (SELECT doc_id, head, length(head) AS n FROM firsts),
+cut AS (SELECT doc_id, n, substring(head, k * 6 + 1, 6) AS block
+  FROM (SELECT *, unnest(range(0, n // 6)) AS k FROM heads)),
+slid AS (SELECT DISTINCT doc_id, n, substring(head, p, 6) AS block
+  FROM (SELECT *, unnest(range(1, n - 4)) AS p FROM heads)),
+met AS (SELECT DISTINCT greatest(c.doc_id, s.doc_id) AS later, least(c.doc_id, s.doc_id) AS earlier
+  FROM cut c JOIN slid s USING (block) WHERE c.doc_id <> s.doc_id
+    AND abs(c.n - s.n) <= ((c.n + s.n) * 5 - 1) // 100),
+bounded AS MATERIALIZED (SELECT later, earlier, a.head AS ha, b.head AS hb, a.n AS na, b.n AS nb
+  FROM met JOIN heads a ON a.doc_id = later JOIN heads b ON b.doc_id = earlier
+  WHERE levenshtein(a.head, b.head) <= ((a.n + b.n) * 5 - 1) // 100),
+common AS (SELECT *, list_reduce(
+    list_transform(string_split(ha, ''), lambda c: list_transform(string_split(hb, ''), lambda d: (c = d)::INT)),
+    lambda prev, eq: list_transform(range(1, nb + 1), lambda j: list_max(list_transform(range(1, j + 1),
+      lambda k: greatest(prev[k], coalesce(prev[k - 1], 0) + eq[k])))::INT),
+    list_transform(range(0, nb), lambda j: 0)) AS row FROM bounded),
+pairs AS MATERIALIZED (SELECT later, earlier FROM common WHERE list_last(row) * 200 > (na + nb) * 95),
+laters AS (SELECT later, list(earlier) AS es, row_number() OVER (ORDER BY later) AS i FROM pairs GROUP BY later),
+walk AS (SELECT 0::BIGINT AS i, []::BIGINT[] AS dropped
+  UNION ALL
+  SELECT l.i, CASE WHEN len(list_filter(l.es, lambda e: NOT list_contains(w.dropped, e))) > 0
+    THEN list_append(w.dropped, l.later) ELSE w.dropped END
+  FROM walk w JOIN laters l ON l.i = w.i + 1),
+near AS (SELECT unnest(dropped) AS doc_id FROM (SELECT dropped FROM walk ORDER BY i DESC LIMIT 1)),
+unique_docs AS (SELECT * FROM firsts WHERE doc_id NOT IN (SELECT doc_id FROM near))"""
+add("c03_dedup_fuzzy", f"{_RECURSIVE}, {NEAR} SELECT review_id FROM unique_docs")
+add(
+    "c12_clean",
+    rf"""{_RECURSIVE}, {NEAR}, {PROFILES}, {detected('p')}
+    SELECT review_id, {collapse('title')} AS title,
+      regexp_replace({collapse('review_text')}, '[^\x20-\x7E\n]', '', 'g') AS review_text,
+      {_SHIPPING} AS is_shipping_only
+    FROM unique_docs LEFT JOIN best USING (review_id)
+    WHERE coalesce(guess, 'en') = 'en' AND NOT {_UNWANTED}""",
 )
 add("c08_remove_spam", f"{TEXT} SELECT review_id FROM docs WHERE NOT {_UNWANTED}")
 add("c09_flag_shipping", f"{TEXT} SELECT review_id, {_SHIPPING} AS is_shipping_only FROM docs")
@@ -438,18 +499,22 @@ add(
 )
 add(
     "c11_cleaning_stats",
-    f"""{TEXT}, kept AS (
+    f"""{_RECURSIVE}, {NEAR}, {PROFILES}, {detected('p')},
+    kept AS (
       SELECT * FROM docs WHERE {_LONG}
       QUALIFY row_number() OVER (PARTITION BY {_HASH} ORDER BY doc_id) = 1),
+    apart AS (SELECT * FROM kept WHERE doc_id IN (SELECT doc_id FROM unique_docs)),
+    local AS (SELECT apart.* FROM apart LEFT JOIN best USING (review_id) WHERE coalesce(guess, 'en') = 'en'),
     n AS (SELECT (SELECT count(*) FROM docs) AS input,
       (SELECT count(*) FROM docs WHERE {_LONG}) AS valid,
-      (SELECT count(*) FROM kept) AS kept,
-      (SELECT count(*) FROM kept WHERE {_UNWANTED}) AS spam,
-      (SELECT count(*) FROM kept WHERE NOT {_UNWANTED} AND {_SHIPPING}) AS shipping)
+      (SELECT count(*) FROM kept) AS kept, (SELECT count(*) FROM apart) AS apart,
+      (SELECT count(*) FROM local) AS local,
+      (SELECT count(*) FROM local WHERE {_UNWANTED}) AS spam,
+      (SELECT count(*) FROM local WHERE NOT {_UNWANTED} AND {_SHIPPING}) AS shipping)
     SELECT input, input - valid AS removed_empty, valid - kept AS removed_exact_dup,
-      0::BIGINT AS removed_fuzzy_dup, 0::BIGINT AS removed_non_english, spam AS removed_spam,
-      shipping AS flagged_shipping, kept - spam AS output,
-      {rnd('(kept - spam)::DOUBLE / input::DOUBLE * 100', 1)} AS retention_rate FROM n""",
+      kept - apart AS removed_fuzzy_dup, apart - local AS removed_non_english, spam AS removed_spam,
+      shipping AS flagged_shipping, local - spam AS output,
+      {rnd('(local - spam)::DOUBLE / input::DOUBLE * 100', 1)} AS retention_rate FROM n""",
 )
 
 # --- Classification -----------------------------------------------------------
@@ -691,11 +756,11 @@ add(
 
 # --- Analysis -----------------------------------------------------------------
 
-_MEAN = "sum({0})::DOUBLE / count(*)::DOUBLE"
+_MEAN = "sum({0})::DOUBLE / count({0})::DOUBLE"
 _RATING, _SEVERITY = _MEAN.format("rating"), _MEAN.format("severity")
 _NEG_SHARE = "(count(*) FILTER (sentiment = 'negative'))::DOUBLE / count(*)::DOUBLE"
 _POS_SHARE = "(count(*) FILTER (sentiment = 'positive'))::DOUBLE / count(*)::DOUBLE"
-_VER_SHARE = "(count(*) FILTER (verified_purchase))::DOUBLE / count(*)::DOUBLE"
+_VER_SHARE = "(count(*) FILTER (verified_purchase))::DOUBLE / count(verified_purchase)::DOUBLE"
 _ISSUES = "sentiment IN ('negative', 'mixed')"
 
 add(
@@ -720,7 +785,7 @@ sums AS (SELECT category, brand, primary_theme, count(*) AS frequency, {_SEVERIT
     list_sort(list(DISTINCT product_name)) AS products
   FROM issue_rows GROUP BY ALL),
 scores AS (SELECT category, brand, primary_theme, frequency, {rnd('sev', 2)} AS avg_severity,
-    {rnd('rec', 3)} AS recency_weight,
+    {exact('rec', 3)} AS recency_weight,
     {rnd('frequency::DOUBLE * sev * rec', 2)} AS impact_score, top_failure_mode, products
   FROM sums LEFT JOIN modes USING (category, brand, primary_theme)),
 quotes AS (SELECT category, brand, primary_theme, list(review_text ORDER BY date, review_id) AS q
@@ -744,7 +809,7 @@ add(
 )
 _SCORE = (
     "(((count(*) FILTER (sentiment = 'positive')) - (count(*) FILTER (sentiment = 'negative')))"
-    "::DOUBLE / count(*)::DOUBLE + sum(rating)::DOUBLE / count(*)::DOUBLE / 5) / 2"
+    "::DOUBLE / count(*)::DOUBLE + sum(rating)::DOUBLE / count(rating)::DOUBLE / 5) / 2"
 )
 THEME_SCORES = f"""
 theme_scores AS (SELECT category, brand, primary_theme, count(*) AS sample_size, {_SCORE} AS score
@@ -774,16 +839,26 @@ add("a06_competitor_comparison", f"{FACT}, {COMPARISON} SELECT * FROM comparison
 EMERGING = f"""
 windows AS (SELECT category, primary_theme AS theme,
     count(*) FILTER (date >= {AS_OF} - 90) AS rc, count(*) FILTER (date < {AS_OF} - 90) AS oc,
-    sum(severity) FILTER (date >= {AS_OF} - 90) AS sev FROM fact GROUP BY ALL),
+    sum(severity) FILTER (date >= {AS_OF} - 90) AS sev,
+    count(severity) FILTER (date >= {AS_OF} - 90) AS graded_n FROM fact GROUP BY ALL),
 rates AS (SELECT *, rc::DOUBLE / greatest(sum(rc) OVER (PARTITION BY category), 1)::DOUBLE AS rr,
     oc::DOUBLE / greatest(sum(oc) OVER (PARTITION BY category), 1)::DOUBLE AS orate,
     sum(oc) OVER () AS all_older FROM windows),
 emerging AS (SELECT category, theme, rc AS recent_count, oc AS older_count,
-    {rnd('rr / greatest(orate, 0.001::DOUBLE)', 2)} AS growth_factor,
-    {rnd('sev::DOUBLE / rc::DOUBLE', 2)} AS recent_severity_avg
+    {exact('(rr / greatest(orate, 0.001::DOUBLE))', 2)} AS growth_factor,
+    {rnd('sev::DOUBLE / nullif(graded_n, 0)::DOUBLE', 2)} AS recent_severity_avg
   FROM rates WHERE rr > orate * 1.5 AND rc >= 5 AND all_older > 0)"""
 add("a07_emerging_issues", f"{FACT}, {EMERGING} SELECT * FROM emerging")
 add("s04_w02_report_round_trip", f"{FACT}, {EMERGING} SELECT * FROM emerging")
+add("a13_emerging_from_cube", f"{FACT}, {EMERGING} SELECT * FROM emerging")
+add("a13_comparison_from_cube", f"{FACT}, {COMPARISON} SELECT * FROM comparison")
+add("x07_star_emerging", f"{FACT}, {EMERGING} SELECT * FROM emerging")
+add("x07_star_comparison", f"{FACT}, {COMPARISON} SELECT * FROM comparison")
+add(
+    "a13_issue_scores_from_cube",
+    f"""{FACT}, {SCORES} SELECT category, brand, primary_theme, frequency, avg_severity,
+    recency_weight, impact_score, top_failure_mode FROM scores""",
+)
 GAPS = f"""
 praised AS (SELECT category, brand, primary_theme AS theme, count(*) AS n FROM fact
   WHERE sentiment = 'positive' GROUP BY ALL),
@@ -808,7 +883,7 @@ RISK = f""", risk AS (
     substring(review_text, 1, 200) AS snippet
   FROM classified WHERE rating <= 2 AND {has_any('low', b.SIGNALS)}),
 risky AS (SELECT product, count(*) AS return_risk_count,
-    {rnd('sum(severity)::DOUBLE / count(*)::DOUBLE', 2)} AS avg_severity,
+    {exact('(sum(severity)::DOUBLE / count(severity)::DOUBLE)', 2)} AS avg_severity,
     array_to_string(list_sort(list(DISTINCT theme)), '|') AS top_themes,
     array_to_string(list_slice(list(review_id ORDER BY review_id), 1, 3), '|') AS samples
   FROM risk GROUP BY product)"""
@@ -820,8 +895,8 @@ add(
 add(
     "a10_default_signals",
     f"""{CLASSIFIED} SELECT review_id,
-    array_to_string({matched('low', RISK_SIGNALS)}, '|') AS risk_signals
-    FROM classified WHERE rating <= 2 AND {has_any('low', RISK_SIGNALS)}""",
+    array_to_string({matched('low', [*RISK_SIGNALS, "worthless"])}, '|') AS risk_signals
+    FROM classified WHERE rating <= 2 AND {has_any('low', [*RISK_SIGNALS, "worthless"])}""",
 )
 add("a11_return_risk", f"{CLASSIFIED}{RISK} SELECT * FROM risky")
 
@@ -859,11 +934,11 @@ def segment(name: str, condition: str) -> str:
     columns = [
         f"count(*) FILTER ({condition}) AS {name}_count",
         rnd(
-            f"(sum(rating) FILTER ({condition}))::DOUBLE / nullif(count(*) FILTER ({condition}), 0)", 2
+            f"(sum(rating) FILTER ({condition}))::DOUBLE / nullif(count(rating) FILTER ({condition}), 0)", 2
         )
         + f" AS {name}_avg_rating",
         rnd(
-            f"(sum(severity) FILTER ({condition}))::DOUBLE / nullif(count(*) FILTER ({condition}), 0)",
+            f"(sum(severity) FILTER ({condition}))::DOUBLE / nullif(count(severity) FILTER ({condition}), 0)",
             2,
         )
         + f" AS {name}_severity_avg",
@@ -880,6 +955,8 @@ add(
     {segment('unverified', 'NOT verified_purchase')} FROM fact""",
 )
 
+add("a13_verified_split_from_cube", SQL["a12_verified_split"])
+
 # --- BI tables ----------------------------------------------------------------
 
 _FLAT = f"""review_id, product_id, product_name, brand, category, rating, title, review_text,
@@ -996,10 +1073,13 @@ def health(rating: str, negative: str, severity: str) -> str:
 _ROUNDED = f"""{rnd(_RATING, 2)} AS avg_rating, {rnd(f'{_NEG_SHARE} * 100', 2)} AS neg_pct,
     {rnd(_SEVERITY, 2)} AS avg_severity, count(*) AS review_count"""
 _WHOLE = f"round_even({health('avg_rating', 'neg_pct', 'avg_severity')}::DOUBLE, 0)::INT"
+_AWAY = f"""{away(_RATING, 2)} AS avg_rating, {away(f'({_NEG_SHARE} * 100)', 2)} AS neg_pct,
+    {away(_SEVERITY, 2)} AS avg_severity"""
+_WHOLE_AWAY = f"{away(health('avg_rating', 'neg_pct', 'avg_severity'), 0)}::INT"
 add(
     "m02_m03_health_and_band",
-    f"""{FACT}, s AS (SELECT category, brand, {_ROUNDED} FROM fact GROUP BY ALL),
-    h AS (SELECT category, brand, {_WHOLE} AS health_score FROM s)
+    f"""{FACT}, s AS (SELECT category, brand, {_AWAY} FROM fact GROUP BY ALL),
+    h AS (SELECT category, brand, {_WHOLE_AWAY} AS health_score FROM s)
     SELECT *, CASE WHEN health_score >= 65 THEN 'Green' WHEN health_score >= 45 THEN 'Yellow'
       ELSE 'Red' END AS band, CASE WHEN health_score >= 65 THEN '#3FB950'
       WHEN health_score >= 45 THEN '#D29922' ELSE '#F85149' END AS colour FROM h""",
@@ -1161,18 +1241,18 @@ add(
 add(
     "d19_monthly_sentiment",
     f"""{FACT} SELECT strftime(date, '%Y-%m') AS month, sentiment, count(*) AS "count"
-    FROM fact GROUP BY ALL""",
+    FROM fact WHERE date IS NOT NULL GROUP BY ALL""",
 )
 add(
     "d20_monthly_rating",
     f"""{FACT} SELECT strftime(date, '%Y-%m') AS month, brand, {rnd(_RATING, 6)} AS avg_rating
-    FROM fact GROUP BY ALL""",
+    FROM fact WHERE date IS NOT NULL GROUP BY ALL""",
 )
 add(
     "d21_emerging_labelled",
     f"{FACT}, {EMERGING} SELECT *, {label_case('theme')} AS theme_label FROM emerging",
 )
-add("d22_search_text", f"{CLASSIFIED} SELECT review_id, brand FROM classified WHERE contains(low, 'the license')")
+add("d22_search_text", f"{CLASSIFIED} SELECT review_id, brand FROM classified WHERE contains(low, 'the mit license')")
 _DISPLAY = (
     "brand, product_name, category, rating, sentiment, primary_theme, severity, "
     "verified_purchase, title, review_text"

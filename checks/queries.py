@@ -26,7 +26,7 @@ from feedloom.operators import (
     star,
 )
 from feedloom.plans import batch
-from feedloom.sources import files, landing, sinks, synthesis, validation
+from feedloom.sources import files, landing, sinks, validation
 
 from . import bindings as b
 
@@ -35,7 +35,6 @@ Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
 
 AS_OF, OWN = b.AS_OF, b.OWN_BRANDS
-CATEGORIES = ["economy", "large", "medium", "promo", "small", "standard"]
 SETTINGS = Settings(own_brands=OWN, as_of=AS_OF, rules=b.RULES, risk_signals=b.SIGNALS)
 ORDER = ("doc_id",)
 LISTED = "|"
@@ -189,14 +188,6 @@ def s15_validate_classified(spark, sf):
     return validation.with_reasons(rows, "classified").select("review_id", text_of("reasons"))
 
 
-@query
-def s16_synthesize(spark, sf):
-    lines = b.spread(spark, sf, "lineitem").select(
-        F.concat_ws("-", "l_orderkey", "l_linenumber", "l_partkey", "l_suppkey").alias("id")
-    )
-    return synthesis.synthesize_from(lines, b.catalog(spark, sf), AS_OF)
-
-
 # --- Sinks --------------------------------------------------------------------
 
 
@@ -270,10 +261,9 @@ def c05_spam_regex(spark, sf):
 @query
 def c06_c07_bot_rules(spark, sf):
     text = F.col("review_text")
-    short = F.concat(F.substring("title", 1, 20), F.repeat(F.lit("!"), (F.col("doc_id") % 7).cast("int")))
     return b.reviews_text(spark, sf).select(
         "review_id",
-        cleaning.is_shouting(short, F.col("rating")).alias("is_shouting"),
+        cleaning.is_shouting(text, F.col("rating")).alias("is_shouting"),
         cleaning.is_repetitive(text).alias("is_repetitive"),
     )
 
@@ -299,8 +289,11 @@ def c10_normalize_text(spark, sf):
 
 @query
 def c11_cleaning_stats(spark, sf):
+    rows = b.reviews_text(spark, sf)
+    profiles = language.train_profiles(rows)
+    copies = neardup.near_copy_ids(cleaning.drop_short(rows), ORDER)
     return cleaning.cleaning_stats(
-        b.reviews_text(spark, sf), SETTINGS, None, None, ORDER, b.SPAM, b.SHIPPING, b.PRODUCT
+        rows, SETTINGS, profiles, copies, ORDER, b.SPAM, b.SHIPPING, b.PRODUCT
     )
 
 
@@ -374,6 +367,7 @@ def k06_split_cached(spark, sf):
     )
     cache = calls.filter(F.col("doc_id") % 3 == 0).select("cache_key").distinct()
     cache = cache.withColumn("response", F.substring("cache_key", 1, 8))
+    cache = cache.union(cache)  # an append-only cache holds keys more than once
     hits, misses = inference.split_cached(calls, cache)
     return hits.select("review_id", "cache_key", "response").unionByName(
         misses.select("review_id", "cache_key", F.lit(None).cast("string").alias("response"))
@@ -535,7 +529,7 @@ def a04_top_issues(spark, sf):
 
 @query
 def a04_all_issue_scores(spark, sf):
-    return issues.issue_scores(b.reviews_fact(spark, sf), AS_OF).drop("affected_products")
+    return issues.issue_scores(b.reviews_fact(spark, sf), AS_OF)
 
 
 @query
@@ -586,7 +580,7 @@ def a10_return_risk_rows(spark, sf):
 
 @query
 def a10_default_signals(spark, sf):
-    return issues.return_risk_rows(classified(spark, sf), tuple(RISK_SIGNALS)).select(
+    return issues.return_risk_rows(classified(spark, sf), (*RISK_SIGNALS, "worthless")).select(
         "review_id", text_of("risk_signals")
     )
 
@@ -628,6 +622,30 @@ def a13_run_all_from_cube(spark, sf):
     return merged
 
 
+def stored_cube(spark: SparkSession, sf: str) -> DataFrame:
+    return Stage(spark, "cube").write(cube.review_cube(b.reviews_fact(spark, sf), AS_OF))
+
+
+@query
+def a13_issue_scores_from_cube(spark, sf):
+    return issues.issue_scores(stored_cube(spark, sf), AS_OF)
+
+
+@query
+def a13_comparison_from_cube(spark, sf):
+    return competition.competitor_comparison(stored_cube(spark, sf), OWN)
+
+
+@query
+def a13_emerging_from_cube(spark, sf):
+    return issues.emerging_issues(stored_cube(spark, sf), AS_OF)
+
+
+@query
+def a13_verified_split_from_cube(spark, sf):
+    return issues.verified_split(stored_cube(spark, sf))
+
+
 # --- BI tables ----------------------------------------------------------------
 
 
@@ -678,6 +696,21 @@ def x07_star_tables(spark, sf):
     return merged
 
 
+def star_of_lines(spark: SparkSession, sf: str) -> dict[str, DataFrame]:
+    rows = classified(spark, sf)
+    return star.star_tables(rows, OWN, AS_OF, comparison(spark, sf), emerging(spark, sf))
+
+
+@query
+def x07_star_comparison(spark, sf):
+    return star_of_lines(spark, sf)["agg_competitor_comparison"]
+
+
+@query
+def x07_star_emerging(spark, sf):
+    return star_of_lines(spark, sf)["agg_emerging_issues"]
+
+
 @query
 def x08_flat_reviews(spark, sf):
     return star.flat_reviews(classified(spark, sf), OWN).drop("doc_id")
@@ -690,7 +723,7 @@ def x09_brand_sentiment_pivot(spark, sf):
 
 @query
 def x10_theme_category_pivot(spark, sf):
-    return star.theme_category_pivot(b.reviews_fact(spark, sf), CATEGORIES)
+    return star.theme_category_pivot(b.reviews_fact(spark, sf))
 
 
 @query
@@ -886,7 +919,7 @@ def d21_emerging_labelled(spark, sf):
 
 @query
 def d22_search_text(spark, sf):
-    return explore.search_text(classified(spark, sf), "The LICENSE").select("review_id", "brand")
+    return explore.search_text(classified(spark, sf), "The MIT License").select("review_id", "brand")
 
 
 @query

@@ -12,6 +12,29 @@ def round_even(value: Column, places: int) -> Column:
     return F.rint(value * scale) / scale
 
 
+def round_away(value: Column, places: int) -> Column:
+    """Round half away from zero on the scaled double, as spreadsheet measures do."""
+    scale = float(10**places)
+    scaled = value * scale
+    return F.signum(scaled) * F.floor(F.abs(scaled) + 0.5) / scale
+
+
+def round_exact(value: Column, places: int) -> Column:
+    """Round the exact value of the double, as Python's round does: 2.675 is below the tie.
+
+    Scaling rounds the product; its error, found with the halves of the value, tells on
+    which side of a tie the exact product lies.
+    """
+    scale = float(10**places)
+    product = value * scale
+    high = value * 134217729.0 - (value * 134217729.0 - value)
+    error = high * scale - product + (value - high) * scale
+    below = F.floor(product).cast("double")
+    rest = product - below
+    tie = F.when(error > 0, below + 1).when(error < 0, below).otherwise(F.rint(product))
+    return F.when(rest == 0.5, tie).otherwise(F.rint(product)) / scale
+
+
 def ratio(part: Column, whole: Column) -> Column:
     """part / whole as a double, null when whole is zero."""
     return F.try_divide(part.cast("double"), whole.cast("double"))

@@ -147,7 +147,8 @@ def cleaning_stats(
     flags = df.select(
         F.when(~is_short(text, settings.min_text), text_hash(text)).alias("hash"),
         F.struct(
-            *[F.col(c) for c in order],
+            # Nulls come last, as in the steps themselves.
+            *[f for c in order for f in (F.col(c).isNull().alias(f"no_{c}"), F.col(c).alias(c))],
             F.col("review_id").alias("id"),
             foreign.alias("foreign"),
             is_unwanted(spam).alias("spam"),

@@ -6,14 +6,14 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.numbers import ratio, round_even
-from .cube import measures, n_all, n_where
+from .cube import mean_of, measures, n_all, n_where
 
 
 def theme_score() -> Column:
     """Aggregate: mean of the net sentiment share and the rating share, -0.4 to 1."""
     positive = n_where(F.col("sentiment") == "positive")
     negative = n_where(F.col("sentiment") == "negative")
-    rating = ratio(F.sum("rating_sum"), F.sum("n_reviews"))
+    rating = mean_of("rating_sum")
     return (ratio(positive - negative, F.sum("n_reviews")) + rating / 5) / 2
 
 
@@ -58,22 +58,22 @@ def competitor_comparison(df: DataFrame, own_brands, min_n: int = 3) -> DataFram
     """Every own brand against every other brand with the same category and theme.
 
     The reviews are read once and reduced to one score per category, brand and
-    theme. The brands of a category and theme, as many as the catalogue has, then
-    meet as an array; a self-join would read and aggregate the reviews twice.
+    theme. One row per category, theme and own brand, as many as the list of own brands
+    allows, then stands beside every row of its theme as columns: each own brand is one
+    aggregate, so no brands are collected and the reviews are not aggregated twice.
     """
     own = list(own_brands)
     side = F.struct(F.col("brand"), F.col("score"), F.col("sample_size").alias("n"))
-    is_own = F.col("brand").isin(own)
+    same = Window.partitionBy("category", "primary_theme")
+    ours = F.array_compact(
+        F.array(*[F.max(F.when(F.col("brand") == name, side)).over(same) for name in own])
+    )
     scores = theme_scores(df).filter(F.col("sample_size") >= min_n)
     delta = F.col("o.score") - F.col("c.score")
     return (
-        scores.groupBy("category", F.col("primary_theme").alias("theme"))
-        .agg(
-            F.collect_list(F.when(is_own, side)).alias("own"),
-            F.collect_list(F.when(~is_own, side)).alias("others"),
-        )
-        .withColumn("o", F.explode("own"))
-        .withColumn("c", F.explode("others"))
+        scores.withColumn("ours", ours)
+        .filter(~F.col("brand").isin(own))
+        .select("category", F.col("primary_theme").alias("theme"), side.alias("c"), F.explode("ours").alias("o"))
         .withColumn("our_brand", F.col("o.brand"))
         .withColumn("competitor", F.col("c.brand"))
         .select(

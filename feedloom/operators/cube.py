@@ -28,17 +28,35 @@ def as_date(value) -> Column:
     return F.lit(value).cast("date") if isinstance(value, str) else F.lit(value)
 
 
+def _built_for(df: DataFrame, day: Column, recent_days: int) -> DataFrame:
+    """The cube with its dated measures; using them fails if it was built for other dates."""
+    same_day = F.col("cube_as_of") == day
+    other = F.raise_error(F.lit("the cube was built for another date or window"))
+    return df.withColumns(
+        {
+            "age_sum": F.when(same_day, F.col("age_sum")).otherwise(other.cast("long")),
+            "is_recent": F.when(
+                same_day & (F.col("cube_days") == recent_days), F.col("is_recent")
+            ).otherwise(other.cast("boolean")),
+        }
+    )
+
+
 def measures(df: DataFrame, as_of=None, recent_days: int = 90) -> DataFrame:
     """One row per review (or cube cell) with additive measures.
 
-    `is_recent` is null for undated reviews: they belong to neither window.
+    Sums of ratings and severities come with the number of reviews that have one, so
+    that means leave out nulls. `is_recent` is null for undated reviews: they belong to
+    neither window.
     """
     if is_cube(df):
-        return df
+        return df if as_of is None else _built_for(df, as_date(as_of), recent_days)
     extra = {
         _COUNT: F.lit(1).cast("long"),
         "rating_sum": F.col("rating"),
+        "rated": F.col("rating").isNotNull().cast("long"),
         "severity_sum": F.col("severity").cast("long"),
+        "graded": F.col("severity").isNotNull().cast("long"),
         "dated": F.col("date").isNotNull().cast("long"),
         "first_date": F.col("date"),
         "last_date": F.col("date"),
@@ -55,7 +73,9 @@ def totals() -> list[Column]:
     return [
         F.sum(_COUNT).alias(_COUNT),
         F.sum("rating_sum").alias("rating_sum"),
+        F.sum("rated").alias("rated"),
         F.sum("severity_sum").alias("severity_sum"),
+        F.sum("graded").alias("graded"),
         F.sum("dated").alias("dated"),
         F.sum("age_sum").alias("age_sum"),
         F.min("first_date").alias("first_date"),
@@ -69,7 +89,8 @@ def review_cube(df: DataFrame, as_of, recent_days: int = 90) -> DataFrame:
     The grain is products x themes x a few flags, so its size follows the
     catalogue rather than the number of reviews.
     """
-    return measures(df, as_of, recent_days).groupBy(*KEYS).agg(*totals())
+    built = {"cube_as_of": as_date(as_of), "cube_days": F.lit(recent_days)}
+    return measures(df, as_of, recent_days).groupBy(*KEYS).agg(*totals()).withColumns(built)
 
 
 def n_where(condition: Column) -> Column:
@@ -81,16 +102,25 @@ def n_all() -> Column:
     return F.coalesce(F.sum(_COUNT), F.lit(0)).cast("long")
 
 
+# Number of reviews that have the value of a summed measure.
+KNOWN = {"rating_sum": "rated", "severity_sum": "graded"}
+
+
 def mean_of(total: str, condition: Column | None = None) -> Column:
-    """Average of a summed measure over all reviews or those that match."""
-    if condition is None:
-        return F.try_divide(F.sum(total).cast("double"), F.sum(_COUNT).cast("double"))
-    return F.try_divide(
-        F.sum(F.when(condition, F.col(total))).cast("double"),
-        F.sum(F.when(condition, F.col(_COUNT))).cast("double"),
-    )
+    """Average of a summed measure over all reviews that have it or those that match."""
+    parts = [F.col(total), F.col(KNOWN[total])]
+    if condition is not None:
+        parts = [F.when(condition, p) for p in parts]
+    return F.try_divide(*[F.sum(p).cast("double") for p in parts])
+
+
+def share_where(condition: Column, known: Column | None = None) -> Column:
+    """Share of the reviews (of those with `known` true) that satisfy the condition."""
+    whole = F.sum(_COUNT) if known is None else n_where(known)
+    return F.try_divide(n_where(condition).cast("double"), whole.cast("double"))
 
 
-def share_where(condition: Column) -> Column:
-    """Share of the reviews that satisfy the condition, between 0 and 1."""
-    return F.try_divide(n_where(condition).cast("double"), F.sum(_COUNT).cast("double"))
+def verified_share() -> Column:
+    """Share of verified purchases among the reviews that tell."""
+    verified = F.col("verified_purchase")
+    return share_where(verified, verified.isNotNull())

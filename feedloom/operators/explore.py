@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from ..config import ISSUE_SENTIMENTS, THEME_LABELS, THEMES
 from ..functions.numbers import ratio, round_even
 from ..functions.text import snippet, theme_label
-from .cube import mean_of, measures, n_all, share_where
+from .cube import mean_of, measures, n_all, share_where, verified_share
 
 NEGATIVE = "negative"
 
@@ -61,7 +61,7 @@ def kpi_row(df: DataFrame) -> DataFrame:
             mean_of("rating_sum").alias("rating"),
             share_where(F.col("sentiment") == NEGATIVE).alias("negative"),
             mean_of("severity_sum").alias("severity"),
-            share_where(F.col("verified_purchase")).alias("verified"),
+            verified_share().alias("verified"),
             F.countDistinct("product_name").alias("products"),
         )
         .select(

@@ -25,9 +25,10 @@ def infer(
     """Answer every prompt; return the answered rows and the failed ones.
 
     `make_scorer` is called once per task and returns a function from prompts to
-    answers. Only the prompt column travels to Python. If a batch raises, its
-    prompts are tried one by one so that one bad row fails alone. Calls cost money,
-    so the answers are written down once before they are split.
+    answers. Only the prompt column travels to Python. If a batch raises or gives
+    another number of answers, its prompts are tried one by one so that one bad row
+    fails alone. Calls cost money, so they are made when this function is called and
+    the answers are written down once before they are split.
     """
 
     result = T.StructType(
@@ -38,9 +39,15 @@ def infer(
     def answer(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scorer = make_scorer()
 
+        def ask(texts: list[str]) -> list:
+            answers = list(scorer(texts))
+            if len(answers) != len(texts):
+                raise ValueError(f"{len(answers)} answers for {len(texts)} prompts")
+            return answers
+
         def alone(text: str) -> tuple:
             try:
-                return scorer([text])[0], None
+                return ask([text])[0], None
             except Exception as error:  # noqa: BLE001 - any failure marks the row
                 return None, f"{type(error).__name__}: {error}"
 
@@ -49,7 +56,7 @@ def infer(
             for start in range(0, len(prompts), batch):
                 texts = list(prompts.iloc[start : start + batch])
                 try:
-                    rows.extend((text, None) for text in scorer(texts))
+                    rows.extend([(text, None) for text in ask(texts)])
                 except Exception:  # noqa: BLE001
                     rows.extend(alone(text) for text in texts)
             yield pd.DataFrame(rows, columns=["response", "failed_reason"], dtype=object)
@@ -75,9 +82,17 @@ def with_cache_key(df: DataFrame, system: str = "") -> DataFrame:
 
 
 def split_cached(df: DataFrame, cache: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Rows answered by the cache and rows that still need a call."""
-    answers = cache.select("cache_key", "response")
-    return df.join(answers, "cache_key"), df.join(answers, "cache_key", "left_anti")
+    """Rows answered by the cache and rows that still need a call.
+
+    A key that the cache holds more than once answers with its smallest response.
+    """
+    answers = cache.groupBy("cache_key").agg(F.min("response").alias("response"))
+    looked_up = df.join(answers.withColumn("_known", F.lit(True)), "cache_key", "left")
+    known = F.coalesce("_known", F.lit(False))
+    return (
+        looked_up.filter(known).drop("_known"),
+        looked_up.filter(~known).drop("_known", "response"),
+    )
 
 
 def distinct_calls(misses: DataFrame) -> DataFrame:
@@ -136,8 +151,8 @@ def within_budget(calls: DataFrame, budget: float, order: list[str]) -> DataFram
 
     A running total over all calls in one window would end in one task. The calls
     are range-partitioned on the order instead; every part gets its own running
-    total and the sum of the parts before it. The parts are written down before
-    they are used twice, so both uses see the same boundaries.
+    total and the sum of the parts before it. The parts are written down, when this
+    function is called, before they are used twice: both uses see the same boundaries.
     """
     stage = Stage(calls.sparkSession, "budget")
     tasks = int(calls.sparkSession.conf.get("spark.sql.shuffle.partitions"))

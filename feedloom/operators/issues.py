@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..config import ISSUE_SENTIMENTS, RISK_SIGNALS
-from ..functions.numbers import ratio, round_even
-from ..functions.text import matched, snippet, strip
-from .cube import is_cube, mean_of, measures, n_all, n_where, share_where
+from ..functions.numbers import ratio, round_even, round_exact
+from ..functions.text import let, matched, snippet, strip
+from .cube import is_cube, mean_of, measures, n_all, n_where, verified_share
 
 ISSUE_KEYS = ["category", "brand", "primary_theme"]
 
@@ -24,7 +24,7 @@ def summary_stats(df: DataFrame) -> DataFrame:
         F.countDistinct("brand").alias("brands"),
         F.min("first_date").alias("min_date"),
         F.max("last_date").alias("max_date"),
-        share_where(F.col("verified_purchase")).alias("verified_purchase_rate"),
+        verified_share().alias("verified_purchase_rate"),
     )
 
 
@@ -54,28 +54,21 @@ def value_counts(df: DataFrame, column: str) -> DataFrame:
 def issue_scores(df: DataFrame, as_of, decay_days: int = 180) -> DataFrame:
     """Frequency, severity, recency and impact of every category, brand and theme.
 
-    Reviews are first reduced to one row per issue, product and failure mode. The
-    issue totals, the leading failure mode and the product list all come from
-    that small table, so the reviews are shuffled once.
+    Reviews are first reduced to one row per issue and failure mode, all by sums; the
+    leading failure mode comes from that small table.
     """
-    parts = (
+    by_mode = (
         measures(df, as_of)
         .filter(F.col("sentiment").isin(ISSUE_SENTIMENTS))
-        .groupBy(*ISSUE_KEYS, "product_name", "failure_mode")
+        .groupBy(*ISSUE_KEYS, "failure_mode")
         .agg(
             F.sum("n_reviews").alias("n_reviews"),
             F.sum("severity_sum").alias("severity_sum"),
+            F.sum("graded").alias("graded"),
             F.sum("age_sum").alias("age_sum"),
             F.sum("dated").alias("dated"),
         )
     )
-    by_mode = parts.groupBy(*ISSUE_KEYS, "failure_mode").agg(
-        F.sum("n_reviews").alias("n_reviews"),
-        F.sum("severity_sum").alias("severity_sum"),
-        F.sum("age_sum").alias("age_sum"),
-        F.sum("dated").alias("dated"),
-        F.collect_set("product_name").alias("products"),
-    )
     # The most frequent failure mode, the first by name among equals.
     mode_rank = F.when(
         F.col("failure_mode").isNotNull(),
@@ -84,22 +77,29 @@ def issue_scores(df: DataFrame, as_of, decay_days: int = 180) -> DataFrame:
     age = ratio(F.sum("age_sum"), F.sum("dated"))
     scored = by_mode.groupBy(*ISSUE_KEYS).agg(
         F.sum("n_reviews").alias("frequency"),
-        ratio(F.sum("severity_sum"), F.sum("n_reviews")).alias("severity"),
+        mean_of("severity_sum").alias("severity"),
         F.coalesce(F.exp(-age / F.lit(float(decay_days))), F.lit(0.5)).alias("recency"),
         F.min(mode_rank)["mode"].alias("top_failure_mode"),
-        F.array_sort(F.array_distinct(F.flatten(F.collect_list("products")))).alias(
-            "affected_products"
-        ),
     )
     impact = F.col("frequency").cast("double") * F.col("severity") * F.col("recency")
     return scored.select(
         *ISSUE_KEYS,
         "frequency",
         round_even(F.col("severity"), 2).alias("avg_severity"),
-        round_even(F.col("recency"), 3).alias("recency_weight"),
+        round_exact(F.col("recency"), 3).alias("recency_weight"),
         round_even(impact, 2).alias("impact_score"),
         "top_failure_mode",
-        "affected_products",
+    )
+
+
+def affected_products(df: DataFrame, issues: DataFrame) -> DataFrame:
+    """The product names of some issues as sorted lists; only their reviews are grouped."""
+    return (
+        df.filter(F.col("sentiment").isin(ISSUE_SENTIMENTS))
+        .select(*ISSUE_KEYS, "product_name")
+        .join(issues.select(*ISSUE_KEYS), ISSUE_KEYS, "left_semi")
+        .groupBy(*ISSUE_KEYS)
+        .agg(F.array_sort(F.collect_set("product_name")).alias("affected_products"))
     )
 
 
@@ -118,27 +118,23 @@ def first_texts(
     order: list[str],
     value: Column,
     name: str,
-    carry: str | None = None,
 ) -> DataFrame:
     """The first n values per key as an ordered array.
 
     The filter on row_number lets Spark cut every key to n rows before the
     shuffle, so a key that holds a third of the table costs no more than others.
-    `carry` names a column that is the same in all rows of a key.
     """
     window = Window.partitionBy(*keys).orderBy(*[F.col(c).asc_nulls_last() for c in order])
-    carried = [carry] if carry else []
     return (
         df.withColumn("_value", value)
-        .select(*keys, "_value", *carried, *[c for c in order if c not in keys])
+        .select(*keys, "_value", *[c for c in order if c not in keys])
         .withColumn("_position", F.row_number().over(window))
         .filter(F.col("_position") <= n)
         .groupBy(*keys)
         .agg(
-            F.array_sort(F.collect_list(F.struct("_position", "_value"))).alias("_values"),
-            *[F.any_value(c).alias(c) for c in carried],
+            F.array_sort(F.collect_list(F.struct("_position", "_value"))).alias("_values")
         )
-        .select(*keys, F.transform("_values", lambda v: v["_value"]).alias(name), *carried)
+        .select(*keys, F.transform("_values", lambda v: v["_value"]).alias(name))
     )
 
 
@@ -159,25 +155,20 @@ def top_issues(
     """
     texts = texts if texts is not None else df
     ranked = rank_issues(issue_scores(df, as_of, decay_days), top_n)
+    listed = ranked.join(affected_products(df, ranked), ISSUE_KEYS)
     if is_cube(texts):
-        return ranked.withColumn("sample_quotes", F.array().cast("array<string>"))
-    details = [c for c in ranked.columns if c not in ISSUE_KEYS]
-    # Every ranked issue has reviews, so its own columns can travel with them:
-    # the ranking is computed once and joined once.
+        return listed.withColumn("sample_quotes", F.array().cast("array<string>"))
+    # The keys of the ranked issues meet the reviews; everything else joins the three
+    # quotes that are left of each.
     candidates = (
         texts.filter(F.col("sentiment").isin(ISSUE_SENTIMENTS))
         .select(*ISSUE_KEYS, "review_text", *order)
-        .join(ranked.select(*ISSUE_KEYS, F.struct(*details).alias("_issue")), ISSUE_KEYS)
+        .join(ranked.select(*ISSUE_KEYS), ISSUE_KEYS, "left_semi")
     )
-    return first_texts(
-        candidates,
-        ISSUE_KEYS,
-        quotes,
-        list(order),
-        F.col("review_text"),
-        "sample_quotes",
-        carry="_issue",
-    ).select(*ISSUE_KEYS, "_issue.*", "sample_quotes")
+    quoted = first_texts(
+        candidates, ISSUE_KEYS, quotes, list(order), F.col("review_text"), "sample_quotes"
+    )
+    return listed.join(quoted, ISSUE_KEYS)
 
 
 # --- Emerging issues ----------------------------------------------------------
@@ -220,7 +211,7 @@ def emerging_issues(
             F.col("primary_theme").alias("theme"),
             "recent_count",
             "older_count",
-            round_even(
+            round_exact(
                 F.col("recent_rate") / F.greatest(F.col("older_rate"), F.lit(0.001)), 2
             ).alias("growth_factor"),
             round_even(F.col("severity"), 2).alias("recent_severity_avg"),
@@ -264,7 +255,14 @@ def return_risk_rows(df: DataFrame, signals=tuple(RISK_SIGNALS)) -> DataFrame:
     """Reviews rated 2 or lower whose text holds a return signal."""
     return (
         df.filter(F.col("rating") <= 2)
-        .withColumn("risk_signals", matched(F.lower("review_text"), signals))
+        # Found once per text: as elements of an array the signals are not computed again
+        # for the filter.
+        .withColumn(
+            "risk_signals",
+            F.explode(
+                let(F.lower("review_text"), lambda low: F.array(matched(low, signals)))
+            ),
+        )
         .filter(F.size("risk_signals") > 0)
         .select(
             "review_id",
@@ -281,11 +279,15 @@ def return_risk_rows(df: DataFrame, signals=tuple(RISK_SIGNALS)) -> DataFrame:
 
 
 def return_risk(df: DataFrame, signals=tuple(RISK_SIGNALS), samples: int = 3) -> DataFrame:
-    """Return-risk reviews per product with their themes and first samples."""
-    rows = return_risk_rows(df, signals)
+    """Return-risk reviews per product with their themes and first samples.
+
+    The texts are read once: both parts of the result come from the risk rows, which are
+    narrow and kept (in memory, else on disk) until the session's cache is cleared.
+    """
+    rows = return_risk_rows(df, signals).persist()
     totals = rows.groupBy("product").agg(
         F.count(F.lit(1)).alias("return_risk_count"),
-        round_even(ratio(F.sum("severity"), F.count(F.lit(1))), 2).alias("avg_severity"),
+        round_exact(ratio(F.sum("severity"), F.count("severity")), 2).alias("avg_severity"),
         F.array_sort(F.collect_set("theme")).alias("top_themes"),
     )
     sample = F.struct(

@@ -66,10 +66,13 @@ def detect_language(
     df: DataFrame,
     profiles: DataFrame,
     text: str = "review_text",
-    chars: int | None = 500,
+    chars: int | None = None,
     name: str = "detected_lang",
 ) -> DataFrame:
-    """Add the language of the text (of its first `chars` characters), null if undetectable.
+    """Add the language of the text, null if undetectable.
+
+    With `chars` only that many first characters are looked at, which is faster and
+    misses what follows; 500 is a usual number.
 
     Most shared trigrams win, among equals the first language by name.
     """
@@ -101,7 +104,7 @@ def filter_language(
     df: DataFrame,
     profiles: DataFrame,
     lang: str = "en",
-    chars: int | None = 500,
+    chars: int | None = None,
     text: str = "review_text",
 ) -> DataFrame:
     """Keep reviews in the language and those whose language cannot be told."""

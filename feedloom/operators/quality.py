@@ -42,20 +42,22 @@ def _counts(df: DataFrame) -> DataFrame:
 
     Everything is counted inside the row, so texts are neither copied nor shuffled.
     """
-    low = F.lower("review_text")
     none = F.lit(0)
-    return df.withColumns(
-        {
-            "_phrases": F.coalesce(F.size("key_phrases"), none),
-            "_phrases_found": F.coalesce(
+
+    def counted(low: Column) -> Column:
+        return F.struct(
+            F.coalesce(F.size("key_phrases"), none).alias("phrases"),
+            F.coalesce(
                 F.size(F.filter("key_phrases", lambda p: _phrase_found(p, low))), none
-            ),
-            "_features": F.coalesce(F.size("features_mentioned"), none),
-            "_features_found": F.coalesce(
+            ).alias("phrases_found"),
+            F.coalesce(F.size("features_mentioned"), none).alias("features"),
+            F.coalesce(
                 F.size(F.filter("features_mentioned", lambda f: _feature_found(f, low))), none
-            ),
-        }
-    )
+            ).alias("features_found"),
+        )
+
+    # Lower-cased once per text; the explode of one element keeps it from being repeated.
+    return df.withColumn("_n", F.explode(F.transform(F.array(F.lower("review_text")), counted)))
 
 
 def phrase_grounding(df: DataFrame) -> DataFrame:
@@ -63,8 +65,8 @@ def phrase_grounding(df: DataFrame) -> DataFrame:
     return (
         _counts(df)
         .agg(
-            _total(F.col("_phrases")).alias("total_phrases"),
-            _total(F.col("_phrases_found")).alias("grounded"),
+            _total(F.col("_n.phrases")).alias("total_phrases"),
+            _total(F.col("_n.phrases_found")).alias("grounded"),
         )
         .withColumn("hallucinated", F.col("total_phrases") - F.col("grounded"))
         .withColumn("rate", _rate("grounded", "total_phrases"))
@@ -76,10 +78,14 @@ def phrase_grounding(df: DataFrame) -> DataFrame:
 
 def ungrounded_examples(df: DataFrame, n: int = 10) -> DataFrame:
     """The first phrases that are not grounded."""
-    low = F.lower("review_text")
-    missing = F.filter(
-        F.transform("key_phrases", lambda p, i: F.struct(i.alias("position"), p.alias("phrase"))),
-        lambda e: ~_phrase_found(e["phrase"], low),
+    missing = let(
+        F.lower("review_text"),
+        lambda low: F.filter(
+            F.transform(
+                "key_phrases", lambda p, i: F.struct(i.alias("position"), p.alias("phrase"))
+            ),
+            lambda e: ~_phrase_found(e["phrase"], low),
+        ),
     )
     return (
         df.select(
@@ -98,8 +104,8 @@ def feature_grounding(df: DataFrame) -> DataFrame:
     return (
         _counts(df)
         .agg(
-            _total(F.col("_features")).alias("total"),
-            _total(F.col("_features_found")).alias("grounded"),
+            _total(F.col("_n.features")).alias("total"),
+            _total(F.col("_n.features_found")).alias("grounded"),
         )
         .withColumn("_rate", _rate("grounded", "total"))
         .withColumn("status", verdict(F.col("_rate"), 0.85))
@@ -190,8 +196,8 @@ def quality_checks(df: DataFrame) -> DataFrame:
         return F.coalesce(ratio(part, F.greatest(whole, F.lit(1))), F.lit(0.0))
 
     sums = _counts(df).agg(
-        share(_total(F.col("_phrases_found")), _total(F.col("_phrases"))).alias("phrases"),
-        share(_total(F.col("_features_found")), _total(F.col("_features"))).alias("features"),
+        share(_total(F.col("_n.phrases_found")), _total(F.col("_n.phrases"))).alias("phrases"),
+        share(_total(F.col("_n.features_found")), _total(F.col("_n.features"))).alias("features"),
         share(
             _total(is_aligned(F.col("rating"), F.col("sentiment")).cast("long")), n
         ).alias("alignment"),

@@ -6,10 +6,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..config import BAND_COLOURS, ISSUE_SENTIMENTS, THEME_LABELS
-from ..functions.numbers import round_even
+from ..functions.numbers import round_away, round_even
 from ..functions.text import theme_label
 from .competition import theme_score
-from .cube import mean_of, measures, n_all, share_where
+from .cube import mean_of, measures, n_all, share_where, verified_share
 
 
 
@@ -22,7 +22,7 @@ def headline() -> list[Column]:
         mean_of("rating_sum").alias("avg_rating"),
         (negative * 100).alias("negative_pct"),
         mean_of("severity_sum").alias("avg_severity"),
-        (share_where(F.col("verified_purchase")) * 100).alias("verified_pct"),
+        (verified_share() * 100).alias("verified_pct"),
         F.countDistinct("product_name").alias("distinct_products"),
     ]
 
@@ -36,11 +36,12 @@ def health(rating: Column, negative_pct: Column, severity: Column) -> Column:
     return rating / 5 * 40 + (F.lit(100) - negative_pct) / 100 * 30 + (F.lit(5) - severity) / 4 * 30
 
 
-def rounded_health(rating: Column, negative_pct: Column, severity: Column) -> Column:
+def rounded_health(
+    rating: Column, negative_pct: Column, severity: Column, rounding=round_even
+) -> Column:
     """Whole-number score from components rounded to two places."""
-    return F.rint(
-        health(round_even(rating, 2), round_even(negative_pct, 2), round_even(severity, 2))
-    ).cast("int")
+    parts = [rounding(c, 2) for c in (rating, negative_pct, severity)]
+    return rounding(health(*parts), 0).cast("int")
 
 
 def band(score: Column) -> Column:
@@ -81,13 +82,16 @@ def brand_health(df: DataFrame) -> DataFrame:
 
 
 def health_by(df: DataFrame, *keys: str) -> DataFrame:
-    """Health score with its band and colour under any grouping."""
+    """Health score with its band and colour under any grouping.
+
+    This measure rounds half away from zero; the scorecard rounds half to even.
+    """
     return (
         measure_by(df, *keys)
         .select(
             *keys,
             rounded_health(
-                F.col("avg_rating"), F.col("negative_pct"), F.col("avg_severity")
+                F.col("avg_rating"), F.col("negative_pct"), F.col("avg_severity"), round_away
             ).alias("health_score"),
         )
         .withColumn("band", band(F.col("health_score")))
@@ -108,7 +112,9 @@ def own_brand_panel(df: DataFrame, own_brands) -> DataFrame:
         .agg(
             n_all().alias("n"),
             F.sum("rating_sum").alias("rating_sum"),
+            F.sum("rated").alias("rated"),
             F.sum("severity_sum").alias("severity_sum"),
+            F.sum("graded").alias("graded"),
             F.sum(F.when(F.col("sentiment") == "negative", F.col("n_reviews"))).alias("negatives"),
             F.sum(
                 F.when(F.col("sentiment").isin(ISSUE_SENTIMENTS), F.col("n_reviews"))
@@ -127,9 +133,9 @@ def own_brand_panel(df: DataFrame, own_brands) -> DataFrame:
         themes.groupBy("brand")
         .agg(
             F.sum("n").alias("reviews"),
-            (F.sum("rating_sum") / n).alias("rating"),
+            mean_of("rating_sum").alias("rating"),
             (F.coalesce(F.sum("negatives"), F.lit(0)).cast("double") / n * 100).alias("negative"),
-            (F.sum("severity_sum").cast("double") / n).alias("severity"),
+            mean_of("severity_sum").alias("severity"),
             modal["theme"].alias("top_issue"),
         )
         .withColumn("score", score)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import json
+
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -55,7 +57,17 @@ def read_any(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_report(spark: SparkSession, path: str, table: str | None = None) -> DataFrame:
-    """A saved result: one table of a report folder, or a multi-line JSON document."""
+    """A saved result: one table of a report folder, or a multi-line JSON document.
+
+    A table is read with the schema that stands beside it, or an inferred one without.
+    """
     if table is not None:
-        return spark.read.json(f"{path}/{table}")
+        try:
+            stored = spark.read.text(f"{path}/_schemas/{table}").first()["value"]
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
+            return spark.read.json(f"{path}/{table}")
+        schema = T.StructType.fromJson(json.loads(stored))
+        return spark.read.schema(schema).json(f"{path}/{table}")
     return spark.read.option("multiLine", True).json(path)

@@ -7,7 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..config import DATE_FORMATS, FORUM_SEARCHES, FORUMS, NEGATIVE_WORDS, POSITIVE_WORDS
+from ..config import DATE_FORMATS, NEGATIVE_WORDS, POSITIVE_WORDS
 from ..functions.text import count_present, first_label, snippet, strip
 from ..schema import RAW
 
@@ -102,11 +102,13 @@ def estimate_rating(text: Column, positive=tuple(POSITIVE_WORDS), negative=tuple
     return F.when(balance > 0, 4.0).when(balance < 0, 2.0).otherwise(3.0)
 
 
-def forum_sources(spark: SparkSession, forums=None, category: str | None = None) -> DataFrame:
+def forum_sources(
+    spark: SparkSession, forums: dict, category: str | None = None, searches: dict | None = None
+) -> DataFrame:
     """The (category, forum, query) sources to read, for one category or all."""
-    forums = FORUMS if forums is None else forums
+    searches = searches or {}
     rows = [
-        (c, forum, FORUM_SEARCHES.get(c, f"{c} review"))
+        (c, forum, searches.get(c, f"{c} review"))
         for c, names in forums.items()
         if category in (None, c)
         for forum in names
@@ -193,7 +195,7 @@ def map_comments(
         snippet(F.col("title"), 100).alias("title"),
     )
     brand = F.coalesce(detect_brand(F.col("body"), brand_keywords), F.col("post_brand"))
-    digest = F.substring(F.md5(F.col("id").cast("string")), 1, 12)
+    digest = F.md5(F.col("id").cast("string"))
     return (
         comments.filter((F.col("position") < first) & (F.length("body") > 50))
         .join(parents, "post_id")

@@ -16,9 +16,14 @@ def write_reviews(df: DataFrame, path: str, fmt: str = "parquet", by: str | None
 
 
 def write_report(tables: dict[str, DataFrame], path: str) -> None:
-    """Write every result table as JSON lines under one folder."""
+    """Write every result table as JSON lines under one folder, its schema beside it.
+
+    The schema keeps the columns of tables without rows and of columns without values.
+    """
     for name, df in tables.items():
         df.write.mode("overwrite").json(f"{path}/{name}")
+        schema = df.sparkSession.createDataFrame([(df.schema.json(),)], "value string")
+        schema.coalesce(1).write.mode("overwrite").text(f"{path}/_schemas/{name}")
 
 
 def flat_columns(df: DataFrame) -> list[Column]:

@@ -9,8 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from ..functions.numbers import choose
-from .landing import union_sources
+from feedloom.functions.numbers import choose
+from feedloom.sources.landing import union_sources
 
 # --- Fixed values: shares of the star ratings and helpful-vote weights ---------
 

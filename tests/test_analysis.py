@@ -252,3 +252,46 @@ def test_pivot_finds_its_columns(labelled):
     df = labelled({"category": "a"}, {"category": "b"}, {"category": "b", "primary_theme": "noise"})
     got = {r["primary_theme"]: (r["a"], r["b"]) for r in star.theme_category_pivot(df).collect()}
     assert got == {"durability": (1, 1), "noise": (0, 1)}
+
+
+def test_means_leave_out_nulls(labelled):
+    from feedloom.operators import competition, issues, scorecards
+
+    rows = labelled(
+        {"rating": 4.0, "severity": 2, "verified_purchase": True},
+        {"rating": None, "severity": None, "verified_purchase": None},
+    )
+    assert issues.avg_rating_by(rows).first()["avg_rating"] == 4.0
+    assert scorecards.brand_health(rows).first()["avg_severity"] == 2.0
+    assert issues.summary_stats(rows).first()["verified_purchase_rate"] == 1.0
+    assert issues.verified_split(rows).first()["verified_avg_rating"] == 4.0
+    assert issues.issue_scores(rows, "2024-07-01").first()["avg_severity"] == 2.0
+    assert competition.theme_scores(rows).first()["score"] == (-1 + 4 / 5) / 2
+
+
+def test_a_cube_answers_only_for_its_dates(spark, labelled):
+    import pytest
+    from feedloom.operators import cube, issues
+
+    rows = labelled(*[{"severity": 4} for _ in range(6)])
+    stored = cube.review_cube(rows, "2024-07-01").cache()
+    direct = issues.issue_scores(rows, "2024-07-01").collect()
+    assert issues.issue_scores(stored, "2024-07-01").collect() == direct
+    with pytest.raises(Exception, match="another date"):
+        issues.issue_scores(stored, "2025-07-01").collect()
+    with pytest.raises(Exception, match="another date"):
+        issues.emerging_issues(stored, "2024-07-01", 60).collect()
+
+
+def test_three_ways_of_rounding(spark):
+    from feedloom.functions.numbers import round_away, round_even, round_exact
+    from pyspark.sql import functions as F
+
+    values = [2.675, 0.125, 2.5, 1.005, 107 / 40, 0.5, -2.675, 0.045, 1e-9, 123456.785]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    v = F.col("v")
+    rows = df.select("v", round_exact(v, 2).alias("exact"), round_even(v, 2).alias("even"), round_away(v, 2).alias("away")).collect()
+    assert [r["exact"] for r in rows] == [round(x, 2) for x in values]
+    by = {r["v"]: r for r in rows}
+    assert (by[2.675]["exact"], by[2.675]["even"], by[2.675]["away"]) == (2.67, 2.68, 2.68)
+    assert (by[0.125]["even"], by[0.125]["away"]) == (0.12, 0.13)

@@ -4,7 +4,7 @@ from feedloom.config import Settings
 from feedloom.plans.batch import run_batch
 from feedloom.sources.landing import catalog_df
 from feedloom.sources.sinks import write_reviews
-from feedloom.sources.synthesis import synthesize_reviews
+from synthesis import synthesize_reviews
 from pyspark.sql import functions as F
 
 from test_synthesis import NESTED

@@ -74,7 +74,8 @@ def test_rules(raw):
         {"rating": 3.0, "review_text": "fine overall, nothing more to say"},
         {"rating": 2.5, "review_text": "meh"},
     )
-    rows = {r["review_id"]: r for r in classify.rule_classify(df).collect()}
+    rules = RuleSet(mention_brands=("Dyson",))
+    rows = {r["review_id"]: r for r in classify.rule_classify(df, rules).collect()}
     a, b, c, d, e = (rows[f"r00{i}"] for i in range(5))
     assert (a["primary_theme"], a["sentiment"], a["severity"]) == ("durability", "negative", 5)
     assert a["failure_mode"] in RuleSet().failure_modes["durability"]
@@ -211,3 +212,32 @@ def test_brief_falls_back_to_all_brands(spark):
     )
     assert [r["rank"] for r in evidence.brief_issues(df, "c", "B").collect()] == [2]
     assert sorted(r["rank"] for r in evidence.brief_issues(df, "c", "X").collect()) == [1, 2]
+
+
+def test_repeated_cache_keys_answer_once(spark):
+    calls = spark.createDataFrame([("r1", "k1"), ("r2", "k2")], "review_id string, cache_key string")
+    cache = spark.createDataFrame([("k1", "b"), ("k1", "a"), ("k1", None)], "cache_key string, response string")
+    hits, misses = inference.split_cached(calls, cache)
+    assert [(r["review_id"], r["response"]) for r in hits.collect()] == [("r1", "a")]
+    assert [r["review_id"] for r in misses.collect()] == ["r2"] and sorted(misses.columns) == sorted(calls.columns)
+
+
+def test_too_few_answers_do_not_shift_rows(spark):
+    def make():
+        def scorer(prompts):
+            if len(prompts) == 1:
+                return [p.upper() for p in prompts]
+
+            def some():
+                yield "wrong"
+                raise RuntimeError("gone")
+
+            return some() if len(prompts) > 3 else ["too few"]
+
+        return scorer
+
+    df = spark.createDataFrame([(i, f"p{i}") for i in range(8)], "id int, prompt string").coalesce(1)
+    for batch in (2, 5):
+        answered, failed = inference.infer(df, make, batch=batch)
+        assert {r["prompt"]: r["response"] for r in answered.collect()} == {f"p{i}": f"P{i}" for i in range(8)}
+        assert failed.count() == 0

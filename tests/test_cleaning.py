@@ -108,3 +108,16 @@ def test_stats_add_up(raw):
     assert row["flagged_shipping"] == 1
     assert row["output"] == 3
     assert row["retention_rate"] == 42.9
+
+
+def test_stats_keep_what_cleaning_keeps_of_undated_copies(raw):
+    from feedloom.config import Settings
+    from feedloom.operators.neardup import near_copy_ids
+
+    text = "A text that comes twice, once without a date."
+    df = raw({"review_text": text, "date": None}, {"review_text": text}, {"review_text": text + "!", "date": None})
+    settings = Settings(own_brands=("Ours",), as_of="2024-07-01")
+    kept = cleaning.clean(df, settings).collect()
+    stats = cleaning.cleaning_stats(df, settings, None, near_copy_ids(df)).first()
+    assert [r["review_id"] for r in kept] == ["r001"]
+    assert (stats["output"], stats["removed_exact_dup"], stats["removed_fuzzy_dup"]) == (1, 1, 1)

@@ -69,3 +69,23 @@ def test_no_python_in_the_rules(stored):
     )
     text = plan(rule_classify(raw))
     assert "Python" not in text and "Exchange" not in text
+
+
+def test_quotes_travel_without_product_lists(stored):
+    text = plan(issues.top_issues(stored, AS_OF))
+    quoted = text[text.index("WindowGroupLimit") :]
+    below = [line for line in quoted.splitlines() if "row_number() windowspecdefinition(category" in line and "brand" in line]
+    assert below and not any("affected_products" in line for line in below)
+    assert "flatten" not in text
+
+
+def test_comparison_collects_no_brands(stored):
+    text = plan(competition.competitor_comparison(stored, ["b0"]))
+    assert "collect_list" not in text and text.count("FileScan") == 1
+
+
+def test_return_risk_reads_the_texts_once(spark, stored):
+    issues.return_risk(stored).collect()
+    text = plan(issues.return_risk(stored))
+    assert text.count("InMemoryRelation") == 2 and "lambdafunction" not in text.split("InMemoryRelation")[0].replace("_values", "")
+    spark.catalog.clearCache()

@@ -54,7 +54,7 @@ def test_forum_threads(spark):
     rows = landing.map_comments(posts, landing.explode_comments(posts), KEYWORDS).collect()
     assert len(rows) == 19
     assert sorted({r["brand"] for r in rows}) == ["Acme", "Bolt"]
-    assert all(r["review_id"].startswith("reddit_c_") and len(r["review_id"]) == 21 for r in rows)
+    assert all(r["review_id"].startswith("reddit_c_") and len(r["review_id"]) == 41 for r in rows)
 
 
 def test_catalogue_flattens(spark):
@@ -85,3 +85,12 @@ def test_csv_keeps_quotes_and_breaks(spark, raw, tmp_path):
     df = raw({"review_text": 'said "no",\nthen left'}).select("review_id", "review_text", "date")
     sinks.write_csv(df, str(tmp_path / "csv"))
     assert sinks.read_csv(spark, str(tmp_path / "csv"), df.schema).collect() == df.collect()
+
+
+def test_reports_keep_their_columns(spark, tmp_path):
+    from feedloom.sources import files, sinks
+
+    df = spark.createDataFrame([(1, None)], "a int, b date")
+    sinks.write_report({"none": df.limit(0), "null": df}, str(tmp_path / "report"))
+    assert files.read_report(spark, str(tmp_path / "report"), "none").schema == df.schema
+    assert files.read_report(spark, str(tmp_path / "report"), "null").collect() == df.collect()

@@ -1,6 +1,6 @@
 import pytest
 from feedloom.sources.landing import catalog_df
-from feedloom.sources.synthesis import synthesize_reviews
+from synthesis import synthesize_reviews
 from feedloom.sources.validation import validate
 
 NESTED = {

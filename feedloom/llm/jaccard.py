@@ -42,7 +42,7 @@ FREQUENT, COMMON = 50_000, 4
 # By this share of a set its prefix is longer, and so many shingles of it must be shared.
 LONGER = 0.05
 # Rounds of comparing with centres before the trees.
-ROUNDS = 2
+ROUNDS = 3
 # Members of a leaf table row, leaves of an upper node, members below a node that is not split.
 LEAF, FANOUT, SMALLEST = 256, 16, 8
 
@@ -133,15 +133,19 @@ def possible(a: Node, b: Node) -> bool:
     return True
 
 
-def traverse(first: list[dict], second: list[dict] | None) -> list[tuple[int, int]]:
-    """Pairs of members that may be similar: within one leaf (second is None) or between two."""
+def traverse(token: int, first: list[dict], second: list[dict] | None) -> list[tuple[int, int]]:
+    """Pairs of members that may be similar: within one leaf (second is None) or between two.
+
+    A pair that shares several blocks is looked at in the first of them only.
+    """
     sides = []
     for members in (first, second) if second is not None else (first,):
         members = sorted(members, key=lambda m: (m["n"], m["component"], m["row"]))
         maps = [np.frombuffer(m["bits"], np.uint8) for m in members]
         sizes = np.array([m["n"] for m in members])
         groups = np.array([m["component"] for m in members])
-        sides.append((members, maps, sizes, groups, Node(maps, sizes, groups, 0, len(members))))
+        held = [frozenset(m["tokens"]) for m in members]
+        sides.append((members, maps, sizes, groups, Node(maps, sizes, groups, 0, len(members)), held))
     a, b = sides[0], sides[-1]
     found, open_pairs = [], [(a[4], b[4])]
     while open_pairs:
@@ -154,7 +158,9 @@ def traverse(first: list[dict], second: list[dict] | None) -> list[tuple[int, in
         if not x.children and not y.children:
             for i in range(x.start, x.end):
                 for j in range(max(y.start, i + 1) if second is None else y.start, y.end):
-                    if a[3][i] != b[3][j] and overlap_possible(a[1][i], b[1][j], int(a[2][i]), int(b[2][j])):
+                    if a[3][i] == b[3][j] or min(a[5][i] & b[5][j]) != token:
+                        continue
+                    if overlap_possible(a[1][i], b[1][j], int(a[2][i]), int(b[2][j])):
                         found.append((a[0][i]["row"], b[0][j]["row"]))
         elif within:
             left, right = x.children
@@ -302,9 +308,12 @@ def labelled(blocks: DataFrame, found: DataFrame | None) -> DataFrame:
 
 
 def sharing(blocks: DataFrame, members: DataFrame) -> DataFrame:
-    """Members that share as many tokens as a similar set must; a block counts for `weight` tokens."""
+    """Members that share as many tokens as a similar set must, with the number they share (`held`).
+
+    A block counts for `weight` tokens.
+    """
     held = blocks.groupBy("row").agg(F.sum("weight").alias("held")).join(members.select("row", "least"), "row")
-    return blocks.join(held.filter("held >= least").select("row"), "row", "left_semi")
+    return blocks.drop("held").join(held.filter("held >= least").select("row", "held"), "row")
 
 
 def merged(blocks: DataFrame) -> DataFrame:
@@ -331,8 +340,13 @@ def unfinished(blocks: DataFrame) -> DataFrame:
 
 
 def centres(blocks: DataFrame, turn: int) -> DataFrame:
-    """One comparison per member: with the centre that most of its blocks have in common."""
-    place = F.xxhash64("row", F.lit(turn))
+    """One comparison per member: with the centre that most of its blocks have in common.
+
+    The first centre of a block is the member that shares most tokens with others, as the
+    text does that others were copied from; later ones are drawn by a hash.
+    """
+    first = -F.col("held") if turn == 0 else F.lit(0).cast("long")
+    place = F.struct(first, F.xxhash64("row", F.lit(turn)))
     chosen = blocks.groupBy("token").agg(F.min_by(F.struct("row", "component"), place).alias("centre"))
     met = blocks.join(chosen, "token").filter(F.col("component") != F.col("centre.component"))
     shared = met.groupBy("row", F.col("centre.row").alias("centre")).count()
@@ -375,13 +389,14 @@ def tree_pairs(stage: Stage, blocks: DataFrame, members: DataFrame) -> DataFrame
         .withColumn("upper", upper)
         .withColumn("leaf", leaf)
         .join(members.select("row", "bits"), "row")
+        .join(blocks.groupBy("row").agg(F.collect_list("token").alias("tokens")), "row")
     )
     leaves = stage.write(
         placed.groupBy("token", "band", "upper", "leaf").agg(
-            F.collect_list(F.struct("row", "n", "component", "bits")).alias("members")
+            F.collect_list(F.struct("row", "n", "component", "bits", "tokens")).alias("members")
         )
     )
-    within = leaves.filter(F.size("members") > 1).select(F.col("members").alias("a"), F.lit(None).cast(leaves.schema["members"].dataType).alias("b"))
+    within = leaves.filter(F.size("members") > 1).select("token", F.col("members").alias("a"), F.lit(None).cast(leaves.schema["members"].dataType).alias("b"))
     # Between leaves: first pairs of upper nodes, then of their leaves.
     names = leaves.filter("band >= 0").select("token", "band", "upper", "leaf")
     tops = names.select("token", "band", "upper").distinct()
@@ -401,11 +416,11 @@ def tree_pairs(stage: Stage, blocks: DataFrame, members: DataFrame) -> DataFrame
         .filter((key("a") < key("b")) | (F.col("leaf_a") < F.col("leaf_b")))
         .join(side("a"), ["token", "band_a", "upper_a", "leaf_a"])
         .join(side("b"), ["token", "band_b", "upper_b", "leaf_b"])
-        .select("a", "b")
+        .select("token", "a", "b")
     )
 
     def search(rows: list[dict]) -> list[dict]:
-        found = {(max(p), min(p)) for r in rows for p in traverse(r["a"], r["b"])}
+        found = {(max(p), min(p)) for r in rows for p in traverse(r["token"], r["a"], r["b"])}
         return [{"u": u, "v": v} for u, v in sorted(found)]
 
     return map_rows(within.unionByName(between), search, "u long, v long").distinct()

@@ -1315,6 +1315,18 @@ add(
     f"""{FACT}, {COMPARISON} SELECT {_KEYS}, delta FROM comparison
     ORDER BY abs(delta) DESC, {_KEYS} LIMIT 15""",
 )
+add("r04_scorecard_summary", SQL["a01_summary_stats"])
+add(
+    "r04_scorecard_emerging",
+    f"{FACT}, {EMERGING} SELECT * FROM emerging ORDER BY growth_factor DESC, category, theme LIMIT 10",
+)
+add("w05_summary_extract", SQL["d25_summary_extract"])
+add("w05_negative_extract", SQL["d24_negative_extract"])
+add(
+    "k11_model_run",
+    f"""{TEXT} SELECT review_id, CASE WHEN rating > 3 THEN 'positive' WHEN rating < 3 THEN 'negative' END
+    AS sentiment, CASE WHEN rating = 3 THEN 'ValueError: undecided' END AS failed_reason FROM docs""",
+)
 add(
     "r05_brief_issues",
     f"""{FACT}, {SCORES}, mine AS (SELECT * FROM issues WHERE category = 'small'

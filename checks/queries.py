@@ -209,6 +209,28 @@ def w04_bundle(spark, sf):
     return left.join(spark.read.parquet(f"{path}/Scorecard"), "brand")
 
 
+def extracted(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """An extract of the order lines written as CSV and read back."""
+    rows = b.reviews_fact(spark, sf).withColumns(
+        {c: F.array().cast("array<string>") for c in star.LIST_COLUMNS}
+    )
+    path = Stage(spark, "extract").folder
+    chosen = batch.exports(rows, cube.review_cube(rows, AS_OF), OWN)[name]
+    sinks.write_csv(chosen, path)
+    flat = chosen.select(*sinks.flat_columns(chosen))
+    return sinks.read_csv(spark, path, flat.schema)
+
+
+@query
+def w05_summary_extract(spark, sf):
+    return extracted(spark, sf, "summary")
+
+
+@query
+def w05_negative_extract(spark, sf):
+    return extracted(spark, sf, "negative_reviews").select("review_id", "rating")
+
+
 # --- Cleaning -----------------------------------------------------------------
 
 
@@ -374,6 +396,29 @@ def k06_split_cached(spark, sf):
     )
 
 
+@query
+def k11_model_run(spark, sf):
+    def rating_scorer():
+        """Stand-in for a model: answers from the rating line, fails on three stars."""
+
+        def answer(prompt: str) -> str:
+            rating = float(prompt.split("Rating: ", 1)[1].split("/5", 1)[0])
+            if rating == 3:
+                raise ValueError("undecided")
+            return '{"sentiment": "%s"}' % ("positive" if rating > 3 else "negative")
+
+        return lambda prompts: [answer(p) for p in prompts]
+
+    rows = b.reviews_text(spark, sf).drop("lang")
+    cache = Stage(spark, "answers").folder
+    # Half of the reviews first; the second run finds their answers in the cache.
+    batch.classify_with_model(rows.filter("doc_id % 2 = 0"), rating_scorer, cache, 1e9, ("doc_id",))
+    fine, failed = batch.classify_with_model(rows, rating_scorer, cache, 1e9, ("doc_id",))
+    return fine.select("review_id", "sentiment", F.lit(None).cast("string").alias("failed_reason")).unionByName(
+        failed.select("review_id", F.lit(None).cast("string").alias("sentiment"), "failed_reason")
+    )
+
+
 @query
 def k07_call_cost(spark, sf):
     costs = inference.call_cost(b.calls(spark, sf))
@@ -989,6 +1034,20 @@ def r04_scorecard_positions(spark, sf):
     return tables["positions"].select("category", "our_brand", "competitor", "theme", "delta")
 
 
+@query
+def r04_scorecard_summary(spark, sf):
+    return evidence.scorecard_evidence(
+        b.reviews_fact(spark, sf), comparison(spark, sf), emerging(spark, sf)
+    )["summary"]
+
+
+@query
+def r04_scorecard_emerging(spark, sf):
+    return evidence.scorecard_evidence(
+        b.reviews_fact(spark, sf), comparison(spark, sf), emerging(spark, sf)
+    )["emerging"]
+
+
 @query
 def r05_brief_issues(spark, sf):
     return evidence.brief_issues(ranked_issues(spark, sf), "small", "Brand#1").select(

@@ -103,6 +103,15 @@ def scorecard_evidence(
     }
 
 
+def briefs(issues: DataFrame, comparison: DataFrame, pairs) -> dict[str, DataFrame]:
+    """Issues and context for every (category, brand) of a list."""
+    out = {}
+    for category, brand in pairs:
+        out[f"{category}_{brand}_issues"] = brief_issues(issues, category, brand)
+        out[f"{category}_{brand}_context"] = brief_context(comparison, category)
+    return out
+
+
 def brief_issues(issues: DataFrame, category: str, brand: str, n: int = 5) -> DataFrame:
     """An own brand's first issues in a category, or everybody's if it has none."""
     ranked = issues.filter(F.col("category") == category)

@@ -2,15 +2,27 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..config import Settings
 from ..functions.staging import Stage
-from ..operators import competition, evidence, issues, quality, star
-from ..operators.classify import rule_classify
-from ..operators.cleaning import clean
+from ..operators import (
+    cleaning,
+    competition,
+    evidence,
+    explore,
+    inference,
+    issues,
+    neardup,
+    quality,
+    scorecards,
+    star,
+)
+from ..operators.classify import coerce_classification, route, rule_classify, with_prompt
 from ..operators.cube import review_cube
-from ..sources.sinks import write_bundle, write_report, write_reviews
+from ..sources.sinks import write_bundle, write_csv, write_report, write_reviews
 from ..sources.validation import validate
 
 
@@ -43,8 +55,10 @@ def run_all(df: DataFrame, settings: Settings, cube: DataFrame | None = None) ->
 
 
 def quality_tables(df: DataFrame) -> dict[str, DataFrame]:
+    checks = Stage(df.sparkSession, "checks").write(quality.quality_checks(df))
     return {
-        "checks": quality.quality_checks(df),
+        "checks": checks,
+        "issues": checks.filter("status <> 'PASS'"),
         "phrase_grounding": quality.phrase_grounding(df),
         "ungrounded_examples": quality.ungrounded_examples(df),
         "feature_grounding": quality.feature_grounding(df),
@@ -63,11 +77,90 @@ def classify_raw(
     `classify` turns cleaned into classified reviews; the offline rules by default.
     """
     valid, rejected = validate(raw, "raw")
-    cleaned = clean(valid, settings, profiles)
+    cleaned = cleaning.clean(valid, settings, profiles)
     label = classify if classify is not None else (lambda d: rule_classify(d, settings.rules))
     return label(cleaned).drop("is_shipping_only"), rejected
 
 
+def classify_with_model(
+    df: DataFrame, make_scorer, cache: str, budget: float, order=("review_id",), hedges=None
+) -> tuple[DataFrame, DataFrame]:
+    """Classify with a model: route, look up, keep to the budget, ask, store, read the answers.
+
+    `cache` is the folder of the answers of earlier runs, to which new ones are appended
+    (it may not exist yet). Equal prompts share a call. Calls are made in the order of the
+    first review that needs them until the money spent reaches the budget; tokens are
+    estimated as a quarter of the characters. Returns the classified rows and those without
+    a usable answer with their `failed_reason`. Runs jobs when called.
+    """
+    stage = Stage(df.sparkSession, "model")
+    options = {} if hedges is None else {"hedges": hedges}
+    asked = stage.write(
+        inference.with_cache_key(with_prompt(route(df, **options)))
+    )
+    known = read_cache(df.sparkSession, cache)
+    misses = inference.split_cached(asked, known)[1]
+    place = F.min(F.struct(*order)).alias("place")
+    calls = (
+        misses.groupBy("cache_key")
+        .agg(F.any_value("model").alias("model"), F.any_value("prompt").alias("prompt"), place)
+        .withColumn("input_tokens", F.ceil(F.length("prompt") / 4))
+        .withColumn("output_tokens", F.lit(200))
+    )
+    paid = inference.within_budget(inference.call_cost(calls), budget, ["place"])
+    answered, failed = inference.infer(paid.select("cache_key", "prompt"), make_scorer)
+    answered.select("cache_key", "response").write.mode("append").parquet(cache)
+    responses = read_cache(df.sparkSession, cache).groupBy("cache_key").agg(
+        F.min("response").alias("response")
+    )
+    failures = failed.select("cache_key", F.col("failed_reason").alias("call_failed"))
+    rows = coerce_classification(
+        asked.join(responses, "cache_key", "left").join(failures, "cache_key", "left")
+    )
+    unanswered = F.when(
+        F.col("response").isNull(), F.coalesce("call_failed", F.lit("not asked: over the budget"))
+    )
+    rows = stage.write(
+        rows.withColumn("failed_reason", F.coalesce(unanswered, F.col("failed_reason"))).drop(
+            "call_failed", "prompt", "cache_key", "response", "model"
+        )
+    )
+    fine = F.col("failed_reason").isNull()
+    return rows.filter(fine).drop("failed_reason"), rows.filter(~fine)
+
+
+def read_cache(spark: SparkSession, path: str) -> DataFrame:
+    schema = "cache_key string, response string"
+    try:
+        return spark.read.schema(schema).parquet(path)
+    except AnalysisException as error:
+        if error.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], schema)
+
+
+def cleaning_counters(raw: DataFrame, settings: Settings, profiles: DataFrame | None = None) -> DataFrame:
+    """The removal counters of a cleaning run, near-duplicates included."""
+    copies = neardup.near_copy_ids(
+        cleaning.drop_short(raw, settings.min_text),
+        percent=settings.near_dup_percent,
+        head_chars=settings.near_dup_chars,
+    )
+    return cleaning.cleaning_stats(raw, settings, profiles, copies)
+
+
+def exports(df: DataFrame, cube: DataFrame, own_brands) -> dict[str, DataFrame]:
+    """Flat tables for other tools."""
+    return {
+        "flat_reviews": star.flat_reviews(df, own_brands),
+        "brand_sentiment": star.brand_sentiment_pivot(cube),
+        "theme_category": star.theme_category_pivot(cube),
+        "brand_scorecard": scorecards.brand_scorecard(cube),
+        "negative_reviews": explore.negative_extract(df),
+        "summary": explore.summary_extract(cube),
+    }
+
+
 def analyse(df: DataFrame, settings: Settings, out: str) -> dict[str, DataFrame]:
     """Write all analyses, quality checks and BI tables of classified reviews.
 
@@ -97,9 +190,18 @@ def analyse(df: DataFrame, settings: Settings, out: str) -> dict[str, DataFrame]
                 results["competitor_comparison"], results["feature_gaps"]
             ),
             "service": evidence.riskiest_products(results["return_risk"]),
+            "complaint_themes": evidence.complaint_themes(results["top_issues"]),
+            **{
+                f"scorecard_{name}": table
+                for name, table in evidence.scorecard_evidence(
+                    cube, results["competitor_comparison"], results["emerging_issues"]
+                ).items()
+            },
         },
         f"{out}/evidence",
     )
+    for name, table in exports(df, cube, settings.own_brands).items():
+        write_csv(table, f"{out}/exports/{name}")
     return results
 
 
@@ -110,5 +212,6 @@ def run_batch(
     classified, rejected = classify_raw(raw, settings, profiles, classify)
     write_reviews(classified, f"{out}/classified")
     write_reviews(rejected, f"{out}/quarantine", "json")
+    write_report({"cleaning": cleaning_counters(validate(raw, "raw")[0], settings, profiles)}, out)
     stored = raw.sparkSession.read.parquet(f"{out}/classified")
     return analyse(stored, settings, out)

@@ -23,5 +23,7 @@ def test_whole_run(spark, tmp_path):
     assert 0 < kept.count() <= 400
     assert results["summary_stats"].first()["total_reviews"] == kept.count()
     assert results["top_issues"].count() > 0 and results["competitor_comparison"].count() > 0
-    for folder in ("analysis/top_issues", "quality/checks", "star/fact_reviews", "star/dim_date", "evidence/marketing"):
+    for folder in ("analysis/top_issues", "quality/checks", "star/fact_reviews", "star/dim_date", "evidence/marketing",
+                   "quality/issues", "evidence/scorecard_positions", "evidence/complaint_themes", "exports/summary",
+                   "exports/negative_reviews", "exports/theme_category", "cleaning"):
         assert os.path.isdir(f"{out}/{folder}"), folder

@@ -98,6 +98,36 @@ QUERIES = {
     )
 }
 
+WORDS = r"'[^\x20\x09-\x0D]+'"
+
+
+def _case(column: str, names: dict[str, tuple[str, ...]], other: str) -> str:
+    whens = " ".join(
+        f"WHEN {column} IN ({', '.join(repr(v) for v in values)}) THEN '{name}'" for name, values in names.items()
+    )
+    return f"CASE {whens} ELSE '{other}' END"
+
+
+def _weight(level: str) -> str:
+    whens = " ".join(f"WHEN '{key}' THEN {w}" for key, w in WEIGHTS[level].items())
+    return f"(CASE {level} {whens} ELSE 1 END)"
+
+
+def _shared(name: str, nodes: str, parent: str) -> str:
+    """Water-filling of the parents' budgets over their children (columns cap, weight, budget)."""
+    part = f"PARTITION BY {parent}" if parent else ""
+    key = nodes.split("_")[0]
+    order = f"ORDER BY cap / weight, {key}"
+    return f"""
+    {nodes}_levels AS (SELECT *, (budget - coalesce(sum(cap) OVER ({part} {order}
+          ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT)
+        / (sum(weight) OVER ({part} {order} ROWS BETWEEN CURRENT ROW AND UNBOUNDED FOLLOWING))::BIGINT AS level
+      FROM {nodes}),
+    {name} AS (SELECT * EXCLUDE (budget, cap, weight, level), (CASE WHEN cap / weight < served THEN cap
+        ELSE least(cap, floor(served * weight)) END)::BIGINT AS budget
+      FROM (SELECT *, max(level) OVER ({part}) AS served FROM {nodes}_levels))"""
+
+
 SQL = {
     "op4_exact_dedup": """
         SELECT doc_id, max(doc_id) OVER same AS keep_id, count(*) OVER same AS group_size,
@@ -105,4 +135,46 @@ SQL = {
                sha256(coalesce(text, '')) AS text_sha256
         FROM documents WINDOW same AS (PARTITION BY coalesce(text, ''))
     """,
+    "op6_source_mix": f"""
+    WITH docs AS (SELECT doc_id, {_case("source", DOMAINS, "other")} AS domain, coalesce(lang, '(none)') AS lang,
+        coalesce(source, '(none)') AS source, len(regexp_extract_all(coalesce(text, ''), {WORDS}))::BIGINT AS tokens
+      FROM documents),
+    leaves AS (SELECT domain, lang, source, sum(tokens)::BIGINT AS leaf_tokens FROM docs GROUP BY ALL),
+    domain_nodes AS (SELECT domain, (sum(leaf_tokens) * 2)::BIGINT AS cap, {_weight("domain")} AS weight,
+        (SELECT floor(sum(tokens) / 2)::BIGINT FROM docs) AS budget FROM leaves GROUP BY 1),
+    {_shared("domains", "domain_nodes", "")},
+    lang_nodes AS (SELECT domain, lang, (sum(leaf_tokens) * 2)::BIGINT AS cap, {_weight("lang")} AS weight,
+        any_value(budget) AS budget FROM leaves JOIN domains USING (domain) GROUP BY 1, 2),
+    {_shared("langs", "lang_nodes", "domain")},
+    source_nodes AS (SELECT domain, lang, source, any_value(leaf_tokens) AS leaf_tokens,
+        (sum(leaf_tokens) * 2)::BIGINT AS cap, {_weight("source")} AS weight,
+        any_value(budget) AS budget FROM leaves JOIN langs USING (domain, lang) GROUP BY 1, 2, 3),
+    {_shared("sources", "source_nodes", "domain, lang")},
+    plans AS (SELECT *, CASE WHEN leaf_tokens > 0 THEN floor(budget / leaf_tokens)::BIGINT ELSE 2 END AS whole,
+        CASE WHEN leaf_tokens > 0 THEN budget % leaf_tokens ELSE 0 END AS rest FROM sources),
+    drawn AS (SELECT doc_id, domain, lang, source, tokens, whole, rest,
+        unnest(range(least(2, whole + (rest > 0)::INT)))::INT AS epoch
+      FROM docs JOIN plans USING (domain, lang, source)),
+    placed AS (SELECT *, ('0x' || substr(md5('mix:' || epoch || ':' || doc_id), 1, 15))::BIGINT AS place FROM drawn),
+    started AS (SELECT *, coalesce(sum(tokens) OVER (PARTITION BY domain, lang, source, epoch
+        ORDER BY place, doc_id, tokens ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0)::BIGINT AS start
+      FROM placed)
+    SELECT doc_id, domain, lang, source, epoch, start, tokens FROM started WHERE epoch < whole OR start < rest
+    """,
+    "op7_jaccard_join": f"""
+    WITH RECURSIVE words AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), {WORDS}) AS w FROM documents),
+    shingles AS MATERIALIZED (SELECT DISTINCT doc_id, array_to_string(list_slice(w, i, i + 4), ' ') AS shingle
+      FROM (SELECT doc_id, w, unnest(range(1, greatest(len(w) - 4, least(len(w), 1)) + 1)) AS i FROM words)),
+    sizes AS MATERIALIZED (SELECT doc_id, count(*) AS n FROM shingles GROUP BY 1),
+    links AS MATERIALIZED (SELECT x, y FROM (
+        SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS shared
+        FROM shingles a JOIN shingles b USING (shingle) WHERE a.doc_id <> b.doc_id GROUP BY ALL)
+      JOIN sizes p ON p.doc_id = x JOIN sizes q ON q.doc_id = y
+      WHERE 100 * shared >= 80 * (p.n + q.n - shared)),
+    reached AS (SELECT doc_id, doc_id AS other FROM documents
+      UNION SELECT reached.doc_id, y FROM reached JOIN links ON x = other)
+    SELECT doc_id, coalesce(any_value(n), 0)::BIGINT AS n_shingles, min(other) AS component_id
+    FROM reached LEFT JOIN sizes USING (doc_id) GROUP BY doc_id
+    """,
 }

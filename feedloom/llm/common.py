@@ -22,6 +22,19 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+# Rows drawn by hash before an exact choice, as a multiple of those wanted.
+SURPLUS = 4
+
+
+def thinned(key: Column, wanted: int, total: Column) -> Column:
+    """Condition that keeps about SURPLUS times the wanted rows of a total, by a hash of the key.
+
+    An exact choice of the wanted rows then meets few candidates however many there are.
+    """
+    unit = F.pmod(F.xxhash64(key, F.lit("thin")), F.lit(1 << 30)) / F.lit(float(1 << 30))
+    return unit * total < F.lit(SURPLUS * wanted)
+
+
 def arrow_schema(schema: T.StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
 

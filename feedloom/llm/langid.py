@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import ROWS_AT_ONCE, held_out, map_rows
+from feedloom.llm.common import ROWS_AT_ONCE, held_out, map_rows, thinned
 from feedloom.llm.features import characters, grams
 
 BITS = 16
@@ -147,15 +147,19 @@ def train(
         F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang")
     ).filter(~held_out(F.col("doc_id")) & F.col("doc_id").isNotNull() & F.col("text").isNotNull() & F.col("lang").isNotNull())
     frequencies, n = document_frequencies(usable.select("text"))
-    languages = sorted(r["lang"] for r in usable.select("lang").distinct().collect())
+    sizes = {r["lang"]: r["count"] for r in usable.groupBy("lang").count().collect()}  # few rows
+    languages = sorted(sizes)
     model = Model(languages, np.log((1 + n) / (1 + frequencies)) + 1)
     if not languages:
         return model.finish()
+    most = max(1, sample // len(languages))
+    total = F.coalesce(*[F.when(F.col("lang") == lang, F.lit(n)) for lang, n in sizes.items()])
     each = W.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = (
         usable.select("doc_id", "lang")
+        .filter(thinned(F.col("doc_id"), most, total))
         .withColumn("n", F.row_number().over(each))
-        .filter(F.col("n") <= max(1, sample // len(languages)))
+        .filter(F.col("n") <= most)
         .drop("n")
     )
     # At most `sample` rows of an id and a language, so the broadcast is bounded.

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from feedloom.llm.common import ROWS_AT_ONCE, held_out, map_rows
+from feedloom.llm.common import ROWS_AT_ONCE, held_out, map_rows, thinned
 from feedloom.llm.features import characters, grams, word_shapes
 
 BITS = 17
@@ -138,7 +138,8 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     usable = labels.select("doc_id", F.col("quality").cast("int").alias("label")).filter(
         F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))
     )
-    chosen = usable.orderBy(F.xxhash64("doc_id", "label"), "doc_id", "label").limit(sample)
+    few = usable.filter(thinned(F.col("doc_id"), sample, F.lit(usable.count())))
+    chosen = few.orderBy(F.xxhash64("doc_id", "label"), "doc_id", "label").limit(sample)
     # At most `sample` rows of two numbers, so the broadcast is bounded.
     met = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "doc_id")
 

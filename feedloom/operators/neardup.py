@@ -267,29 +267,34 @@ def dedup_fuzzy(
 ) -> DataFrame:
     """Drop every review with an earlier kept near-duplicate in the whole table.
 
-    The order columns must identify a row. Only the first `head_chars` characters
-    are compared; that is how near-duplicates are defined here, not a shortcut.
+    The order columns and the id must identify a row. Only the first `head_chars`
+    characters are compared; that is how near-duplicates are defined here, so long texts
+    that share such an opening count as copies. The result does not depend on `hot`, which
+    only says from how many holders on a block is first compared with its earliest one.
+    Jobs run when this function is called.
     """
     at = [F.col(c).asc_nulls_last() for c in order]
     same_head = Window.partitionBy("_head").orderBy(*at)
-    firsts = (
-        df.withColumn("_head", head_of(F.col(text), head_chars))
-        .withColumn("_n", F.row_number().over(same_head))
-        .filter(F.col("_n") == 1)
-        .drop("_n")
-    )
-    # Undated rows come last, as in the window above.
+    # Undated rows come last, as in the window.
     position = F.struct(
         *[f for c in order for f in (F.col(c).isNull().alias(f"no_{c}"), F.col(c).alias(c))]
     )
-    heads = firsts.select(
-        F.col(id_col).cast("string").alias("id"),
-        position.alias("at"),
-        F.col("_head").alias("head"),
-        F.length("_head").alias("len"),
+    # Ids, positions and heads decide; the rows themselves only meet the ids that stay.
+    heads = Stage(df.sparkSession, "heads").write(
+        df.withColumn("_head", head_of(F.col(text), head_chars))
+        .select(id_col, *[c for c in order if c != id_col], "_head")
+        .withColumn("_n", F.row_number().over(same_head))
+        .filter(F.col("_n") == 1)
+        .select(
+            F.col(id_col).cast("string").alias("id"),
+            position.alias("at"),
+            F.col("_head").alias("head"),
+            F.length("_head").alias("len"),
+        )
     )
-    near = close_copies(heads, percent, head_chars, hot).select(F.col("id").alias(id_col))
-    return firsts.drop("_head").join(near, id_col, "left_anti")
+    near = close_copies(heads, percent, head_chars, hot)
+    kept = heads.select("id").join(near, "id", "left_anti").withColumnRenamed("id", "_kept")
+    return df.join(kept, F.col(id_col).cast("string") == F.col("_kept"), "left_semi")
 
 
 def near_copy_ids(df: DataFrame, order=("date", "review_id"), **options) -> DataFrame:

@@ -42,7 +42,7 @@ FREQUENT, COMMON = 50_000, 4
 # By this share of a set its prefix is longer, and so many shingles of it must be shared.
 LONGER = 0.05
 # Rounds of comparing with centres before the trees.
-ROUNDS = 3
+ROUNDS = 2
 # Members of a leaf table row, leaves of an upper node, members below a node that is not split.
 LEAF, FANOUT, SMALLEST = 256, 16, 8
 
@@ -333,6 +333,16 @@ def merged(blocks: DataFrame) -> DataFrame:
     return blocks.drop("weight").join(kept.select("token", "weight"), "token")
 
 
+def labels_of(links: DataFrame) -> DataFrame:
+    """A node of its own component for every linked node: the smallest within two links."""
+    both = links.union(links.select(F.col("v").alias("u"), F.col("u").alias("v")))
+    least = both.groupBy("u").agg(F.min("v").alias("v")).select("u", F.least("u", "v").alias("v"))
+    further = least.select(F.col("u").alias("v"), F.col("v").alias("w"))
+    return least.join(further, "v", "left").select(
+        F.col("u").alias("node"), F.coalesce("w", "v").alias("component")
+    )
+
+
 def unfinished(blocks: DataFrame) -> DataFrame:
     """Members of the blocks that hold more than one component."""
     several = blocks.groupBy("token").agg(F.min("component").alias("a"), F.max("component").alias("b")).filter("a <> b")
@@ -458,7 +468,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     within = blocks.select("row").distinct()
     members = stage.write(described.select("row", "n", "least", "bits").join(within, "row", "left_semi"))
     links = spark.createDataFrame([], "u long, v long")
-    sets, found = None, None
+    sets, found, complete = None, None, True
     for turn in range(ROUNDS + 1):
         open_blocks = stage.write(sharing(unfinished(labelled(blocks, found)), members))
         if open_blocks.isEmpty():
@@ -473,6 +483,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
         more = stage.write(whole_sets(docs, described, rows))
         sets = more if sets is None else sets.union(more)
         links = stage.write(links.union(verified(pairs, sets)))
+        # The next round of centres does with labels; the trees and the result need components.
+        complete = turn + 1 >= ROUNDS
+        found = components(stage, links) if complete else stage.write(labels_of(links))
+    if not complete:
         found = components(stage, links)
     members_of = classes if found is None else classes.join(
         found.withColumnRenamed("node", "class"), "class", "left"

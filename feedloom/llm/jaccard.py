@@ -45,6 +45,9 @@ LONGER = 0.05
 ROUNDS = 2
 # Members of a leaf table row, leaves of an upper node, members below a node that is not split.
 LEAF, FANOUT, SMALLEST = 256, 16, 8
+# Members of more blocks than this do not carry the list of them, which would grow with the
+# square of a text's length; pairs of theirs may be found more than once.
+LISTED = 64
 
 ROTATE = (np.uint64(23), np.uint64(41))
 MULTIPLY = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
@@ -136,7 +139,8 @@ def possible(a: Node, b: Node) -> bool:
 def traverse(token: int, first: list[dict], second: list[dict] | None) -> list[tuple[int, int]]:
     """Pairs of members that may be similar: within one leaf (second is None) or between two.
 
-    A pair that shares several blocks is looked at in the first of them only.
+    A pair that shares several blocks is looked at in the first of them only, if both
+    members list their blocks; else it may be found in each.
     """
     sides = []
     for members in (first, second) if second is not None else (first,):
@@ -144,7 +148,7 @@ def traverse(token: int, first: list[dict], second: list[dict] | None) -> list[t
         maps = [np.frombuffer(m["bits"], np.uint8) for m in members]
         sizes = np.array([m["n"] for m in members])
         groups = np.array([m["component"] for m in members])
-        held = [frozenset(m["tokens"]) for m in members]
+        held = [frozenset(m["tokens"]) if m["tokens"] else None for m in members]
         sides.append((members, maps, sizes, groups, Node(maps, sizes, groups, 0, len(members)), held))
     a, b = sides[0], sides[-1]
     found, open_pairs = [], [(a[4], b[4])]
@@ -158,7 +162,9 @@ def traverse(token: int, first: list[dict], second: list[dict] | None) -> list[t
         if not x.children and not y.children:
             for i in range(x.start, x.end):
                 for j in range(max(y.start, i + 1) if second is None else y.start, y.end):
-                    if a[3][i] == b[3][j] or min(a[5][i] & b[5][j]) != token:
+                    if a[3][i] == b[3][j]:
+                        continue
+                    if a[5][i] and b[5][j] and min(a[5][i] & b[5][j]) != token:
                         continue
                     if overlap_possible(a[1][i], b[1][j], int(a[2][i]), int(b[2][j])):
                         found.append((a[0][i]["row"], b[0][j]["row"]))
@@ -400,6 +406,7 @@ def tree_pairs(stage: Stage, blocks: DataFrame, members: DataFrame) -> DataFrame
         .withColumn("leaf", leaf)
         .join(members.select("row", "bits"), "row")
         .join(blocks.groupBy("row").agg(F.collect_list("token").alias("tokens")), "row")
+        .withColumn("tokens", F.when(F.size("tokens") <= LISTED, F.col("tokens")))
     )
     leaves = stage.write(
         placed.groupBy("token", "band", "upper", "leaf").agg(

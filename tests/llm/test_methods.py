@@ -192,7 +192,7 @@ def near_copies(r, n, chains=True):
     return out
 
 
-@pytest.mark.parametrize("settings", [{}, {"ROUNDS": 0}, {"ROUNDS": 0, "LEAF": 4, "FANOUT": 2, "SMALLEST": 2}, {"COMMON": 2, "FREQUENT": 300}])
+@pytest.mark.parametrize("settings", [{}, {"ROUNDS": 0}, {"ROUNDS": 0, "LEAF": 4, "FANOUT": 2, "SMALLEST": 2}, {"COMMON": 2, "FREQUENT": 300}, {"ROUNDS": 0, "LISTED": 3}])
 def test_components_against_brute_force(spark, monkeypatch, settings):
     for name, value in settings.items():
         monkeypatch.setattr(jaccard, name, value)

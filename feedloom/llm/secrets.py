@@ -6,9 +6,12 @@ text does not explain it:
 * the encoding is inferred from its characters, which gives the alphabet of its symbols;
 * chi-squared uniformity over that alphabet, a runs test and a serial-correlation test
   are combined by Fisher's rule; a token that fails them is no random string;
-* the probability that ordinary text of this length is spread as evenly follows from the
-  character counts of the whole corpus. Benjamini-Hochberg control over all tokens, with
-  weights in proportion to their lengths, bounds the share of false reports.
+* its likelihood ratio of evenly spread symbols against ordinary names follows from the
+  counts of letter pairs in the whole corpus, outside the tokens under test. In names the
+  kind of character (digit, case, sign) changes now and then, and letters follow each other
+  as in the text, whatever their case. What is drawn so reaches a ratio of t with a
+  probability of at most 1/t, which makes 1/t a p-value. Benjamini-Hochberg control over
+  all tokens, with weights in proportion to their lengths, bounds the share of false reports.
 """
 
 from __future__ import annotations
@@ -45,6 +48,15 @@ ENCODINGS = (
     DIGITS + UPPER + LOWER, UPPER + LOWER + DIGITS + "+/", UPPER + LOWER + DIGITS + "-_",
 )
 
+# Places of the letters, whatever their case, and of all other characters; by code point up to 128.
+OTHER = len(LOWER)
+PLACE = np.full(129, OTHER, np.int64)
+PLACE[[ord(c) for c in LOWER + UPPER]] = [*range(OTHER)] * 2
+SIGNS = "+/-_"
+# How often the kind of character changes in ordinary names, and how much single shares and
+# even ones weigh beside the pairs.
+CHANGE, SINGLE, EVEN = 0.25, 0.2, 0.1
+
 # A random string fails the battery with this probability.
 BATTERY_LEVEL = 0.001
 # Share of false reports among the tokens reported.
@@ -55,7 +67,7 @@ STEPS = 6000
 
 FOUND = (
     "doc_id long, n_assign long, n_access long, n_hex long, base array<struct<kind:int,start:int,end:int>>, "
-    "tokens array<struct<start:int,end:int,encoding:int,size:int,chi2:double>>, letters array<long>"
+    "tokens array<struct<start:int,end:int,encoding:int,body:string>>, pairs array<long>"
 )
 RESULT = (
     "doc_id long, n_assign long, n_access long, n_hex long, base_sha256 string, spans string, n_random long"
@@ -74,8 +86,8 @@ def chi2_tail(x: float, df: int) -> float:
     return upper_tail(((x / df) ** (1 / 3) - (1 - spread)) / math.sqrt(spread))
 
 
-def battery(symbols: np.ndarray, k: int) -> tuple[float, float]:
-    """Chi-squared statistic of the symbols, and the combined p-value of being random over 0..k-1."""
+def battery(symbols: np.ndarray, k: int) -> float:
+    """Combined p-value of the symbols being random over 0..k-1."""
     n = len(symbols)
     counts = np.bincount(symbols, minlength=k).astype(float)
     chi2 = float(k / n * (counts**2).sum() - n)
@@ -91,7 +103,7 @@ def battery(symbols: np.ndarray, k: int) -> tuple[float, float]:
     r = float((centred[1:] * centred[:-1]).sum()) / ((n - 1) * (k * k - 1) / 12)
     p_serial = math.erfc(abs(r) * math.sqrt(n - 1) / math.sqrt(2))
     half = -sum(math.log(max(p, 1e-300)) for p in (uniform, p_runs, p_serial))
-    return chi2, math.exp(-half) * (1 + half + half * half / 2)
+    return math.exp(-half) * (1 + half + half * half / 2)
 
 
 def encoding_of(token: str) -> int | None:
@@ -99,19 +111,45 @@ def encoding_of(token: str) -> int | None:
     return next((i for i, alphabet in enumerate(ENCODINGS) if characters <= set(alphabet)), None)
 
 
-def ordinary_tail(chi2: float, n: int, encoding: int, letters: np.ndarray) -> float:
-    """Probability that n characters of ordinary text spread as evenly over the alphabet.
+def pair_counts(text: str, left_out: list[tuple[int, int]]) -> np.ndarray:
+    """Counts of the pairs of places in a text; what lies in the spans left out counts as other."""
+    codes = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), np.uint32)
+    places = PLACE[np.minimum(codes, 128)]
+    for start, end in left_out:
+        places[start:end] = OTHER
+    return np.bincount(places[:-1] * (OTHER + 1) + places[1:], minlength=(OTHER + 1) ** 2)
 
-    Mean and variance of the statistic follow from the shares of the characters.
-    """
+
+def ordinary_chances(pairs: np.ndarray) -> np.ndarray:
+    """P(letter | place before) in ordinary text, a row per place."""
+    counts = pairs.reshape(OTHER + 1, OTHER + 1)[:, :OTHER].astype(float)
+    single = counts.sum(axis=0) + 1
+    single /= single.sum()
+    after = counts + single
+    return (1 - SINGLE - EVEN) * after / after.sum(axis=1, keepdims=True) + SINGLE * single + EVEN / OTHER
+
+
+def ordinary_log10(body: str, encoding: int, chances: np.ndarray) -> float:
+    """-log10 of the bound on the probability that an ordinary name looks as random as this."""
     alphabet = ENCODINGS[encoding]
-    k = len(alphabet)
-    share = letters[[ord(c) for c in alphabet]].astype(float) + 1
-    share /= share.sum()
-    s2, s3 = float((share**2).sum()), float((share**3).sum())
-    mean = k / n * (n + n * (n - 1) * s2) - n
-    variance = (k / n) ** 2 * 2 * n * (n - 1) * (s2 + 2 * (n - 2) * s3 - (2 * n - 3) * s2 * s2)
-    return max(upper_tail((mean - chi2) / math.sqrt(max(variance, 1e-12))), 1e-290)
+    kinds = [k for k in (set(part) & set(alphabet) for part in (DIGITS, LOWER, UPPER, SIGNS)) if k]
+    ratio, last, before = 0.0, None, OTHER
+    for c in body:
+        kind = next(k for k in kinds if c in k)
+        if last is None:
+            ordinary = 1 / len(kinds)
+        else:
+            ordinary = 1 - CHANGE if kind is last else CHANGE / (len(kinds) - 1)
+        place = PLACE[ord(c)]
+        if place == OTHER:
+            ordinary /= len(kind)
+        else:
+            # A capital after a small letter may go on with the word or begin one.
+            row = chances[before] if kind is last or last is None else (chances[before] + chances[OTHER]) / 2
+            ordinary *= row[place] / row[PLACE[[ord(x) for x in kind]]].sum()
+        ratio -= math.log10(ordinary * len(alphabet))
+        last, before = kind, place
+    return ratio
 
 
 def scan_text(text: str) -> tuple[list[tuple[int, int, int]], list[dict]]:
@@ -130,11 +168,8 @@ def scan_text(text: str) -> tuple[list[tuple[int, int, int]], list[dict]]:
         if encoding is None:
             continue
         alphabet = ENCODINGS[encoding]
-        chi2, p = battery(np.array([alphabet.index(c) for c in body]), len(alphabet))
-        if p >= BATTERY_LEVEL:
-            tokens.append(
-                {"start": m.start(), "end": m.end(), "encoding": encoding, "size": len(body), "chi2": chi2}
-            )
+        if battery(np.array([alphabet.index(c) for c in body]), len(alphabet)) >= BATTERY_LEVEL:
+            tokens.append({"start": m.start(), "end": m.end(), "encoding": encoding, "body": body})
     return sorted(base, key=lambda s: (s[1], s[0], s[2])), tokens
 
 
@@ -143,31 +178,33 @@ def written(spans: list[tuple[int, int, int]]) -> str:
 
 
 def scan(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """One pass over the texts; `letters` are the character counts of the rows read together,
-    on the first of them."""
+    """One pass over the texts; `pairs` are the counts of a task's rows, on one of them."""
     kinds = T._parse_datatype_string(FOUND)
     kinds["doc_id"].dataType = docs.schema[id_col].dataType
 
     def run(batches):
         out = arrow_schema(kinds)
+        rows, counts = [], np.zeros((OTHER + 1) ** 2, np.int64)
         for batch in batches:
             for at in range(0, batch.num_rows, ROWS_AT_ONCE):
-                rows, counts = [], np.zeros(128, np.int64)
+                if rows:
+                    yield pa.RecordBatch.from_pylist(rows, schema=out)
+                rows = []
                 for r in batch.slice(at, ROWS_AT_ONCE).to_pylist():
                     text = r["text"] or ""
                     base, tokens = scan_text(text)
-                    codes = np.frombuffer(text.encode("utf-8", "surrogatepass"), np.uint8)
-                    counts += np.bincount(codes, minlength=256)[:128]
+                    counts += pair_counts(text, [s[1:] for s in base] + [(t["start"], t["end"]) for t in tokens])
                     n = [sum(k == kind for kind, _, _ in base) for k in range(3)]
                     rows.append(
                         {
                             "doc_id": r["doc_id"], "n_assign": n[0], "n_access": n[1], "n_hex": n[2],
                             "base": [{"kind": k, "start": a, "end": b} for k, a, b in base],
-                            "tokens": tokens, "letters": None,
+                            "tokens": tokens, "pairs": None,
                         }
                     )
-                rows[0]["letters"] = counts.tolist()
-                yield pa.RecordBatch.from_pylist(rows, schema=out)
+        if rows:
+            rows[0]["pairs"] = counts.tolist()
+            yield pa.RecordBatch.from_pylist(rows, schema=out)
 
     narrow = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     return narrow.mapInArrow(run, kinds)
@@ -193,21 +230,23 @@ def scan_secrets(
 
     Spans are kind:start:end in code points, the end exclusive, by start and then kind;
     base_sha256 is the digest of the base spans alone. A null text counts as empty and has
-    none. Rows that share an id are scanned each for itself. Character counts and the
+    none. Rows that share an id are scanned each for itself. The counts of pairs and the
     p-values that set the limit come from all rows; what reaches the driver is one array
-    of 128 counts and at most 6,001 bins, whatever the size. Other columns are not looked at.
+    of 729 counts and at most 6,001 bins, whatever the size. Other columns are not looked at.
     """
     stage = Stage(docs.sparkSession, "secrets")
     found = stage.write(scan(docs, id_col, text_col))
-    per_letter = found.select(F.posexplode("letters").alias("code", "n")).groupBy("code").agg(F.sum("n").alias("n"))
-    letters = np.zeros(128, np.int64)
-    for row in per_letter.collect():
-        letters[row["code"]] = row["n"]
-    sizes = found.select(F.explode("tokens.size").alias("size")).agg(F.avg("size")).first()[0] or 1.0
+    per_pair = found.select(F.posexplode("pairs").alias("pair", "n")).groupBy("pair").agg(F.sum("n").alias("n"))
+    pairs = np.zeros((OTHER + 1) ** 2, np.int64)
+    for row in per_pair.collect():
+        pairs[row["pair"]] = row["n"]
+    chances = ordinary_chances(pairs)
+    size = F.char_length("token.body")
+    sizes = found.select(F.explode("tokens").alias("token")).agg(F.avg(size)).first()[0] or 1.0
 
     def strength(token: dict) -> float:
-        p = ordinary_tail(token["chi2"], token["size"], token["encoding"], letters)
-        return max(0.0, -math.log10(p * sizes / token["size"]))
+        own = ordinary_log10(token["body"], token["encoding"], chances)
+        return max(0.0, own - math.log10(sizes / len(token["body"])))
 
     def bins(batches):
         for batch in batches:
@@ -238,4 +277,4 @@ def scan_secrets(
                 )
             yield pa.RecordBatch.from_pylist(rows, schema=out)
 
-    return found.drop("letters").mapInArrow(report, kinds)
+    return found.drop("pairs").mapInArrow(report, kinds)

@@ -74,6 +74,28 @@ def test_random_tokens_are_told_from_words(spark):
     assert plain["base_sha256"] == hashlib.sha256(b"").hexdigest() and plain["spans"] == ""
 
 
+def test_short_secrets_of_every_encoding_are_found(spark):
+    r, g = random.Random(8), np.random.default_rng(8)
+    names = lambda: r.choice([
+        f"{r.choice(WORDS)}_{r.choice(WORDS)}_{r.choice(WORDS)}_{r.choice(WORDS)}_v{r.randint(1, 9)}_{r.choice(WORDS)}",
+        "".join(r.choice(WORDS).capitalize() for _ in range(5)) + str(r.randint(1, 99)),
+        "".join(r.choice(WORDS).upper() for _ in range(5)) + str(r.randint(1, 99)),
+    ])
+    # Base62, base36 and base32.
+    planted = [
+        (size, k, "".join(g.choice(list(secrets.ENCODINGS[k]), size))) for k in (5, 3, 2) for size in (20, 24, 32) for _ in range(40)
+    ]
+    planted = [p for p in planted if any(c.isdigit() for c in p[2])]
+    texts = [f"{prose(r, 40)} {t} {prose(r, 20)}" for _, _, t in planted]
+    texts += [f"{prose(r, 40)} {names()} {names()} {prose(r, 20)}" for _ in range(700)]
+    rows = secrets.scan_secrets(documents(spark, texts)).collect()
+    hit = {x["doc_id"] for x in rows if x["n_random"]}
+    for kind in {p[:2] for p in planted}:
+        of_kind = [i for i, p in enumerate(planted) if p[:2] == kind]
+        assert sum(i in hit for i in of_kind) >= 0.85 * len(of_kind)
+    assert sum(i >= len(planted) for i in hit) <= 0.02 * len(hit)
+
+
 def test_threshold_bounds_the_false_share():
     assert secrets.threshold({}, 0.05, 0.01) == float("inf")
     assert secrets.threshold({0: 99, 100: 1}, 0.05, 0.01) == 5.0

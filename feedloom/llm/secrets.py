@@ -16,6 +16,7 @@ text does not explain it:
 
 from __future__ import annotations
 
+import bisect
 import hashlib
 import math
 import re
@@ -40,6 +41,9 @@ ASSIGN_SIZE, ACCESS_SIZE = 6, 20
 
 # Other tokens: runs of these characters, with a digit and a letter among them.
 TOKEN = re.compile(r"(?<![A-Za-z0-9+/_-])[A-Za-z0-9+/_-]{20,}={0,2}")
+TOKEN_SIZE = 20
+# Paths and names join words and keys by signs, of which an encoding may hold some itself.
+CUTS = (re.compile("[^/+]+"), re.compile("[^_-]+"), re.compile("[^/+_-]+"), re.compile("[^/]+"))
 
 DIGITS, LOWER, UPPER = "0123456789", "abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 # Encodings from the smallest alphabet to the largest; the first that holds all characters is taken.
@@ -152,27 +156,47 @@ def ordinary_log10(body: str, encoding: int, chances: np.ndarray) -> float:
     return ratio
 
 
+def pieces(run: str) -> set[tuple[int, int]]:
+    """Spans of a run to test: the whole, and its parts between the signs of each set in CUTS."""
+    spans = {(0, len(run))}
+    for cut in CUTS:
+        spans |= {m.span() for m in cut.finditer(run)}
+    return {(a, b) for a, b in spans if len(run[a:b].rstrip("=")) >= TOKEN_SIZE}
+
+
 def scan_text(text: str) -> tuple[list[tuple[int, int, int]], list[dict]]:
-    """Base spans (kind, start, end) and the other tokens that pass the battery."""
+    """Base spans (kind, start, end) and the other tokens that pass the battery; some may overlap."""
     base = [(0, m.start(), m.end()) for m in ASSIGN.finditer(text) if len(m.group(2)) >= ASSIGN_SIZE]
     base += [(1, m.start(), m.end()) for m in ACCESS.finditer(text) if m.end() - m.start() >= ACCESS_SIZE]
     base += [(2, m.start(), m.end()) for m in HEX.finditer(text)]
     tokens = []
     for m in TOKEN.finditer(text):
-        body = m.group().rstrip("=")
-        if not any(c in DIGITS for c in body) or body.isdigit():
-            continue
-        if any(start < m.end() and m.start() < end for _, start, end in base):
-            continue
-        encoding = encoding_of(body)
-        if encoding is None:
-            continue
-        alphabet = ENCODINGS[encoding]
-        if battery(np.array([alphabet.index(c) for c in body]), len(alphabet)) >= BATTERY_LEVEL:
-            tokens.append({"start": m.start(), "end": m.end(), "encoding": encoding, "body": body})
+        for a, b in sorted(pieces(m.group())):
+            body = m.group()[a:b].rstrip("=")
+            a, b = a + m.start(), b + m.start()
+            if not any(c in DIGITS for c in body) or body.isdigit():
+                continue
+            if any(start < b and a < end for _, start, end in base):
+                continue
+            encoding = encoding_of(body)
+            if encoding is None:
+                continue
+            alphabet = ENCODINGS[encoding]
+            if battery(np.array([alphabet.index(c) for c in body]), len(alphabet)) >= BATTERY_LEVEL:
+                tokens.append({"start": a, "end": b, "encoding": encoding, "body": body})
     return sorted(base, key=lambda s: (s[1], s[0], s[2])), tokens
 
 
+def apart(found: list[tuple[float, int, int]]) -> list[tuple[int, int]]:
+    """Of spans (strength, start, end) that overlap, the strongest, and of equal ones the longest; in order."""
+    kept: list[tuple[int, int]] = []
+    for _, a, b in sorted(found, key=lambda s: (-s[0], s[1] - s[2], s[1])):
+        at = bisect.bisect(kept, (a, b))
+        if (at == 0 or kept[at - 1][1] <= a) and (at == len(kept) or b <= kept[at][0]):
+            kept.insert(at, (a, b))
+    return kept
+
+
 def written(spans: list[tuple[int, int, int]]) -> str:
     return ",".join(f"{KINDS[k]}:{a}:{b}" for k, a, b in spans)
 
@@ -230,7 +254,8 @@ def scan_secrets(
 
     Spans are kind:start:end in code points, the end exclusive, by start and then kind;
     base_sha256 is the digest of the base spans alone. A null text counts as empty and has
-    none. Rows that share an id are scanned each for itself. The counts of pairs and the
+    none. Runs joined by signs are tested whole and in parts; of spans that overlap the one
+    that stands out most is reported. Rows that share an id are scanned each for itself. The counts of pairs and the
     p-values that set the limit come from all rows; what reaches the driver is one array
     of 729 counts and at most 6,001 bins, whatever the size. Other columns are not looked at.
     """
@@ -266,7 +291,8 @@ def scan_secrets(
             rows = []
             for r in batch.to_pylist():
                 base = [(s["kind"], s["start"], s["end"]) for s in r["base"]]
-                random = [(3, t["start"], t["end"]) for t in r["tokens"] if strength(t) >= limit]
+                weighed = [(strength(t), t["start"], t["end"]) for t in r["tokens"]]
+                random = [(3, a, b) for a, b in apart([w for w in weighed if w[0] >= limit])]
                 rows.append(
                     {
                         **{c: r[c] for c in ("doc_id", "n_assign", "n_access", "n_hex")},

@@ -96,6 +96,34 @@ def test_short_secrets_of_every_encoding_are_found(spark):
     assert sum(i >= len(planted) for i in hit) <= 0.02 * len(hit)
 
 
+def test_secrets_in_paths_are_found(spark):
+    r, g = random.Random(4), np.random.default_rng(4)
+    key = lambda k, n: "".join(g.choice(list(secrets.ENCODINGS[k]), n))
+    around = [
+        ("hooks/services/T00-app/", "", 5), ("my-bucket/", "", 5), ("/var/lib/app_data/tok/", "", 5), ("my_files/of/a-user/", "/end", 7),
+        ("services/hooks/", "", 5), ("a/path/of/some/words/and/more/of/these/", "/rest/of/it", 5), ("app-data_", "", 6),
+    ]
+    planted = [(a, key(k, 32) + "7Q", b) for a, b, k in around for _ in range(10)]
+    texts = [f"{prose(r, 40)} {a}{t}{b} {prose(r, 20)}" for a, t, b in planted]
+    texts += [f"{prose(r, 40)} /{r.choice(WORDS)}/{r.choice(WORDS)}_{r.choice(WORDS)}-{r.randint(1, 99)}/{prose(r, 3).replace(' ', '_')}_7" for _ in range(300)]
+    rows = {x["doc_id"]: x for x in secrets.scan_secrets(documents(spark, texts)).collect()}
+    covered = []
+    for i, (_, t, _) in enumerate(planted):
+        at = texts[i].index(t)
+        spans = [tuple(map(int, s.split(":")[1:])) for s in rows[i]["spans"].split(",") if s]
+        assert all(y <= a for (_, y), (a, _) in zip(spans, spans[1:], strict=False))
+        covered.append(any(a < at + len(t) and at < b and min(b, at + len(t)) - max(a, at) >= 20 for a, b in spans))
+    for k in range(len(around)):
+        assert sum(covered[10 * k : 10 * k + 10]) >= 7
+    assert sum(x["n_random"] > 0 for i, x in rows.items() if i >= len(planted)) <= 2
+
+
+def test_the_strongest_of_overlapping_spans_is_reported():
+    assert secrets.apart([(3.0, 0, 60), (9.0, 30, 60), (3.0, 60, 90), (9.0, 100, 130), (9.0, 100, 140)]) == [
+        (30, 60), (60, 90), (100, 140),
+    ]
+
+
 def test_threshold_bounds_the_false_share():
     assert secrets.threshold({}, 0.05, 0.01) == float("inf")
     assert secrets.threshold({0: 99, 100: 1}, 0.05, 0.01) == 5.0

@@ -117,6 +117,7 @@ def clean(
         order=order,
         percent=settings.near_dup_percent,
         head_chars=settings.near_dup_chars,
+        whole=settings.near_dup_whole,
     )
     if profiles is not None:
         kept = filter_language(kept, profiles, settings.language, settings.language_chars)

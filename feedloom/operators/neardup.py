@@ -93,6 +93,7 @@ def blocks(heads: DataFrame, percent: int, head_chars: int) -> DataFrame:
         "id",
         "at",
         "len",
+        "size",
         "w",
         F.explode(
             F.transform(
@@ -103,7 +104,7 @@ def blocks(heads: DataFrame, percent: int, head_chars: int) -> DataFrame:
                 ),
             )
         ).alias("entry"),
-    ).select("id", "at", "len", "w", "entry.pos", "entry.block")
+    ).select("id", "at", "len", "size", "w", "entry.pos", "entry.block")
     counts = cut.groupBy("w", "block").agg(F.count(F.lit(1)).alias("uses"))
     rarest = Window.partitionBy("id").orderBy("uses", "pos")
     return (
@@ -129,6 +130,7 @@ def lookups(heads: DataFrame, percent: int, head_chars: int) -> DataFrame:
             "id",
             "at",
             "len",
+            "size",
             "w",
             F.explode(
                 F.transform(
@@ -140,7 +142,7 @@ def lookups(heads: DataFrame, percent: int, head_chars: int) -> DataFrame:
                 )
             ).alias("entry"),
         )
-        .select("id", "at", "len", "w", "entry.pos", "entry.block")
+        .select("id", "at", "len", "size", "w", "entry.pos", "entry.block")
     )
 
 
@@ -154,13 +156,15 @@ def _meet(probe: DataFrame, index: DataFrame, percent: int) -> DataFrame:
     shift = F.col("p.pos") - F.col("i.pos")
     growth = F.col("p.len") - F.col("i.len")
     allowed = edits(F.col("p.len"), F.col("i.len"), percent)
+    sizes = F.col("p.size"), F.col("i.size")
     return (
         p.join(
             i.hint("merge"),
             (F.col("p.w") == F.col("i.w"))
             & (F.col("p.block") == F.col("i.block"))
             & (F.col("i.at") < F.col("p.at"))
-            & (F.abs(shift) + F.abs(growth - shift) <= allowed),
+            & (F.abs(shift) + F.abs(growth - shift) <= allowed)
+            & (F.abs(sizes[0] - sizes[1]) <= edits(*sizes, percent)),
         )
         .select(F.col("p.id").alias("later"), F.col("i.id").alias("earlier"))
         .distinct()
@@ -192,12 +196,33 @@ def _verify(pairs: DataFrame, heads: DataFrame, percent: int, head_chars: int) -
     )
 
 
+def _confirm(pairs: DataFrame, bodies: DataFrame, percent: int) -> DataFrame:
+    """Keep the pairs whose whole texts are above the threshold too."""
+    tasks = int(bodies.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    later = bodies.select(F.col("id").alias("later"), F.col("body").alias("b"))
+    earlier = bodies.select(F.col("id").alias("earlier"), F.col("body").alias("a"))
+    total = F.length("a") + F.length("b")
+    return (
+        pairs.repartition(tasks, "later", "earlier")
+        .join(later, "later")
+        .join(earlier, "earlier")
+        .filter(common_length(F.col("a"), F.col("b")) * 200 > total * percent)
+        .select("later", "earlier")
+    )
+
+
 def close_copies(
-    heads: DataFrame, percent: int = 95, head_chars: int = 200, hot: int = 1000
+    heads: DataFrame,
+    percent: int = 95,
+    head_chars: int = 200,
+    hot: int = 1000,
+    bodies: DataFrame | None = None,
 ) -> DataFrame:
     """Ids of the heads that have an earlier kept near-duplicate.
 
-    `heads` has one row per distinct head: id, at (position in the input), head, len.
+    `heads` has one row per distinct head: id, at (position in the input), head, len, and
+    size, the length of what is compared in the end. With `bodies` (id, body) that is the
+    whole text, heads may repeat, and pairs of close heads count if their bodies are close.
     """
     stage = Stage(heads.sparkSession, "near-duplicates")
     # Heads are small but each becomes some 200 rows, so they are spread evenly
@@ -208,7 +233,8 @@ def close_copies(
     probe = lookups(heads.filter("len > 0"), percent, head_chars)
 
     def verified(pairs: DataFrame) -> DataFrame:
-        return stage.write(_verify(pairs, heads, percent, head_chars))
+        close = _verify(pairs, heads, percent, head_chars)
+        return stage.write(close if bodies is None else _confirm(close, bodies, percent))
 
     edges = verified(_meet(probe, index.filter(F.col("uses") <= hot), percent))
     hot_index = index.filter(F.col("uses") > hot)
@@ -216,7 +242,7 @@ def close_copies(
     if not hot_index.isEmpty():
         keys = hot_index.select("w", "block").distinct()
         hot_probe = stage.write(probe.join(keys, ["w", "block"], "left_semi"))
-        first = F.min_by(F.struct("id", "at", "len", "pos"), "at").alias("first")
+        first = F.min_by(F.struct("id", "at", "len", "size", "pos"), "at").alias("first")
         holders = hot_index.groupBy("w", "block").agg(first).select("w", "block", "first.*")
         near_first = verified(_meet(hot_probe, holders, percent))
         waiting = stage.write(near_first.select("later").distinct())
@@ -264,35 +290,42 @@ def dedup_fuzzy(
     hot: int = 1000,
     id_col: str = "review_id",
     text: str = "review_text",
+    whole: bool = False,
 ) -> DataFrame:
     """Drop every review with an earlier kept near-duplicate in the whole table.
 
     The order columns and the id must identify a row. Only the first `head_chars`
-    characters are compared; that is how near-duplicates are defined here, so long texts
-    that share such an opening count as copies. The result does not depend on `hot`, which
-    only says from how many holders on a block is first compared with its earliest one.
+    characters are compared; that is how near-duplicates are defined by default, so long
+    texts that share such an opening count as copies. With `whole` the whole texts must be
+    as close as well; different texts that share an opening are then compared pair by pair
+    where their lengths allow it. The result does not depend on `hot`, which only says from
+    how many holders on a block is first compared with its earliest one.
     Jobs run when this function is called.
     """
     at = [F.col(c).asc_nulls_last() for c in order]
-    same_head = Window.partitionBy("_head").orderBy(*at)
+    body = strip(F.lower(F.col(text)))
+    same = Window.partitionBy(F.md5("_body") if whole else F.col("_head")).orderBy(*at)
     # Undated rows come last, as in the window.
     position = F.struct(
         *[f for c in order for f in (F.col(c).isNull().alias(f"no_{c}"), F.col(c).alias(c))]
     )
     # Ids, positions and heads decide; the rows themselves only meet the ids that stay.
     heads = Stage(df.sparkSession, "heads").write(
-        df.withColumn("_head", head_of(F.col(text), head_chars))
-        .select(id_col, *[c for c in order if c != id_col], "_head")
-        .withColumn("_n", F.row_number().over(same_head))
+        df.withColumns({"_head": head_of(F.col(text), head_chars), "_body": body})
+        .select(id_col, *[c for c in order if c != id_col], "_head", *(["_body"] if whole else []))
+        .withColumn("_n", F.row_number().over(same))
         .filter(F.col("_n") == 1)
         .select(
             F.col(id_col).cast("string").alias("id"),
             position.alias("at"),
             F.col("_head").alias("head"),
             F.length("_head").alias("len"),
+            F.length("_body" if whole else "_head").alias("size"),
+            *([F.col("_body").alias("body")] if whole else []),
         )
     )
-    near = close_copies(heads, percent, head_chars, hot)
+    bodies = heads.select("id", "body") if whole else None
+    near = close_copies(heads.drop("body"), percent, head_chars, hot, bodies)
     kept = heads.select("id").join(near, "id", "left_anti").withColumnRenamed("id", "_kept")
     return df.join(kept, F.col(id_col).cast("string") == F.col("_kept"), "left_semi")
 

@@ -145,6 +145,7 @@ def cleaning_counters(raw: DataFrame, settings: Settings, profiles: DataFrame |
         cleaning.drop_short(raw, settings.min_text),
         percent=settings.near_dup_percent,
         head_chars=settings.near_dup_chars,
+        whole=settings.near_dup_whole,
     )
     return cleaning.cleaning_stats(raw, settings, profiles, copies)
 

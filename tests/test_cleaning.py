@@ -121,3 +121,16 @@ def test_stats_keep_what_cleaning_keeps_of_undated_copies(raw):
     stats = cleaning.cleaning_stats(df, settings, None, near_copy_ids(df)).first()
     assert [r["review_id"] for r in kept] == ["r001"]
     assert (stats["output"], stats["removed_exact_dup"], stats["removed_fuzzy_dup"]) == (1, 1, 1)
+
+
+def test_cleaning_keeps_different_texts_after_one_opening_if_asked_to(raw):
+    from feedloom.config import Settings
+
+    words = [f"word{i}" for i in range(60)]
+    opening, other = " ".join(words[:40]), " ".join(words[40:])
+    df = raw({"review_text": opening}, {"review_text": f"{opening} {other}"}, {"review_text": f"{opening} {other}!"})
+    kept = [
+        [r["review_id"] for r in cleaning.clean(df, Settings(own_brands=(), as_of="2024-07-01", near_dup_whole=whole)).orderBy("review_id").collect()]
+        for whole in (False, True)
+    ]
+    assert kept == [["r000"], ["r000", "r001"]]

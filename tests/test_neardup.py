@@ -132,3 +132,33 @@ def test_enough_blocks_for_every_length(spark):
                 default=0,
             )
             assert r["needed"] > most
+
+
+def brute_whole(texts):
+    """Keep-first over all pairs whose heads and whole texts are both close."""
+    kept, out = [], []
+    for key, text in texts:
+        t = text.lower().strip()
+        alike = lambda a, b: 200 * common(a, b) > 95 * (len(a) + len(b))
+        if not any(alike(p[:200], t[:200]) and alike(p, t) for p in kept):
+            kept.append(t)
+            out.append(key)
+    return sorted(out)
+
+
+@pytest.mark.parametrize("hot", [1, 1000])
+def test_whole_texts_confirm_copies(raw, hot):
+    rng = random.Random(17)
+    draw = lambda n: "".join(rng.choice("abcdefghijklmnop ") for _ in range(n))
+    opening = draw(210)
+    # One template before different texts, with copies of some of them, and unrelated ones.
+    bodies = [opening + draw(rng.choice([0, 40, 150, 300])) for _ in range(10)]
+    bodies += [edited(rng, rng.choice(bodies), rng.randrange(0, 9)) for _ in range(12)]
+    bodies += [draw(rng.choice([30, 120, 260])) for _ in range(6)]
+    bodies += [bodies[0], bodies[4].upper(), "  " + bodies[5]]
+    rng.shuffle(bodies)
+    texts = [(f"r{i:03d}", "z" + t + "z") for i, t in enumerate(bodies)]
+    df = raw(*({"review_id": k, "review_text": t} for k, t in texts))
+    want = brute_whole(texts)
+    assert ids(dedup_fuzzy(df, order=("review_id",), hot=hot, whole=True)) == want
+    assert len(want) > len(ids(dedup_fuzzy(df, order=("review_id",), hot=hot)))

@@ -7,7 +7,9 @@ as the next one's docs. All but the last return the columns of documents.
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from feedloom.functions.staging import Stage
 from feedloom.llm import jaccard, line_dedup, mixing, packing, quality
@@ -36,19 +38,66 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
     return done.select(row.alias("row")).select("row.*")
 
 
+def keyed(docs: DataFrame, *more: str) -> DataFrame:
+    """The whole rows, each with a key of its id (nulls last), its text and further columns."""
+    doc_id = F.col("doc_id")
+    key = F.struct(
+        doc_id.isNull().alias("late"), doc_id, line_dedup.text_key(F.col("text")).alias("text_key"),
+        *[F.coalesce(F.col(c), F.lit(mixing.NONE)).alias(c) for c in more],
+    )
+    return docs.select(F.struct("*").alias("row"), key.alias("key"), "doc_id", "text", *more)
+
+
+def at_most(rows: DataFrame, wanted: DataFrame) -> DataFrame:
+    """Of each key in `wanted` so many rows, the first in the order of their columns, and all others.
+
+    `wanted` lists repeated keys that keep fewer rows than they have; as a rule there are none.
+    """
+    if wanted.isEmpty():
+        return rows
+    kinds = rows.schema["row"].dataType
+    order = [F.col("row")[f.name] for f in kinds if isinstance(f.dataType, T.AtomicType)]
+    # The limits of most keys are one row, which Spark cuts to before the shuffle.
+    place = F.row_number().over(W.partitionBy("key").orderBy(*order))
+    one = rows.join(wanted.filter("wanted = 1"), "key", "left_semi").withColumn("n", place).filter("n = 1").drop("n")
+    some = rows.join(wanted.filter("wanted > 1"), "key").withColumn("n", place).filter("n <= wanted").drop("n", "wanted")
+    return rows.join(wanted, "key", "left_anti").unionByName(one).unionByName(some)
+
+
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of every group of similar documents, the one with the smallest id."""
-    groups = jaccard.jaccard_components(docs)
-    later = groups.filter(F.col("doc_id") != F.col("component_id")).select("doc_id").distinct()
-    return docs.join(later.hint("shuffle_hash"), "doc_id", "left_anti").select(*docs.columns)
+    """Of every group of similar documents, one row: that of the smallest id, null ids last.
+
+    Rows that share an id are told apart by their texts, so another text under a dropped
+    document's id stays. Rows without an id take part as any other. Of rows that repeat both
+    id and text the first in the order of the columns stays. Documents without words are in
+    no group and all stay.
+    """
+    rows = keyed(docs)
+    stage = Stage(spark, "pipeline-near-duplicates")
+    groups = stage.write(jaccard.jaccard_components(rows.select("key", "text"), id_col="key"))
+    first = F.col("doc_id") == F.col("component_id")
+    later = groups.filter(~first).select(F.col("doc_id").alias("key")).distinct()
+    repeated = groups.filter(first & (F.col("n_shingles") > 0)).groupBy(F.col("doc_id").alias("key")).count()
+    wanted = stage.write(repeated.filter("count > 1").select("key", F.lit(1).cast("long").alias("wanted")))
+    return at_most(rows.join(later.hint("shuffle_hash"), "key", "left_anti"), wanted).select("row.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the target weights of domains, languages and sources select."""
+    """Documents that the target weights of domains, languages and sources select.
+
+    The rows that stay are those that the mix chose, whether they have an id or share it.
+    Of rows with the same id, text, language and source as many stay as were chosen.
+    """
+    rows = keyed(docs, "lang", "source")
+    stage = Stage(spark, "pipeline-mix")
     domain = mixing.named(F.col("source"), DOMAINS, "other")
-    chosen = mixing.mix(docs, WEIGHTS, domain, portion=MIX_PORTION, epochs=MIX_EPOCHS)
-    ids = chosen.select("doc_id").distinct().hint("shuffle_hash")
-    return docs.join(ids, "doc_id", "left_semi").select(*docs.columns)
+    chosen = mixing.mix(rows, WEIGHTS, domain, portion=MIX_PORTION, epochs=MIX_EPOCHS, key=F.col("key"))
+    # A later epoch only begins after a whole first one.
+    taken = stage.write(chosen.filter("epoch = 0").groupBy("key").agg(F.count(F.lit(1)).alias("wanted")))
+    repeated = rows.groupBy("key").count().filter("count > 1")
+    wanted = stage.write(repeated.join(taken, "key").filter("wanted < count").select("key", "wanted"))
+    kept = rows.join(taken.select("key").hint("shuffle_hash"), "key", "left_semi")
+    return at_most(kept, wanted).select("row.*")
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

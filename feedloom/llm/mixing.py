@@ -105,6 +105,7 @@ def mix(
     text_col: str = "text",
     lang_col: str = "lang",
     source_col: str = "source",
+    key: Column | None = None,
 ) -> DataFrame:
     """Selected documents: doc_id, domain, lang, source, epoch (from 0), start, tokens.
 
@@ -113,13 +114,17 @@ def mix(
     the leaf's prefix, so a leaf exceeds its budget by less than one document. Documents
     without words take no budget: they are taken in each whole epoch and while the prefix
     lasts. Nulls in domain, language or source are keys of their own, "(none)". Equal ids
-    order by their number of tokens. Other columns are not looked at.
+    order by their number of tokens. A `key` tells rows apart that share an id, or have none:
+    it comes after the tokens in that order, gives null ids their places and is returned as a
+    column. Rows of one key are interchangeable. Other columns are not looked at.
     """
     stage = Stage(docs.sparkSession, "mixing")
     known = lambda c: F.coalesce(c, F.lit(NONE))
     # The place of a document in an epoch is the head of a digest: 60 bits.
+    keys = [] if key is None else ["key"]
+    name = F.coalesce(F.col("doc_id").cast("string"), *[F.xxhash64(k).cast("string") for k in keys])
     place = lambda epoch: F.conv(
-        F.substring(F.md5(F.concat_ws(":", F.lit(seed), epoch, F.col("doc_id").cast("string")).cast("binary")), 1, 15), 16, 10
+        F.substring(F.md5(F.concat_ws(":", F.lit(seed), epoch, name).cast("binary")), 1, 15), 16, 10
     ).cast("long")
     narrow = stage.write(
         docs.select(
@@ -128,6 +133,7 @@ def mix(
             known(F.col(lang_col)).alias("lang"),
             known(F.col(source_col)).alias("source"),
             n_words(F.col(text_col)).alias("tokens"),
+            *([] if key is None else [key.alias("key")]),
         )
     )
     leaves = narrow.groupBy(*LEVELS).agg(F.sum("tokens").alias("tokens"))
@@ -154,7 +160,7 @@ def mix(
     offsets = parts.withColumn("ahead", F.coalesce(F.sum("n").over(ahead), F.lit(0))).drop("n")
     within = (
         W.partitionBy(*LEVELS, "epoch", "part")
-        .orderBy("place", "doc_id", "tokens")
+        .orderBy("place", "doc_id", "tokens", *keys)
         .rowsBetween(W.unboundedPreceding, -1)
     )
     started = drawn.withColumn("own", F.coalesce(F.sum("tokens").over(within), F.lit(0))).join(
@@ -162,5 +168,5 @@ def mix(
     )
     start = F.col("ahead") + F.col("own")
     return started.filter((F.col("epoch") < F.col("whole")) | (start < F.col("rest"))).select(
-        "doc_id", *LEVELS, "epoch", start.alias("start"), "tokens"
+        "doc_id", *LEVELS, "epoch", start.alias("start"), "tokens", *keys
     )

@@ -112,3 +112,30 @@ def test_pipeline_stages_keep_the_columns(spark, docs, tmp_path, labels):
     for _, stage in corpus_pipeline.STAGES[:-1]:
         assert stage(spark, docs, str(tmp_path)).columns == docs.columns
         assert stage(spark, docs.limit(0), str(tmp_path)).count() == 0
+
+
+def test_pipeline_decides_on_rows(spark, docs, tmp_path):
+    own = lambda df: sorted(df.select("doc_id", "text", "source").collect(), key=str)
+    rows = docs.select("doc_id", "text", "source").distinct().collect()
+    same = "One line of words that is here."
+    # All copies of one text but the first id's; the other text under id 5 stays.
+    alone = [r for r in rows if r["text"] != same or r["doc_id"] == 1]
+    assert own(corpus_pipeline.drop_near_duplicates(spark, docs, "")) == sorted(alone, key=str)
+    # Copies without an id, or of one id alone, still leave one document.
+    for doc_id in (None, 5):
+        left = corpus_pipeline.drop_near_duplicates(spark, docs.filter(F.col("doc_id").eqNullSafe(F.lit(doc_id).cast("long"))), "")
+        assert left.filter(F.col("text") == same).count() == 1
+
+
+@pytest.mark.parametrize("portion", [(1, 1), (1, 2), (1, 3)])
+def test_pipeline_keeps_the_rows_that_the_mix_chose(spark, monkeypatch, portion):
+    monkeypatch.setattr(corpus_pipeline, "MIX_PORTION", portion)
+    texts = [f"text {i} " + "word " * (i % 5 + 3) for i in range(30)]
+    rows = [(None if i % 3 else i // 9, t, "en", "src0", len(t)) for i, t in enumerate(texts)] + [(7, "a b c d", "en", "src0", 7)] * 6
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    kept = corpus_pipeline.mix_sources(spark, docs, "").collect()
+    words = lambda texts: sum(len(t.split()) for t in texts)
+    budget = words(r[1] for r in rows) * portion[0] // portion[1]
+    assert budget <= words(r["text"] for r in kept) < budget + 10
+    assert any(r["doc_id"] is None for r in kept)
+    assert portion != (1, 1) or sorted(map(tuple, kept), key=str) == sorted(rows, key=str)

@@ -95,6 +95,8 @@ def search(queries: pa.Table, vectors: pa.Table, pivots: np.ndarray, k: int) ->
         names, ids = queries["query"].to_pylist(), vectors["vec_id"].to_numpy()
         prefix = min(PREFIX, len(pivots))
         file, lists = inverted_file(orders(x, pivots, prefix), len(pivots)), orders(q, pivots, prefix)
+        # More than the rounding of two sums of products can differ by, for a vector of length 1.
+        slack = 4 * x.shape[1] * np.finfo(float).eps * math.sqrt((x * x).sum(axis=1).max())
         keep = min(len(x), max(AT_LEAST, math.ceil(SHARE * len(x))))
         for name, vector, order in zip(names, q, lists, strict=True):
             near = np.arange(len(x))
@@ -102,7 +104,9 @@ def search(queries: pa.Table, vectors: pa.Table, pivots: np.ndarray, k: int) ->
                 near = np.argpartition(footrule(order, file), keep - 1)[:keep]
             rough = x[near] @ vector
             if len(near) > 2 * k:
-                near = near[np.argpartition(-rough, 2 * k - 1)[: 2 * k]]
+                # Equal scores stay together: among them the ids decide.
+                margin = slack * float(np.sqrt(vector @ vector))
+                near = near[rough >= np.partition(rough, -2 * k)[-2 * k] - margin]
             exact = (x[near] * vector).sum(axis=1)
             best = np.lexsort((ids[near], -exact))[:k]
             out["query"] += [name] * len(best)

@@ -7,6 +7,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -320,6 +321,15 @@ def test_packing_round_trip(spark):
 # --- nearest neighbours
 
 
+def test_ties_beyond_the_rough_choice_go_to_the_smaller_ids():
+    x = np.eye(50)[1:] + np.eye(50)[0]
+    ids = np.random.default_rng(2).permutation(len(x))
+    vectors = pa.table({"vec_id": pa.array(ids, pa.int64()), "vector": pa.array(x.tolist())})
+    queries = pa.table({"query": pa.array([b"q"], pa.binary()), "wanted": pa.array([np.eye(50)[0].tolist()])})
+    found = neighbours.search(queries, vectors, x[:4], 3)
+    assert found["vec_id"].to_pylist() == [0, 1, 2]
+
+
 def test_neighbours_against_brute_force(spark):
     r = np.random.default_rng(9)
     x = r.normal(size=(1200, 16)).astype(np.float32)

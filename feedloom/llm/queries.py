@@ -5,7 +5,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from feedloom.llm import exact_dedup, jaccard, langid, licenses, line_dedup, mixing, neighbours, packing, quality, secrets
+from feedloom.llm import (
+    exact_dedup, jaccard, langid, licenses, line_dedup, mixing, neighbours, packing, periodic, quality, secrets, sharding, spelling,
+)
 from feedloom.llm.common import table
 
 
@@ -82,6 +84,43 @@ def op10_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(spelling.count_words(table(spark, sf_dir, "documents"), misspell=31))
+
+
+def op12_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    placed = sharding.assign(table(spark, sf_dir, "documents"), shards=40)
+    return placed.select(
+        "doc_id",
+        F.col("bytes").alias("size"),
+        F.col("crc").alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+        "tokens",
+        F.lower(F.hex("digest")).alias("text_sha256"),
+    )
+
+
+def op13_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    found = periodic.find_runs(docs, text=periodic.with_planted_runs(F.col("doc_id"), F.col("text")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    best = found.withColumn("best", periodic.greatest_run(F.col("runs")))
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(F.col("best.length") * 1000 / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.concat_ws("", F.transform(lines, lambda x: F.concat(x, F.lit("\n")))), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed").cast("binary"), 256).alias("collapsed_sha256"),
+        "n_words",
+    )
+
+
 QUERIES = {
     f.__name__: f
     for f in (
@@ -95,6 +134,9 @@ QUERIES = {
         op8_nearest_neighbours,
         op9_license_scan,
         op10_line_dedup,
+        op11_spelling_variants,
+        op12_sharding,
+        op13_periodic_runs,
     )
 }
 

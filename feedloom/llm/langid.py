@@ -29,7 +29,6 @@ ROUNDS = 3
 ALPHA, BETA = 0.5, 1.0
 L1, L2 = 0.05, 0.1
 UNKNOWN = "und"
-LETTER = re.compile(r"[^\W\d_]")
 NO_LETTERS = re.compile(r"[\W\d_]+")
 
 
@@ -121,7 +120,7 @@ class Model:
         return self
 
     def predict(self, text: str | None) -> tuple[str, float]:
-        if not text or not LETTER.search(text) or not self.languages:
+        if not text or not any(map(str.isalpha, text)) or not self.languages:
             return UNKNOWN, 0.0
         at, x = self.vector(*counted(text))
         p = softmax(x @ self.weights[at] / self.temperature)
@@ -140,7 +139,8 @@ def train(
     """Train on rows with a text and a language that are not held out.
 
     At most `sample` rows are fitted to (per language the ones with the smallest digests of
-    their ids); document frequencies come from all of them. Languages are few, so a language
+    their ids; of rows that share an id and a language the text with the smallest digest);
+    document frequencies come from all of them. Languages are few, so a language
     always has its share of the sample.
     """
     usable = docs.select(
@@ -158,12 +158,14 @@ def train(
     chosen = (
         usable.select("doc_id", "lang")
         .filter(thinned(F.col("doc_id"), most, total))
+        .distinct()
         .withColumn("n", F.row_number().over(each))
         .filter(F.col("n") <= most)
         .drop("n")
     )
     # At most `sample` rows of an id and a language, so the broadcast is bounded.
-    met = usable.join(F.broadcast(chosen), ["doc_id", "lang"])
+    met = usable.join(F.broadcast(chosen), ["doc_id", "lang"]).groupBy("doc_id", "lang")
+    one = met.agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
 
     def features(rows: list[dict]) -> list[dict]:
         out = []
@@ -177,7 +179,7 @@ def train(
             )
         return out
 
-    found = map_rows(met, features, "doc_id long, lang string, grams binary, counts binary").toArrow()
+    found = map_rows(one, features, "doc_id long, lang string, grams binary, counts binary").toArrow()
     found = found.sort_by([("doc_id", "ascending"), ("lang", "ascending"), ("grams", "ascending")])
     number = {lang: i for i, lang in enumerate(languages)}
     labels = np.array([number[lang] for lang in found["lang"].to_pylist()])
@@ -195,7 +197,7 @@ def train(
 def identify(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The language of every row: doc_id, held_out, lang_pred, score.
 
-    Null texts and texts without any letter are "und" with score 0; so is every text if
+    Null texts and texts without any letter (`str.isalpha`) are "und" with score 0; so is every text if
     there was nothing to learn from. Rows are judged one by one, so repeated ids and other
     columns do not matter.
     """

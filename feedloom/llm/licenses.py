@@ -62,6 +62,8 @@ FREEDOM = {
     "agpl-3": 0.3, "cc-by-nd": 0.2, "cc-by-nc": 0.2, "reserved": 0.0,
 }
 
+# Label of a license that the identifiers do not list, where it binds.
+UNKNOWN = "unknown"
 # What an exception ("with") adds to the freedom of a copyleft license.
 EXCEPTION_BONUS = 0.2
 # Weight of one piece of evidence in the score.
@@ -102,36 +104,47 @@ def to_postfix(pieces: list[str]) -> list[str] | None:
     return out + waiting[::-1]
 
 
-def label_of(name: str) -> str | None:
-    return IDENTIFIERS.get(re.sub(r"(-only|-or-later|\+)$", "", name))
+def label_of(name: str, identifiers: dict[str, str]) -> str | None:
+    return identifiers.get(re.sub(r"(-only|-or-later|\+)$", "", name))
 
 
-def evaluate(postfix: list[str]) -> tuple[set[str], float] | None:
+def evaluate(postfix: list[str], identifiers: dict[str, str] = IDENTIFIERS) -> tuple[set[str], float] | None:
     """Labels of an expression and how freely it lets a text be used.
 
     "or" leaves the choice to the user (largest value), "and" binds to both (smallest),
-    "with" grants an exception from its left side. None if a license is unknown.
+    "with" grants an exception from its left side. Of a license that is not known nothing is
+    permitted: "or" may pass it by, "and" gives the label UNKNOWN and no freedom. None if no
+    license of the expression is known.
     """
-    stack: list[tuple[set[str], float]] = []
-    for at, piece in enumerate(postfix):
+    stack: list[tuple[set[str], float] | None] = []  # None stands for a license that is not known
+    for piece in postfix:
         if piece == "with":
             exception, license_ = stack.pop(), stack.pop()
-            if exception[1] >= 0:  # an exception's name is no license
-                return None
-            stack.append((license_[0], min(1.0, license_[1] + EXCEPTION_BONUS) if license_[1] < 0.8 else license_[1]))
+            if exception is not None:  # an exception's name is no license
+                stack.append((exception[0] | (license_[0] if license_ else set()) | {UNKNOWN}, 0.0))
+            elif license_ is None:
+                stack.append(None)
+            else:
+                labels, value = license_
+                stack.append((labels, min(1.0, value + EXCEPTION_BONUS) if 0 < value < 0.8 else value))
         elif piece in BINDS:
             b, a = stack.pop(), stack.pop()
-            if a[1] < 0 or b[1] < 0:
-                return None
-            stack.append((a[0] | b[0], max(a[1], b[1]) if piece == "or" else min(a[1], b[1])))
+            if a is None or b is None:
+                known = a or b
+                stack.append(known if known is None or piece == "or" else (known[0] | {UNKNOWN}, 0.0))
+            else:
+                stack.append((a[0] | b[0], max(a[1], b[1]) if piece == "or" else min(a[1], b[1])))
         else:
-            label = label_of(piece)
-            stack.append(({label}, FREEDOM[label]) if label else (set(), -1.0))
-    return stack[0] if stack and stack[0][1] >= 0 else None
+            label = label_of(piece, identifiers)
+            stack.append(({label}, FREEDOM.get(label, 0.0)) if label else None)
+    return stack[0]
+
 
+def expression_at(line: str, identifiers: dict[str, str] = IDENTIFIERS) -> tuple[str, set[str], float] | None:
+    """The longest license expression that the line starts with: text, labels, freedom.
 
-def expression_at(line: str) -> tuple[str, set[str], float] | None:
-    """The longest license expression that the line starts with: text, labels, freedom."""
+    Only its form decides how far it reaches, not whether its licenses are known.
+    """
     pieces, end, operand_next = [], 0, True
     for found in PIECE.finditer(line):
         piece = found.group()
@@ -140,12 +153,10 @@ def expression_at(line: str) -> tuple[str, set[str], float] | None:
             break
         pieces.append(piece)
         end, operand_next = found.end(), piece in BINDS or piece == "("
-    while pieces:
-        postfix = to_postfix(pieces)
-        if postfix and (value := evaluate(postfix)):
-            return " ".join(pieces), *value
+    while pieces and not (postfix := to_postfix(pieces)):
         pieces.pop()
-    return None
+    value = evaluate(postfix, identifiers) if pieces else None
+    return (" ".join(pieces), *value) if value else None
 
 
 @cache
@@ -161,7 +172,7 @@ def automata() -> tuple[ahocorasick.Automaton, ahocorasick.Automaton]:
     return phrases, tags
 
 
-def scan_text(text: str | None) -> dict:
+def scan_text(text: str | None, identifiers: dict[str, str] = IDENTIFIERS) -> dict:
     phrases, tags = automata()
     raw = (text or "").encode("utf-8", "surrogatepass")
     words = raw.translate(TO_WORDS).split()
@@ -181,7 +192,7 @@ def scan_text(text: str | None) -> dict:
             continue
         last = end
         stop = lowered.find("\n", end)
-        if found := expression_at(lowered[end + 1 : stop if stop >= 0 else len(lowered)]):
+        if found := expression_at(lowered[end + 1 : stop if stop >= 0 else len(lowered)], identifiers):
             expressions.append(found[0])
             labels |= found[1]
             freedoms.append(found[2])
@@ -203,9 +214,15 @@ def scan_text(text: str | None) -> dict:
     }
 
 
-def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def scan_licenses(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", identifiers: dict[str, str] = IDENTIFIERS
+) -> DataFrame:
     """License findings of every row.
 
+    `identifiers` maps lower-cased identifiers, without "-only", "-or-later" and "+", to labels.
+    An expression binds to UNKNOWN, with freedom 0, where it demands a license that is not
+    listed; one without any listed license is no finding.
+
     Base places are where the words of a base phrase follow each other; n_base counts them
     all. `labels` adds those of further notices and of expressions behind tags. `score`
     grows with the evidence for a license statement, `freedom` is the smallest freedom that
@@ -215,7 +232,7 @@ def scan_licenses(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """
 
     def scan(rows: list[dict]) -> list[dict]:
-        return [{"doc_id": r["doc_id"], **scan_text(r["text"])} for r in rows]
+        return [{"doc_id": r["doc_id"], **scan_text(r["text"], identifiers)} for r in rows]
 
     return map_rows(
         docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")),

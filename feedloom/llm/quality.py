@@ -51,12 +51,11 @@ def descend(rows: list[np.ndarray], labels: np.ndarray, ratios: np.ndarray) -> n
     weights, bias = np.zeros(len(ratios)), 0.0
     signs = np.where(labels > 0, 1.0, -1.0)
     limits = np.where(labels > 0, 0.5 / max((labels > 0).mean(), 1e-9), 0.5 / max((labels <= 0).mean(), 1e-9)) * COST
-    values = [scaled(row, ratios) for row in rows]
     alpha, rng = np.zeros(len(rows)), np.random.default_rng(SEED)
     for _ in range(ROUNDS):
         moved = 0.0
         for i in rng.permutation(len(rows)):
-            row, x = rows[i], values[i]
+            row, x = rows[i], scaled(rows[i], ratios)  # a second copy of all rows would be twice as large
             gradient = signs[i] * (weights[row] @ x + bias) - 1
             new = min(max(alpha[i] - gradient / (x @ x + 1.0), 0.0), limits[i])
             if new != alpha[i]:
@@ -133,24 +132,42 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """Fit the model to labelled rows that are not held out: at most `sample` of them.
 
     The rows are those with the smallest digests of id and label, so they are a random
-    choice that depends on nothing else; the bound also bounds what reaches the driver.
+    choice that depends on nothing else; the bound also bounds what reaches the driver. Of
+    rows that share an id the text with the smallest digest counts, and an id with both labels
+    stands for both. Null ids teach nothing, null texts are empty.
     """
-    usable = labels.select("doc_id", F.col("quality").cast("int").alias("label")).filter(
-        F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id"))
-    )
+    usable = (
+        labels.select("doc_id", F.col("quality").cast("int").alias("label"))
+        .filter(F.col("quality").isin(0, 1) & F.col("doc_id").isNotNull() & ~held_out(F.col("doc_id")))
+    )
     few = usable.filter(thinned(F.col("doc_id"), sample, F.lit(usable.count())))
-    chosen = few.orderBy(F.xxhash64("doc_id", "label"), "doc_id", "label").limit(sample)
+    chosen = few.distinct().orderBy(F.xxhash64("doc_id", "label"), "doc_id", "label").limit(sample)
     # At most `sample` rows of two numbers, so the broadcast is bounded.
-    met = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text")).join(F.broadcast(chosen), "doc_id")
+    texts = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    met = texts.join(F.broadcast(chosen), "doc_id").groupBy("doc_id", "label")
+    one = met.agg(F.min_by("text", F.struct(F.xxhash64("text"), "text")).alias("text"))
 
     def features(rows: list[dict]) -> list[dict]:
-        return [{"label": r["label"], "doc_id": r["doc_id"], "grams": indicators(r["text"] or "").tobytes()} for r in rows]
-
-    found = map_rows(met, features, "label int, doc_id long, grams binary").toArrow().sort_by(
-        [("doc_id", "ascending"), ("label", "ascending"), ("grams", "ascending")]
-    )
-    rows = [np.frombuffer(g.as_py(), np.int32) for g in found["grams"]]
-    return Model(rows, found["label"].to_numpy())
+        return [{"label": r["label"], "doc_id": r["doc_id"], "grams": indicators(r["text"]).tobytes()} for r in rows]
+
+    found = map_rows(one, features, "label int, doc_id long, grams binary").toArrow()
+    rows, class_of = in_order(found)
+    del found
+    pa.default_memory_pool().release_unused()
+    return Model(rows, class_of)
+
+
+def in_order(found: pa.Table) -> tuple[list[np.ndarray], np.ndarray]:
+    """Rows by id and label, as parts of one array, and their labels."""
+    labels = found["label"].to_numpy()
+    order = np.lexsort((labels, found["doc_id"].to_numpy()))
+    grams = found["grams"]
+    ends = np.cumsum([grams[i].as_buffer().size // 4 for i in order.tolist()], dtype=np.int64)
+    numbers = np.empty(int(ends[-1]) if len(ends) else 0, np.int32)
+    rows = np.split(numbers, ends[:-1]) if len(ends) else []
+    for row, i in zip(rows, order.tolist()):
+        row[:] = np.frombuffer(grams[i].as_buffer(), np.int32)
+    return rows, labels[order]
 
 
 def score_quality(

@@ -144,6 +144,14 @@ def test_threshold_bounds_the_false_share():
         ("mit or gpl-2.0 and mpl-2.0", {"mit", "gpl-2", "mpl-2"}, 0.9),
         ("gpl-2.0 with classpath-exception-2.0", {"gpl-2"}, 0.6),
         ("mit or later versions", {"mit"}, 0.9),
+        ("mit and foo-1.0", {"mit", "unknown"}, 0.0),
+        ("(mit or gpl-2.0) and proprietary", {"mit", "gpl-2", "unknown"}, 0.0),
+        ("mit or foo-1.0 and bar", {"mit"}, 0.9),
+        ("(mit and foo) or isc", {"mit", "unknown", "isc"}, 0.9),
+        ("foo with bar or isc", {"isc"}, 0.9),
+        ("gpl-2.0 with mit", {"gpl-2", "mit", "unknown"}, 0.0),
+        ("(mit and foo) with bar", {"mit", "unknown"}, 0.0),
+        ("mit and", {"mit"}, 0.9),
     ],
 )
 def test_expressions(line, labels, freedom):
@@ -157,6 +165,75 @@ def test_no_expression(line):
     assert found is None or found[1] == {"mit"}
 
 
+def brute_value(line, identifiers):
+    """The expression by recursive descent: (labels, freedom), None if unknown."""
+    pieces = licenses.PIECE.findall(line)
+
+    def operand():
+        if pieces[0] == "(":
+            pieces.pop(0)
+            value = either()
+            pieces.pop(0)
+            return value
+        label = identifiers.get(re.sub(r"(-only|-or-later|\+)$", "", pieces.pop(0)))
+        return ({label}, licenses.FREEDOM[label]) if label else None
+
+    def granted():
+        value = operand()
+        while pieces and pieces[0] == "with":
+            pieces.pop(0)
+            exception = operand()
+            if exception:
+                value = (exception[0] | (value[0] if value else set()) | {"unknown"}, 0.0)
+            elif value and 0 < value[1] < 0.8:
+                value = (value[0], min(1.0, value[1] + licenses.EXCEPTION_BONUS))
+        return value
+
+    def both():
+        value = granted()
+        while pieces and pieces[0] == "and":
+            pieces.pop(0)
+            other = granted()
+            if value and other:
+                value = (value[0] | other[0], min(value[1], other[1]))
+            elif value or other:
+                value = ((value or other)[0] | {"unknown"}, 0.0)
+        return value
+
+    def either():
+        value = both()
+        while pieces and pieces[0] == "or":
+            pieces.pop(0)
+            other = both()
+            value = (value[0] | other[0], max(value[1], other[1])) if value and other else value or other
+        return value
+
+    return either()
+
+
+def test_random_expressions_against_descent():
+    r = random.Random(4)
+    names = ["mit", "gpl-2.0-only", "cc-by-4.0", "apache-2.0+", "unheard-of", "x-1"]
+
+    def line(depth):
+        if depth == 0 or r.random() < 0.3:
+            return r.choice(names)
+        inner = f"{line(depth - 1)} {r.choice(['or', 'and', 'with'])} {line(depth - 1)}"
+        return f"({inner})" if r.random() < 0.5 else inner
+
+    for _ in range(400):
+        text = line(3)
+        want, got = brute_value(text, licenses.IDENTIFIERS), licenses.expression_at(text)
+        assert (got is None) == (want is None), text
+        if got:
+            assert got[1] == want[0] and abs(got[2] - want[1]) < 1e-9, text
+
+
+def test_identifiers_are_a_parameter():
+    got = licenses.scan_text("License: foo-1.0", {"foo-1.0": "mit"})
+    assert got["labels"] == "mit" and licenses.scan_text("License: mit", {})["labels"] == ""
+
+
 def test_license_places_against_brute_force():
     r = random.Random(1)
     pieces = ["under the MIT License.", "Apache License, Version 2.0", "CC BY-NC", "mit", "under", "the", "é", "license"]

@@ -396,23 +396,25 @@ PROFILES = f"""
 padded AS (SELECT review_id, lang, string_split({padded('review_text')}, '') AS p_c
            FROM docs),
 counted AS (SELECT lang, gram, count(*) AS n FROM (
-              SELECT lang, unnest({grams('p')}) AS gram FROM padded) GROUP BY ALL),
-profiles AS (SELECT lang, gram, rank FROM (
-               SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram)::INT AS rank
-               FROM counted) WHERE rank <= 300)"""
+              SELECT lang, unnest({grams('p')}) AS gram FROM padded WHERE lang IS NOT NULL) GROUP BY ALL),
+listed AS (SELECT * FROM (
+    SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram)::INT AS rank,
+      ln(n / sum(n) OVER (PARTITION BY lang)) AS share FROM counted) WHERE rank <= 300),
+profiles AS (SELECT lang, gram, rank, (floor((share - min(share) OVER ()) * 1000 + 0.5) + 1000)::BIGINT AS gain
+  FROM listed)"""
 
 
 def detected(text: str) -> str:
     return f"""
-seen AS (SELECT DISTINCT review_id, gram FROM (
-           SELECT review_id, unnest({grams(text)}) AS gram FROM padded)),
-scores AS (SELECT review_id, profiles.lang AS guess, count(*) AS shared
+seen AS (SELECT review_id, gram, count(*) AS uses FROM (
+           SELECT review_id, unnest({grams(text)}) AS gram FROM padded) GROUP BY ALL),
+scores AS (SELECT review_id, profiles.lang AS guess, sum(uses * gain) AS score
            FROM seen JOIN profiles USING (gram) GROUP BY ALL),
 best AS (SELECT review_id, guess FROM scores
-         QUALIFY row_number() OVER (PARTITION BY review_id ORDER BY shared DESC, guess) = 1)"""
+         QUALIFY row_number() OVER (PARTITION BY review_id ORDER BY score DESC, guess) = 1)"""
 
 
-add("c04_language_profiles", f"{TEXT}, {PROFILES} SELECT lang, gram, rank FROM profiles")
+add("c04_language_profiles", f"{TEXT}, {PROFILES} SELECT lang, gram, rank, gain FROM profiles")
 add(
     "c04_filter_language",
     f"""{TEXT}, {PROFILES}, {detected('p')}
@@ -450,19 +452,54 @@ add(
     {_REPETITIVE} AS is_repetitive FROM docs""",
 )
 _RECURSIVE = TEXT.replace("WITH docs", "WITH RECURSIVE docs", 1)
-# Near-duplicates. A pair within the bound shares a block of six characters; the exact
-# ratio of those that pass the bounded edit distance is computed row by row.
-NEAR = f"""
-firsts AS (SELECT * FROM (SELECT *, substring({strip('low')}, 1, 200) AS head FROM docs WHERE {_LONG})
-  QUALIFY row_number() OVER (PARTITION BY head ORDER BY doc_id) = 1),
-heads AS (SELECT doc_id, head, length(head) AS n FROM firsts),
-cut AS (SELECT doc_id, n, substring(head, k * 6 + 1, 6) AS block
+# How many characters two texts share from places x and y on, by falling powers of two.
+_SHARED = """list_reduce([65536, 32768, 16384, 8192, 4096, 2048, 1024, 512, 256, 128, 64, 32, 16, 8, 4, 2, 1],
+    lambda got, s: CASE WHEN x + got + s <= na AND y + got + s <= nb
+      AND substring(a, x + got + 1, s) = substring(b, y + got + 1, s) THEN got + s ELSE got END, 0)"""
+
+
+def near(whole: bool) -> str:
+    """Near-duplicates. A pair within the bound shares a block of six characters; the exact
+    ratio of those that pass the bounded edit distance is computed row by row.
+
+    Of whole texts the edit distance tells most pairs apart, as it is between half the number of
+    insertions and deletions and that number; the rest are walked along furthest-reaching diagonals.
+    """
+    body = strip("low")
+    key = "body" if whole else "head"
+    confirmed = f"""
+bodies AS (SELECT later, earlier, a.body AS a, b.body AS b, a.size::INT AS na, b.size::INT AS nb,
+    ((a.size + b.size) * 5 - 1) // 100 AS most FROM close
+  JOIN heads a ON a.doc_id = later JOIN heads b ON b.doc_id = earlier),
+measured AS MATERIALIZED (SELECT *, CASE WHEN abs(na - nb) > most THEN most + 1 ELSE levenshtein(a, b) END AS least
+  FROM bodies WHERE greatest(na, nb) > 200),
+open AS MATERIALIZED (SELECT * FROM measured WHERE least <= most AND 2 * least > most),
+diagonals AS (
+  SELECT later, earlier, 0 AS d, [{_SHARED}] AS reach FROM (SELECT *, 0 AS x, 0 AS y FROM open)
+  UNION ALL
+  SELECT later, earlier, d + 1, list_transform(range(0, d + 2), lambda i: list_transform([greatest(
+        CASE WHEN i > 0 THEN reach[i] + 1 ELSE 0 END, CASE WHEN i <= d THEN reach[i + 1] ELSE 0 END)::INT],
+      lambda x: list_transform([(x - (2 * i - d - 1))::INT],
+        lambda y: CASE WHEN x > na OR y > nb THEN x ELSE x + {_SHARED} END)[1])[1])
+  FROM diagonals JOIN open USING (later, earlier)
+  WHERE d < most AND len(list_filter(range(0, d + 1), lambda i: reach[i + 1] >= na AND reach[i + 1] - (2 * i - d) >= nb)) = 0),
+ended AS (SELECT DISTINCT later, earlier FROM diagonals JOIN open USING (later, earlier)
+  WHERE len(list_filter(range(0, d + 1), lambda i: reach[i + 1] >= na AND reach[i + 1] - (2 * i - d) >= nb)) > 0),
+pairs AS MATERIALIZED (SELECT later, earlier FROM bodies WHERE greatest(na, nb) <= 200
+  UNION ALL SELECT later, earlier FROM measured WHERE 2 * least <= most
+  UNION ALL SELECT later, earlier FROM ended),"""
+    plain = "pairs AS MATERIALIZED (SELECT later, earlier FROM close),"
+    return f"""
+firsts AS (SELECT * FROM (SELECT *, {body} AS body, substring({body}, 1, 200) AS head FROM docs WHERE {_LONG})
+  QUALIFY row_number() OVER (PARTITION BY {key} ORDER BY doc_id) = 1),
+heads AS (SELECT doc_id, head, length(head) AS n, body, length({key}) AS size FROM firsts),
+cut AS (SELECT doc_id, n, size, substring(head, k * 6 + 1, 6) AS block
   FROM (SELECT *, unnest(range(0, n // 6)) AS k FROM heads)),
-slid AS (SELECT DISTINCT doc_id, n, substring(head, p, 6) AS block
+slid AS (SELECT DISTINCT doc_id, n, size, substring(head, p, 6) AS block
   FROM (SELECT *, unnest(range(1, n - 4)) AS p FROM heads)),
 met AS (SELECT DISTINCT greatest(c.doc_id, s.doc_id) AS later, least(c.doc_id, s.doc_id) AS earlier
   FROM cut c JOIN slid s USING (block) WHERE c.doc_id <> s.doc_id
-    AND abs(c.n - s.n) <= ((c.n + s.n) * 5 - 1) // 100),
+    AND abs(c.n - s.n) <= ((c.n + s.n) * 5 - 1) // 100 AND abs(c.size - s.size) <= ((c.size + s.size) * 5 - 1) // 100),
 bounded AS MATERIALIZED (SELECT later, earlier, a.head AS ha, b.head AS hb, a.n AS na, b.n AS nb
   FROM met JOIN heads a ON a.doc_id = later JOIN heads b ON b.doc_id = earlier
   WHERE levenshtein(a.head, b.head) <= ((a.n + b.n) * 5 - 1) // 100),
@@ -470,8 +507,10 @@ common AS (SELECT *, list_reduce(
     list_transform(string_split(ha, ''), lambda c: list_transform(string_split(hb, ''), lambda d: (c = d)::INT)),
     lambda prev, eq: list_transform(range(1, nb + 1), lambda j: list_max(list_transform(range(1, j + 1),
       lambda k: greatest(prev[k], coalesce(prev[k - 1], 0) + eq[k])))::INT),
-    list_transform(range(0, nb), lambda j: 0)) AS row FROM bounded),
-pairs AS MATERIALIZED (SELECT later, earlier FROM common WHERE list_last(row) * 200 > (na + nb) * 95),
+    list_transform(range(0, nb), lambda j: 0)) AS row FROM bounded WHERE ha <> hb),
+close AS MATERIALIZED (SELECT later, earlier FROM common WHERE list_last(row) * 200 > (na + nb) * 95
+  UNION ALL SELECT later, earlier FROM bounded WHERE ha = hb),
+{confirmed if whole else plain}
 laters AS (SELECT later, list(earlier) AS es, row_number() OVER (ORDER BY later) AS i FROM pairs GROUP BY later),
 walk AS (SELECT 0::BIGINT AS i, []::BIGINT[] AS dropped
   UNION ALL
@@ -480,10 +519,14 @@ walk AS (SELECT 0::BIGINT AS i, []::BIGINT[] AS dropped
   FROM walk w JOIN laters l ON l.i = w.i + 1),
 near AS (SELECT unnest(dropped) AS doc_id FROM (SELECT dropped FROM walk ORDER BY i DESC LIMIT 1)),
 unique_docs AS (SELECT * FROM firsts WHERE doc_id NOT IN (SELECT doc_id FROM near))"""
+
+
+NEAR, NEAR_WHOLE = near(False), near(True)
 add("c03_dedup_fuzzy", f"{_RECURSIVE}, {NEAR} SELECT review_id FROM unique_docs")
+add("c03_dedup_whole", f"{_RECURSIVE}, {NEAR_WHOLE} SELECT review_id FROM unique_docs")
 add(
     "c12_clean",
-    rf"""{_RECURSIVE}, {NEAR}, {PROFILES}, {detected('p')}
+    rf"""{_RECURSIVE}, {NEAR_WHOLE}, {PROFILES}, {detected('p')}
     SELECT review_id, {collapse('title')} AS title,
       regexp_replace({collapse('review_text')}, '[^\x20-\x7E\n]', '', 'g') AS review_text,
       {_SHIPPING} AS is_shipping_only
@@ -499,7 +542,7 @@ add(
 )
 add(
     "c11_cleaning_stats",
-    f"""{_RECURSIVE}, {NEAR}, {PROFILES}, {detected('p')},
+    f"""{_RECURSIVE}, {NEAR_WHOLE}, {PROFILES}, {detected('p')},
     kept AS (
       SELECT * FROM docs WHERE {_LONG}
       QUALIFY row_number() OVER (PARTITION BY {_HASH} ORDER BY doc_id) = 1),

@@ -252,6 +252,13 @@ def c03_dedup_fuzzy(spark, sf):
     return neardup.dedup_fuzzy(rows, ORDER).select("review_id")
 
 
+@query
+def c03_dedup_whole(spark, sf):
+    """Heads and whole texts must both be close."""
+    rows = cleaning.drop_short(b.reviews_text(spark, sf))
+    return neardup.dedup_fuzzy(rows, ORDER, whole=True).select("review_id")
+
+
 @query
 def c04_language_profiles(spark, sf):
     return language.train_profiles(b.reviews_text(spark, sf))
@@ -313,10 +320,7 @@ def c10_normalize_text(spark, sf):
 def c11_cleaning_stats(spark, sf):
     rows = b.reviews_text(spark, sf)
     profiles = language.train_profiles(rows)
-    copies = neardup.near_copy_ids(cleaning.drop_short(rows), ORDER)
-    return cleaning.cleaning_stats(
-        rows, SETTINGS, profiles, copies, ORDER, b.SPAM, b.SHIPPING, b.PRODUCT
-    )
+    return cleaning.cleaning_stats(rows, SETTINGS, profiles, ORDER, b.SPAM, b.SHIPPING, b.PRODUCT)
 
 
 @query
@@ -364,21 +368,22 @@ def k04_coerce(spark, sf):
     )
 
 
-@query
-def k05_infer(spark, sf):
-    def rule_scorer():
-        """Stand-in for a model: answers from the rating line, fails on three stars."""
+def rating_scorer():
+    """Stand-in for a model: answers from the rating line, fails on three stars."""
 
-        def answer(prompt: str) -> str:
-            rating = float(prompt.split("Rating: ", 1)[1].split("/5", 1)[0])
-            if rating == 3:
-                raise ValueError("undecided")
-            return '{"sentiment": "%s"}' % ("positive" if rating > 3 else "negative")
+    def answer(prompt: str):
+        rating = float(prompt.split("Rating: ", 1)[1].split("/5", 1)[0])
+        if rating == 3:
+            return ValueError("undecided")
+        return '{"sentiment": "%s"}' % ("positive" if rating > 3 else "negative")
 
-        return lambda prompts: [answer(p) for p in prompts]
+    return lambda prompts: [answer(p) for p in prompts]
 
+
+@query
+def k05_infer(spark, sf):
     rows = classify.with_prompt(b.reviews_text(spark, sf)).select("review_id", "prompt")
-    answered, failed = inference.infer(rows, rule_scorer)
+    answered, failed = inference.infer(rows, rating_scorer)
     return answered.unionByName(failed).select("review_id", "response", "failed_reason")
 
 
@@ -398,22 +403,11 @@ def k06_split_cached(spark, sf):
 
 @query
 def k11_model_run(spark, sf):
-    def rating_scorer():
-        """Stand-in for a model: answers from the rating line, fails on three stars."""
-
-        def answer(prompt: str) -> str:
-            rating = float(prompt.split("Rating: ", 1)[1].split("/5", 1)[0])
-            if rating == 3:
-                raise ValueError("undecided")
-            return '{"sentiment": "%s"}' % ("positive" if rating > 3 else "negative")
-
-        return lambda prompts: [answer(p) for p in prompts]
-
     rows = b.reviews_text(spark, sf).drop("lang")
     cache = Stage(spark, "answers").folder
     # Half of the reviews first; the second run finds their answers in the cache.
-    batch.classify_with_model(rows.filter("doc_id % 2 = 0"), rating_scorer, cache, 1e9, ("doc_id",))
-    fine, failed = batch.classify_with_model(rows, rating_scorer, cache, 1e9, ("doc_id",))
+    batch.classify_with_model(rows.filter("doc_id % 2 = 0"), rating_scorer, cache, 1e9, ("doc_id",), wave=1.0)
+    fine, failed, _ = batch.classify_with_model(rows, rating_scorer, cache, 1e9, ("doc_id",), wave=1.0)
     return fine.select("review_id", "sentiment", F.lit(None).cast("string").alias("failed_reason")).unionByName(
         failed.select("review_id", F.lit(None).cast("string").alias("sentiment"), "failed_reason")
     )

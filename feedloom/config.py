@@ -167,8 +167,9 @@ class Settings:
     min_text: int = 20
     near_dup_percent: int = 95
     near_dup_chars: int = 200
-    near_dup_whole: bool = False  # whole texts confirm what their openings suggest
+    near_dup_whole: bool = True  # whole texts confirm what their openings suggest
     language: str = "en"
     language_chars: int | None = None  # the whole text
     risk_signals: tuple = tuple(RISK_SIGNALS)
+    briefs: tuple = ()  # pairs of a category and a brand that get a brief
     rules: RuleSet = field(default_factory=RuleSet)

@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 
 from ..config import PRODUCT_PATTERNS, SHIPPING_PATTERNS, SPAM_PATTERNS, Settings
 from ..functions.numbers import ratio, round_even
 from ..functions.text import collapse, let, matches_any, strip, words
-from .language import detect_language, filter_language
-from .neardup import dedup_fuzzy
+from .language import detector
+from .neardup import fates
 
 TEXT = "review_text"
 
@@ -97,92 +97,93 @@ def normalize_text(df: DataFrame) -> DataFrame:
     )
 
 
-def clean(
-    df: DataFrame,
-    settings: Settings,
-    profiles: DataFrame | None = None,
-    order=("date", "review_id"),
-    spam=tuple(SPAM_PATTERNS),
-    shipping=tuple(SHIPPING_PATTERNS),
-    product=tuple(PRODUCT_PATTERNS),
-) -> DataFrame:
-    """All cleaning steps in their fixed order.
-
-    Equal texts have equal heads, so the near-duplicate step also removes exact
-    copies; a separate exact pass would only shuffle all texts a second time.
-    Without language profiles the language step is left out.
-    """
-    kept = dedup_fuzzy(
-        drop_short(df, settings.min_text),
-        order=order,
-        percent=settings.near_dup_percent,
-        head_chars=settings.near_dup_chars,
-        whole=settings.near_dup_whole,
-    )
-    if profiles is not None:
-        kept = filter_language(kept, profiles, settings.language, settings.language_chars)
-    return normalize_text(flag_shipping(remove_spam(kept, spam), shipping, product))
+REASONS = ("empty", "exact_dup", "fuzzy_dup", "non_english", "spam")
 
 
-def cleaning_stats(
+def judge(
     df: DataFrame,
     settings: Settings,
     profiles: DataFrame | None = None,
-    near_copies: DataFrame | None = None,
     order=("date", "review_id"),
     spam=tuple(SPAM_PATTERNS),
     shipping=tuple(SHIPPING_PATTERNS),
     product=tuple(PRODUCT_PATTERNS),
 ) -> DataFrame:
-    """One row of removal counters and the retention rate in percent.
+    """Every row with the first cleaning step that drops it (`drop_reason`, null: it stays).
 
-    All flags are set where the text is read; only a hash and the flags are
-    shuffled. `near_copies` lists the review ids the near-duplicate step drops;
-    ids of exact copies among them are counted as exact.
+    Also adds `is_shipping_only`. The steps come in a fixed order: short texts, copies of an earlier
+    text, near-duplicates, other languages (left out without profiles), spam. Near-copies are
+    searched once, when this is called; all else is decided in the pass that reads the result.
     """
+    long = drop_short(df, settings.min_text)
+    seen = fates(
+        long, order, settings.near_dup_percent, settings.near_dup_chars, whole=settings.near_dup_whole
+    ).select(F.col("id").alias("_first"), "near")
     text = F.col(TEXT)
     foreign = F.lit(False)
     if profiles is not None:
-        df = detect_language(df, profiles, TEXT, settings.language_chars, "_lang")
+        body = text if settings.language_chars is None else F.substring(text, 1, settings.language_chars)
         foreign = F.coalesce(F.col("_lang") != settings.language, F.lit(False))
-    flags = df.select(
-        F.when(~is_short(text, settings.min_text), text_hash(text)).alias("hash"),
-        F.struct(
-            # Nulls come last, as in the steps themselves.
-            *[f for c in order for f in (F.col(c).isNull().alias(f"no_{c}"), F.col(c).alias(c))],
-            F.col("review_id").alias("id"),
-            foreign.alias("foreign"),
-            is_unwanted(spam).alias("spam"),
-            shipping_only(text, shipping, product).alias("shipping"),
-        ).alias("row"),
-    )
-    texts = flags.groupBy("hash").agg(F.count(F.lit(1)).alias("n"), F.min("row").alias("row"))
-    if near_copies is None:
-        texts = texts.withColumn("near", F.lit(False))
-    else:
-        ids = near_copies.select(F.col("review_id").alias("_id"), F.lit(True).alias("_near"))
-        texts = texts.join(ids, F.col("row.id") == F.col("_id"), "left").withColumn(
-            "near", F.coalesce("_near", F.lit(False))
-        )
-    valid = F.col("hash").isNotNull()
-    unique = valid & ~F.col("near")
-    local = unique & ~F.col("row.foreign")
-    wanted = local & ~F.col("row.spam")
-    n = F.col("n")
-
-    def total(value: Column, condition: Column, name: str) -> Column:
-        return F.coalesce(F.sum(F.when(condition, value)), F.lit(0)).cast("long").alias(name)
-
-    one = F.lit(1)
-    return texts.agg(
-        F.coalesce(F.sum(n), F.lit(0)).alias("input"),
-        total(n, ~valid, "removed_empty"),
-        total(n - 1, valid, "removed_exact_dup"),
-        total(one, valid & F.col("near"), "removed_fuzzy_dup"),
-        total(one, unique & F.col("row.foreign"), "removed_non_english"),
-        total(one, local & F.col("row.spam"), "removed_spam"),
-        total(one, wanted & F.col("row.shipping"), "flagged_shipping"),
-        total(one, wanted, "output"),
-    ).withColumn(
-        "retention_rate", round_even(ratio(F.col("output"), F.col("input")) * 100, 1)
+    # The language is told for rows that got so far only; short texts keep their null.
+    met = df.join(seen.hint("shuffle_hash"), F.col("review_id").cast("string") == F.col("_first"), "left")
+    if profiles is not None:
+        unique = F.coalesce(~F.col("near"), F.lit(False))
+        met = met.withColumn("_lang", detector(profiles)(F.when(unique, body)))
+    reason = (
+        F.when(F.coalesce(is_short(text, settings.min_text), F.lit(True)), "empty")
+        .when(F.col("_first").isNull(), "exact_dup")
+        .when(F.col("near"), "fuzzy_dup")
+        .when(foreign, "non_english")
+        .when(is_unwanted(spam), "spam")
     )
+    return flag_shipping(met.withColumn("drop_reason", reason).drop("_first", "near", "_lang"), shipping, product)
+
+
+def clean(df: DataFrame, settings: Settings, profiles: DataFrame | None = None, *args, **options) -> DataFrame:
+    """All cleaning steps in their fixed order; arguments are those of `judge`."""
+    return normalize_text(judge(df, settings, profiles, *args, **options).filter("drop_reason IS NULL").drop("drop_reason"))
+
+
+def counters() -> list[Column]:
+    """Counts over judged rows: input, one per reason, flagged_shipping, output."""
+    reason = F.col("drop_reason")
+
+    def count(condition: Column, name: str) -> Column:
+        return F.count(F.when(condition, 1)).alias(name)
+
+    return [
+        F.count(F.lit(1)).alias("input"),
+        *[count(reason == name, f"removed_{name}") for name in REASONS],
+        count(reason.isNull() & F.col("is_shipping_only"), "flagged_shipping"),
+        count(reason.isNull(), "output"),
+    ]
+
+
+def with_retention(counts: DataFrame) -> DataFrame:
+    return counts.withColumn("retention_rate", round_even(ratio(F.col("output"), F.col("input")) * 100, 1))
+
+
+def clean_counted(
+    df: DataFrame, settings: Settings, profiles: DataFrame | None = None, *args, **options
+) -> tuple[DataFrame, Observation]:
+    """As `clean`, with an observation that holds the counters once the table has been written.
+
+    The counters are gathered in the pass that writes the cleaned rows, so nothing is read or
+    judged a second time. The first job on the table must read all of it.
+    """
+    seen = Observation("cleaning")
+    judged = judge(df, settings, profiles, *args, **options).observe(seen, *counters())
+    return normalize_text(judged.filter("drop_reason IS NULL").drop("drop_reason")), seen
+
+
+def observed_stats(spark: SparkSession, seen: Observation) -> DataFrame:
+    """The counters of an observation as one row, as `cleaning_stats` gives them."""
+    counts = seen.get
+    names = ["input", *[f"removed_{name}" for name in REASONS], "flagged_shipping", "output"]
+    schema = ", ".join(f"{name} long" for name in names)
+    return with_retention(spark.createDataFrame([tuple(counts[name] for name in names)], schema))
+
+
+def cleaning_stats(df: DataFrame, settings: Settings, profiles: DataFrame | None = None, *args, **options) -> DataFrame:
+    """One row of removal counters and the retention rate in percent, without a cleaned table."""
+    return with_retention(judge(df, settings, profiles, *args, **options).agg(*counters()))

@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
+import decimal
+import hashlib
+import threading
+import time
+import uuid
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -16,56 +23,128 @@ from ..functions.staging import Stage
 # --- Calls --------------------------------------------------------------------
 
 
+def _timed(call: Callable, texts: list[str], seconds: float | None):
+    """The call's result; after that many seconds it is left to itself and counts as failed."""
+    if seconds is None:
+        return call(texts)
+    box: list = []
+
+    def run() -> None:
+        try:
+            box.append((call(texts), None))
+        except Exception as error:  # noqa: BLE001 - raised again below
+            box.append((None, error))
+
+    thread = threading.Thread(target=run, daemon=True)
+    thread.start()
+    thread.join(seconds)
+    if not box:
+        raise TimeoutError(f"no answer within {seconds:g} s")
+    answer, error = box[0]
+    if error is not None:
+        raise error
+    return answer
+
+
+def answer_all(
+    scorer: Callable[[list[str]], list], texts: list[str], retries: int = 0, pause: float = 0.0, timeout: float | None = None
+) -> list[tuple]:
+    """(answer, reason, attempts) of every text, in their order.
+
+    A scorer may put an exception in the place of a text that failed: the others keep their
+    answers and only this text is asked again, up to `retries` times with growing pauses. If the whole
+    call raises or gives another number of answers, its texts are asked again in halves until the
+    one that fails stands alone.
+    """
+    out: list = [None] * len(texts)
+    attempts = [0] * len(texts)
+    # Places to ask for, and how often this group was retried as it is.
+    groups = [(list(range(len(texts))), 0)]
+    while groups:
+        places, again = groups.pop()
+        if not places:
+            continue
+        if again:
+            time.sleep(pause * 2 ** (again - 1))
+        for i in places:
+            attempts[i] += 1
+        try:
+            answers = list(_timed(scorer, [texts[i] for i in places], timeout))
+            if len(answers) != len(places):
+                raise ValueError(f"{len(answers)} answers for {len(places)} prompts")
+        except Exception as error:  # noqa: BLE001 - any failure marks rows, never the job
+            if len(places) > 1:
+                half = len(places) // 2
+                groups += [(places[half:], again), (places[:half], again)]
+                continue
+            answers = [error]
+        failed = []
+        for i, answer in zip(places, answers):
+            if isinstance(answer, BaseException) or answer is None:
+                failed.append(i)
+                reason = "no answer" if answer is None else f"{type(answer).__name__}: {answer}"
+                out[i] = (None, reason, attempts[i])
+            else:
+                out[i] = (answer, None, attempts[i])
+        if again < retries:
+            groups.append((failed, again + 1))
+    return out
+
+
+def answer_in_order(
+    scorer: Callable[[list[str]], list], texts: list[str], batch: int, in_flight: int, **options
+) -> list[tuple]:
+    """As `answer_all`, in calls of `batch` texts of which `in_flight` are open at a time."""
+    parts = [texts[k : k + batch] for k in range(0, len(texts), batch)]
+    if in_flight <= 1 or len(parts) <= 1:
+        return [row for part in parts for row in answer_all(scorer, part, **options)]
+    with ThreadPoolExecutor(in_flight) as pool:
+        return [row for rows in pool.map(lambda part: answer_all(scorer, part, **options), parts) for row in rows]
+
+
 def infer(
     df: DataFrame,
-    make_scorer: Callable[[], Callable[[list[str]], list[str]]],
+    make_scorer: Callable[[], Callable[[list[str]], list]],
     prompt: str = "prompt",
     batch: int = 50,
+    in_flight: int = 1,
+    tasks: int | None = None,
+    retries: int = 0,
+    pause: float = 0.0,
+    timeout: float | None = None,
 ) -> tuple[DataFrame, DataFrame]:
     """Answer every prompt; return the answered rows and the failed ones.
 
-    `make_scorer` is called once per task and returns a function from prompts to
-    answers. Only the prompt column travels to Python. If a batch raises or gives
-    another number of answers, its prompts are tried one by one so that one bad row
-    fails alone. Calls cost money, so they are made when this function is called and
-    the answers are written down once before they are split.
+    `make_scorer` is called once per task and returns a function from prompts to answers,
+    which is called with up to `batch` prompts, from up to `in_flight` threads at a time. With
+    `tasks` the prompts are dealt out to that many tasks, so a job has at most `tasks * in_flight`
+    calls open. `answer_all` says what happens to prompts that fail; rows get `attempts`.
+    Only the prompt column travels to Python. Calls cost money, so they are made when this
+    function is called and the answers are written down once before they are split.
     """
 
     result = T.StructType(
-        [T.StructField("response", T.StringType()), T.StructField("failed_reason", T.StringType())]
+        [
+            T.StructField("response", T.StringType()),
+            T.StructField("failed_reason", T.StringType()),
+            T.StructField("attempts", T.IntegerType()),
+        ]
     )
+    options = {"retries": retries, "pause": pause, "timeout": timeout}
 
     @F.pandas_udf(result)
     def answer(parts: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
         scorer = make_scorer()
-
-        def ask(texts: list[str]) -> list:
-            answers = list(scorer(texts))
-            if len(answers) != len(texts):
-                raise ValueError(f"{len(answers)} answers for {len(texts)} prompts")
-            return answers
-
-        def alone(text: str) -> tuple:
-            try:
-                return ask([text])[0], None
-            except Exception as error:  # noqa: BLE001 - any failure marks the row
-                return None, f"{type(error).__name__}: {error}"
-
         for prompts in parts:
-            rows: list[tuple] = []
-            for start in range(0, len(prompts), batch):
-                texts = list(prompts.iloc[start : start + batch])
-                try:
-                    rows.extend([(text, None) for text in ask(texts)])
-                except Exception:  # noqa: BLE001
-                    rows.extend(alone(text) for text in texts)
-            yield pd.DataFrame(rows, columns=["response", "failed_reason"], dtype=object)
+            rows = answer_in_order(scorer, list(prompts), batch, in_flight, **options)
+            yield pd.DataFrame(rows, columns=["response", "failed_reason", "attempts"]).astype({"response": object, "failed_reason": object, "attempts": "int32"})
 
     ask = answer.asNondeterministic()  # never copied or repeated by the optimizer
+    dealt = df if tasks is None else df.repartition(tasks)
     scored = Stage(df.sparkSession, "answers").write(
-        df.withColumn("_answer", ask(F.col(prompt))).select(*df.columns, "_answer.*")
+        dealt.withColumn("_answer", ask(F.col(prompt))).select(*df.columns, "_answer.*")
     )
-    failed = F.col("failed_reason").isNotNull() | F.col("response").isNull()
+    failed = F.col("failed_reason").isNotNull()
     return scored.filter(~failed), scored.filter(failed)
 
 
@@ -81,6 +160,46 @@ def with_cache_key(df: DataFrame, system: str = "") -> DataFrame:
     return df.withColumn("cache_key", cache_key(F.col("model"), F.col("prompt"), F.lit(system)))
 
 
+class AnswerCache:
+    """Answers of earlier runs in a folder, bucketed by their key and partitioned by batch.
+
+    Lookups read the buckets as they lie: only the rows that ask are shuffled. Each run adds its
+    answers under a batch id, which holds a key once, so a run that is
+    repeated after a failure appends nothing twice. The number of buckets is fixed when the
+    folder is first used.
+    """
+
+    def __init__(self, spark: SparkSession, path: str, buckets: int = 64):
+        self.spark = spark
+        folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+        folder.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(folder)
+        self.name = f"answers_{hashlib.md5(path.encode()).hexdigest()[:16]}"
+        spark.sql(
+            f"CREATE TABLE IF NOT EXISTS {self.name} (cache_key STRING, response STRING, batch STRING) USING parquet "
+            f"PARTITIONED BY (batch) CLUSTERED BY (cache_key) INTO {int(buckets)} BUCKETS LOCATION '{path}'"
+        )
+        self.buckets = buckets
+        spark.catalog.recoverPartitions(self.name)
+
+    def read(self) -> DataFrame:
+        """All answers: cache_key, response, batch; a key may have several."""
+        return self.spark.table(self.name)
+
+    def add(self, batch: str, answers: DataFrame) -> None:
+        """Store answers of a batch together with those it stored before, one per key."""
+        if not batch.replace("-", "").replace("_", "").isalnum():
+            raise ValueError(f"a batch id has letters, digits, '-' and '_': {batch!r}")
+        new = answers.select("cache_key", "response").filter("cache_key IS NOT NULL AND response IS NOT NULL")
+        old = self.read().filter(F.col("batch") == batch).select("cache_key", "response")
+        stage = Stage(self.spark, "cache")
+        rows = stage.write(new.unionByName(old).groupBy("cache_key").agg(F.min("response").alias("response")))
+        view = f"{self.name}_{uuid.uuid4().hex}"
+        rows.repartition(self.buckets, "cache_key").createOrReplaceTempView(view)
+        self.spark.sql(f"INSERT OVERWRITE TABLE {self.name} PARTITION (batch = '{batch}') SELECT cache_key, response FROM {view}")
+        self.spark.catalog.dropTempView(view)
+        stage.drop()
+
+
 def split_cached(df: DataFrame, cache: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Rows answered by the cache and rows that still need a call.
 
@@ -146,8 +265,8 @@ def cost_breakdown(calls: DataFrame, prices=None, default=UNKNOWN_PRICE) -> Data
     )
 
 
-def within_budget(calls: DataFrame, budget: float, order: list[str]) -> DataFrame:
-    """Calls made before the money spent reaches the budget.
+def running_cost(calls: DataFrame, order: list[str]) -> DataFrame:
+    """Adds `spent_before`, the cost of all calls earlier in the order.
 
     A running total over all calls in one window would end in one task. The calls
     are range-partitioned on the order instead; every part gets its own running
@@ -176,11 +295,69 @@ def within_budget(calls: DataFrame, budget: float, order: list[str]) -> DataFram
     spent = F.col("_before") + F.coalesce(F.sum("_cost").over(earlier), F.lit(0))
     return (
         parts.join(F.broadcast(offsets), "_part")
-        .withColumn("_spent", spent)
-        .filter(F.col("_spent") < F.lit(budget))
-        .withColumn("spent_before", F.col("_spent").cast("double"))
-        .drop("_part", "_cost", "_before", "_spent")
+        .withColumn("spent_before", spent.cast("decimal(38,9)"))
+        .drop("_part", "_cost", "_before")
+    )
+
+
+def within_budget(calls: DataFrame, budget: float, order: list[str]) -> DataFrame:
+    """Calls made before the money spent, as `cost_usd` has it, reaches the budget."""
+    placed = running_cost(calls, order).filter(F.col("spent_before") < F.lit(budget))
+    return placed.withColumn("spent_before", F.col("spent_before").cast("double"))
+
+
+def tokens_of(text: Column) -> Column:
+    """A quarter of the characters, where the model does not tell."""
+    return F.ceil(F.length(text) / 4)
+
+
+def infer_within_budget(
+    calls: DataFrame,
+    make_scorer: Callable[[], Callable[[list[str]], list]],
+    budget: float,
+    order: list[str],
+    wave: float = 0.1,
+    answer_tokens: Callable[[Column], Column] = tokens_of,
+    prices=None,
+    default=UNKNOWN_PRICE,
+    **options,
+) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Ask in waves until the money that was really spent reaches the budget.
+
+    `calls` has model, prompt, input_tokens and output_tokens, an estimate. A wave releases calls
+    in their order that are estimated at no more than `wave` times the budget, nor than
+    what is left of it; when it is answered, the tokens of its answers say what it cost, and the
+    next wave is released. So more is spent than allowed by at most what one wave costs beyond its
+    estimate, and by its last call. Failed calls cost nothing. Returns the answered calls with their actual
+    output_tokens and cost_usd, the failed calls and those never asked. Runs jobs when called.
+    """
+    stage = Stage(calls.sparkSession, "waves")
+    line = stage.write(running_cost(call_cost(calls, prices, default), order))
+    place = F.col("spent_before")
+    cursor, spent = decimal.Decimal(0), decimal.Decimal(0)
+    limit = decimal.Decimal(str(budget))
+    share = max(limit * decimal.Decimal(str(wave)), decimal.Decimal("1e-9"))
+    answered, failed = [], []
+    while spent < limit:
+        start = line.filter(place >= F.lit(cursor)).agg(F.min(place)).first()[0]
+        if start is None:
+            break
+        end = start + min(share, max(limit - spent, decimal.Decimal("1e-9")))
+        released = line.filter((place >= F.lit(start)) & (place < F.lit(end)))
+        good, bad = infer(released, make_scorer, **options)
+        good = stage.write(
+            call_cost(good.withColumn("output_tokens", answer_tokens(F.col("response"))), prices, default)
+        )
+        spent += good.agg(F.sum(F.col("cost_usd").cast("decimal(38,9)"))).first()[0] or 0
+        answered.append(good)
+        failed.append(bad)
+        cursor = end
+    rest = line.filter(place >= F.lit(cursor)).drop("spent_before")
+    nothing = line.limit(0).withColumns(
+        {"response": F.lit(None).cast("string"), "failed_reason": F.lit(None).cast("string"), "attempts": F.lit(None).cast("int")}
     )
+    join = lambda parts: reduce(DataFrame.unionByName, parts, nothing).drop("spent_before")
+    return join(answered), join(failed), rest
 
 
 # --- Self-consistency ---------------------------------------------------------

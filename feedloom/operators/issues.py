@@ -7,8 +7,9 @@ from pyspark.sql import functions as F
 
 from ..config import ISSUE_SENTIMENTS, RISK_SIGNALS
 from ..functions.numbers import ratio, round_even, round_exact
+from ..functions.staging import Stage
 from ..functions.text import let, matched, snippet, strip
-from .cube import is_cube, mean_of, measures, n_all, n_where, verified_share
+from .cube import is_cube, mean_of, measures, n_all, n_where, review_cube, verified_share
 
 ISSUE_KEYS = ["category", "brand", "primary_theme"]
 
@@ -150,10 +151,14 @@ def top_issues(
     """Ranked issues per category with quotes and affected products.
 
     `df` may be the reviews or their cube; with a cube, `texts` supplies the
-    reviews the quotes are taken from. Only reviews of the ranked issues are
-    looked at for quotes.
+    reviews the quotes are taken from. Reviews are reduced to a cube of their complaints first,
+    which is written down when this is called: scores and products both come from it, so the
+    reviews are read once for them and once for the quotes of the ranked issues.
     """
     texts = texts if texts is not None else df
+    if not is_cube(df):
+        complaints = df.filter(F.col("sentiment").isin(ISSUE_SENTIMENTS))
+        df = Stage(df.sparkSession, "complaints").write(review_cube(complaints, as_of))
     ranked = rank_issues(issue_scores(df, as_of, decay_days), top_n)
     listed = ranked.join(affected_products(df, ranked), ISSUE_KEYS)
     if is_cube(texts):
@@ -281,10 +286,10 @@ def return_risk_rows(df: DataFrame, signals=tuple(RISK_SIGNALS)) -> DataFrame:
 def return_risk(df: DataFrame, signals=tuple(RISK_SIGNALS), samples: int = 3) -> DataFrame:
     """Return-risk reviews per product with their themes and first samples.
 
-    The texts are read once: both parts of the result come from the risk rows, which are
-    narrow and kept (in memory, else on disk) until the session's cache is cleared.
+    The texts are read once, when this is called: both parts of the result come from the risk
+    rows, which are few and narrow and are written down.
     """
-    rows = return_risk_rows(df, signals).persist()
+    rows = Stage(df.sparkSession, "return-risk").write(return_risk_rows(df, signals))
     totals = rows.groupBy("product").agg(
         F.count(F.lit(1)).alias("return_risk_count"),
         round_exact(ratio(F.sum("severity"), F.count("severity")), 2).alias("avg_severity"),

@@ -1,8 +1,8 @@
 """Near-duplicate removal, exact and without comparing all pairs.
 
 Two texts are near-duplicates when `200 * LCS / (la + lb)` of their lower-cased,
-stripped heads exceeds `percent`. A text is dropped when an earlier kept text is a
-near-duplicate of it.
+stripped heads exceeds `percent`; with `whole`, of their whole texts as well. A text is
+dropped when an earlier kept text is a near-duplicate of it.
 
 Candidates. If heads a and b are that close, a becomes b with at most
 `edits(la, lb)` single-character deletions and insertions. Cut a into more blocks
@@ -10,18 +10,25 @@ than that and at least one block survives untouched in b, moved by a bounded
 distance. So every head is indexed by blocks and looked up by all substrings of
 block width: an equi-join that misses no pair. A head has more blocks than it
 needs, so its most frequent ones (common openings) are left out of the index.
+Rows of this join are a hash, a number and positions; heads join later.
 
-Hot blocks. Heads that are equal are reduced to the earliest one first, so plain
+Hot blocks. Equal texts are reduced to the earliest one first, so plain
 copies never meet. A block that is still shared by more than `hot` heads is not
 joined pair by pair at once: every head that holds it is first compared with the
 earliest holder only. A head that is close to it waits; when the holder is kept,
 the head is dropped and its other pairs are never needed. Only heads that stay
-undecided look at the whole block.
+undecided look at the whole block. If whole texts count, these are different texts
+behind one opening: they meet by blocks of the whole texts then, whose rarest ones
+leave the opening out unless it is a large part of the text.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable, Iterator
+from functools import lru_cache
+
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -87,30 +94,84 @@ def common_length(a: Column, b: Column) -> Column:
     return lengths(a, b)
 
 
+def alike(a: str, b: str, percent: int) -> bool:
+    """Whether 200 * LCS exceeds percent of the joint length.
+
+    What the texts share at both ends is taken off. Then each may only leave out so many
+    characters that the rest can still reach the bound, so matches lie in a band around the
+    diagonal: the bit-parallel rows (Hyyrö, 2004) are as wide as the band and move along it, and the
+    search ends when the characters that are left cannot make up for those that were missed.
+    """
+    least = percent * (len(a) + len(b)) // 200 + 1
+    if min(len(a), len(b)) < least:
+        return False
+    spare_a, spare_b = len(a) - least, len(b) - least
+    shared = 0
+    for _ in range(2):  # the opening, then, turned round, the end
+        most = min(len(a), len(b))
+        step, at = 1, 0
+        while at < most and a[at : at + step] == b[at : at + step]:
+            at, step = min(at + step, most), step * 2
+        while step > 1:
+            step //= 2
+            if at + step <= most and a[at : at + step] == b[at : at + step]:
+                at += step
+        shared += at
+        a, b = a[at:][::-1], b[at:][::-1]
+    found, rows = shared, max(256, spare_a + spare_b)
+    low, width, state = 0, 0, 0  # state has a bit for each place of b from low on, 0 where the LCS grows
+    for start in range(0, len(a), rows):
+        part = a[start : start + rows]
+        first, last = max(0, start - spare_a), min(len(b), start + len(part) + spare_b)
+        if last <= first:
+            break
+        gone = min(first - low, width)
+        found += gone - (state & ((1 << gone) - 1)).bit_count()
+        state >>= gone
+        state |= ((1 << (last - first)) - 1) >> (width - gone) << (width - gone)
+        low, width = first, last - first
+        places: dict[str, int] = {}
+        bit = 1
+        for c in b[first:last]:
+            places[c] = places.get(c, 0) | bit
+            bit <<= 1
+        full = bit - 1
+        for c in part:
+            hit = state & places.get(c, 0)
+            if hit:
+                state = ((state + hit) | (state - hit)) & full
+        if found + width - state.bit_count() + len(a) - start - len(part) < least:
+            return False
+    return found + width - state.bit_count() >= least
+
+
 def blocks(heads: DataFrame, percent: int, head_chars: int) -> DataFrame:
-    """Index entries: the rarest `needed` blocks of every head and how often each occurs."""
+    """Index entries (key, nid, pos, len, size, uses) of every head: its rarest `needed` blocks."""
+    w = F.col("w")
     cut = heads.withColumn("w", width(F.col("len"), percent, head_chars)).select(
-        "id",
-        "at",
+        "nid",
         "len",
         "size",
-        "w",
-        F.explode(
+        F.inline(
             F.transform(
-                F.sequence(F.lit(0), F.floor(F.col("len") / F.col("w")).cast("int") - 1),
+                F.sequence(F.lit(0), F.floor(F.col("len") / w).cast("int") - 1),
                 lambda k: F.struct(
-                    (k * F.col("w")).alias("pos"),
-                    F.substring(F.col("head"), k * F.col("w") + 1, F.col("w")).alias("block"),
+                    (k * w).alias("pos"), F.xxhash64(F.substring(F.col("head"), k * w + 1, w), w).alias("key")
                 ),
             )
-        ).alias("entry"),
-    ).select("id", "at", "len", "size", "w", "entry.pos", "entry.block")
-    counts = cut.groupBy("w", "block").agg(F.count(F.lit(1)).alias("uses"))
-    rarest = Window.partitionBy("id").orderBy("uses", "pos")
+        ),
+    )
+    return rarest(cut, needed(F.col("len"), percent, head_chars))
+
+
+def rarest(cut: DataFrame, number: Column) -> DataFrame:
+    """Of every text the given number of its least used blocks, with how often each occurs."""
+    counts = cut.groupBy("key").agg(F.count(F.lit(1)).alias("uses"))
+    order = Window.partitionBy("nid").orderBy("uses", "pos")
     return (
-        cut.join(counts.hint("merge"), ["w", "block"])
-        .withColumn("_n", F.row_number().over(rarest))
-        .filter(F.col("_n") <= needed(F.col("len"), percent, head_chars))
+        cut.join(counts.hint("merge"), "key")
+        .withColumn("_n", F.row_number().over(order))
+        .filter(F.col("_n") <= number)
         .drop("_n")
     )
 
@@ -124,28 +185,76 @@ def lookups(heads: DataFrame, percent: int, head_chars: int) -> DataFrame:
         F.array_distinct(F.transform(similar, lambda n: width(n, percent, head_chars))),
         lambda w: w <= F.col("len"),
     )
-    return (
-        heads.withColumn("w", F.explode(widths))
-        .select(
-            "id",
-            "at",
-            "len",
-            "size",
-            "w",
-            F.explode(
-                F.transform(
-                    F.sequence(F.lit(0), F.col("len") - F.col("w")),
-                    lambda p: F.struct(
-                        p.alias("pos"),
-                        F.substring(F.col("head"), p + 1, F.col("w")).alias("block"),
-                    ),
-                )
-            ).alias("entry"),
-        )
-        .select("id", "at", "len", "size", "w", "entry.pos", "entry.block")
+    w = F.col("w")
+    return heads.withColumn("w", F.explode(widths)).select(
+        "nid",
+        "len",
+        "size",
+        F.inline(
+            F.transform(
+                F.sequence(F.lit(0), F.col("len") - w),
+                lambda p: F.struct(p.alias("pos"), F.xxhash64(F.substring(F.col("head"), p + 1, w), w).alias("key")),
+            )
+        ),
     )
 
 
+def most_edits(la: int, lb: int, percent: int) -> int:
+    return ((la + lb) * (100 - percent) - 1) // 100
+
+
+def needed_of(length: int, percent: int) -> int:
+    """As `needed`, for whole texts."""
+    return most_edits(length, max((length * (200 - percent) - 1) // percent, length), percent) + 1
+
+
+@lru_cache(maxsize=100_000)
+def width_of(length: int, percent: int, opening: int) -> int:
+    """Widest blocks of a whole text that leave out as many as an opening holds, if any do."""
+    number = needed_of(length, percent)
+    for w in range(WIDTH, 2, -1):
+        if length // w - number >= opening // w + 2:
+            return w
+    return max(1, min(WIDTH, length // number))
+
+
+def widths_of(length: int, percent: int, opening: int) -> set[int]:
+    """Block widths of all texts that can be close to one of this length."""
+    if length > 20 * opening and length > 4000:
+        return {WIDTH}  # all of them are long enough for the widest blocks
+    low = max(min(length * percent // (200 - percent) + 1, length), 1)
+    high = max((length * (200 - percent) - 1) // percent, length)
+    return {w for n in range(low, high + 1) if (w := width_of(n, percent, opening)) <= length}
+
+
+def whole_grams(bodies: DataFrame, percent: int, opening: int, index: bool) -> DataFrame:
+    """Blocks of whole texts for the index, or all substrings that can meet one."""
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for nid, body in zip(batch.column(0).to_pylist(), batch.column(1)):
+                text = body.as_py()
+                n = len(text)
+                sizes = [width_of(n, percent, opening)] if index else sorted(widths_of(n, percent, opening))
+                for w in sizes:
+                    starts = range(0, n // w * w, w) if index else range(n - w + 1)
+                    yield pa.RecordBatch.from_pydict(
+                        {
+                            "nid": pa.array([nid] * len(starts), pa.int64()),
+                            "len": pa.array([n] * len(starts), pa.int32()),
+                            "size": pa.array([n] * len(starts), pa.int32()),
+                            "need": pa.array([needed_of(n, percent)] * len(starts), pa.int32()),
+                            "w": pa.array([w] * len(starts), pa.int32()),
+                            "pos": pa.array(starts, pa.int32()),
+                            "block": pa.array([text[p : p + w] for p in starts], pa.string()),
+                        }
+                    )
+
+    kinds = "nid long, len int, size int, need int, w int, pos int, block string"
+    rows = bodies.select("nid", "body").mapInArrow(cut, kinds).withColumn("key", F.xxhash64("block", "w")).drop("block", "w")
+    return rarest(rows, F.col("need")).drop("need") if index else rows.drop("need")
+
+
 def _meet(probe: DataFrame, index: DataFrame, percent: int) -> DataFrame:
     """Pairs (later, earlier) that share a block at positions the edits allow.
 
@@ -160,13 +269,12 @@ def _meet(probe: DataFrame, index: DataFrame, percent: int) -> DataFrame:
     return (
         p.join(
             i.hint("merge"),
-            (F.col("p.w") == F.col("i.w"))
-            & (F.col("p.block") == F.col("i.block"))
-            & (F.col("i.at") < F.col("p.at"))
+            (F.col("p.key") == F.col("i.key"))
+            & (F.col("i.nid") < F.col("p.nid"))
             & (F.abs(shift) + F.abs(growth - shift) <= allowed)
             & (F.abs(sizes[0] - sizes[1]) <= edits(*sizes, percent)),
         )
-        .select(F.col("p.id").alias("later"), F.col("i.id").alias("earlier"))
+        .select(F.col("p.nid").alias("later"), F.col("i.nid").alias("earlier"))
         .distinct()
     )
 
@@ -175,11 +283,11 @@ def _verify(pairs: DataFrame, heads: DataFrame, percent: int, head_chars: int) -
     """Keep the pairs above the threshold.
 
     The bounded edit distance of the JVM never exceeds the number of deletions and
-    insertions, so it rejects most candidates before any reaches Python.
+    insertions, so it rejects most candidates before any reaches Python. Equal heads need neither.
     """
     tasks = int(heads.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    later = heads.select(F.col("id").alias("later"), F.col("head").alias("b"))
-    earlier = heads.select(F.col("id").alias("earlier"), F.col("head").alias("a"))
+    later = heads.select(F.col("nid").alias("later"), F.col("head").alias("b"), F.col("size").alias("size_b"))
+    earlier = heads.select(F.col("nid").alias("earlier"), F.col("head").alias("a"), F.col("size").alias("size_a"))
     most = ((100 - percent) * 2 * head_chars - 1) // 100
     total = F.length("a") + F.length("b")
     # Beyond its bound the distance is -1; as a huge number it fails the same test.
@@ -192,142 +300,198 @@ def _verify(pairs: DataFrame, heads: DataFrame, percent: int, head_chars: int) -
         .join(earlier, "earlier")
         .filter(distance <= edits(F.length("a"), F.length("b"), percent))
         .filter(common_length(F.col("a"), F.col("b")) * 200 > total * percent)
-        .select("later", "earlier")
+        .select("later", "earlier", (F.greatest("size_a", "size_b") > head_chars).alias("longer"))
     )
 
 
-def _confirm(pairs: DataFrame, bodies: DataFrame, percent: int) -> DataFrame:
-    """Keep the pairs whose whole texts are above the threshold too."""
-    tasks = int(bodies.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    later = bodies.select(F.col("id").alias("later"), F.col("body").alias("b"))
-    earlier = bodies.select(F.col("id").alias("earlier"), F.col("body").alias("a"))
-    total = F.length("a") + F.length("b")
-    return (
-        pairs.repartition(tasks, "later", "earlier")
+def _confirm(pairs: DataFrame, bodies: Callable[[DataFrame], DataFrame], percent: int) -> DataFrame:
+    """Of pairs of close heads, those whose whole texts are close too."""
+    stage = Stage(pairs.sparkSession, "whole-texts")
+    pairs = stage.write(pairs)
+    open_pairs = pairs.filter("longer").drop("longer")
+    wanted = open_pairs.select(F.explode(F.array("later", "earlier")).alias("nid")).distinct()
+    texts = stage.write(bodies(wanted))
+    tasks = int(pairs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    @F.pandas_udf(T.BooleanType())
+    def close(xs: pd.Series, ys: pd.Series) -> pd.Series:
+        return pd.Series([alike(x, y, percent) for x, y in zip(xs, ys)], dtype="bool")
+
+    later = texts.select(F.col("nid").alias("later"), F.col("body").alias("b"))
+    earlier = texts.select(F.col("nid").alias("earlier"), F.col("body").alias("a"))
+    confirmed = (
+        open_pairs.repartition(tasks, "later", "earlier")
         .join(later, "later")
         .join(earlier, "earlier")
-        .filter(common_length(F.col("a"), F.col("b")) * 200 > total * percent)
+        .filter(close(F.col("a"), F.col("b")))
         .select("later", "earlier")
     )
+    return pairs.filter(~F.col("longer")).drop("longer").unionByName(confirmed)
 
 
 def close_copies(
     heads: DataFrame,
     percent: int = 95,
     head_chars: int = 200,
-    hot: int = 1000,
-    bodies: DataFrame | None = None,
+    hot: int = 100,
+    bodies: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
-    """Ids of the heads that have an earlier kept near-duplicate.
+    """Numbers of the texts that have an earlier kept near-duplicate.
 
-    `heads` has one row per distinct head: id, at (position in the input), head, len, and
-    size, the length of what is compared in the end. With `bodies` (id, body) that is the
-    whole text, heads may repeat, and pairs of close heads count if their bodies are close.
+    `heads` has one row per text: nid (its place in the input), head, len, and size, the
+    length of what is compared in the end. With `bodies`, which returns (nid, body) for a table
+    of numbers, that is the whole text, and pairs of close heads count if their bodies are close;
+    else heads must be distinct.
     """
     stage = Stage(heads.sparkSession, "near-duplicates")
-    # Heads are small but each becomes some 200 rows, so they are spread evenly
-    # over all tasks instead of being merged into few.
-    tasks = int(stage.spark.conf.get("spark.sql.shuffle.partitions"))
-    heads = stage.write(heads.repartition(tasks, "id"))
-    index = stage.write(blocks(heads.filter("len > 0"), percent, head_chars))
-    probe = lookups(heads.filter("len > 0"), percent, head_chars)
+    filled = heads.filter("len > 0")
+    index = stage.write(blocks(filled, percent, head_chars))
+    probe = lookups(filled, percent, head_chars)
 
     def verified(pairs: DataFrame) -> DataFrame:
         close = _verify(pairs, heads, percent, head_chars)
-        return stage.write(close if bodies is None else _confirm(close, bodies, percent))
+        return stage.write(close.drop("longer") if bodies is None else _confirm(close, bodies, percent))
 
     edges = verified(_meet(probe, index.filter(F.col("uses") <= hot), percent))
     hot_index = index.filter(F.col("uses") > hot)
     waiting = None
     if not hot_index.isEmpty():
-        keys = hot_index.select("w", "block").distinct()
-        hot_probe = stage.write(probe.join(keys, ["w", "block"], "left_semi"))
-        first = F.min_by(F.struct("id", "at", "len", "size", "pos"), "at").alias("first")
-        holders = hot_index.groupBy("w", "block").agg(first).select("w", "block", "first.*")
+        keys = hot_index.select("key").distinct()
+        hot_probe = stage.write(probe.join(keys, "key", "left_semi"))
+        first = F.min_by(F.struct("nid", "len", "size", "pos"), "nid").alias("first")
+        holders = hot_index.groupBy("key").agg(first).select("key", "first.*")
         near_first = verified(_meet(hot_probe, holders, percent))
-        waiting = stage.write(near_first.select("later").distinct())
-        rest = hot_probe.join(waiting.withColumnRenamed("later", "id"), "id", "left_anti")
-        found = verified(_meet(rest, hot_index, percent))
-        edges = stage.write(edges.union(near_first).union(found).distinct())
-
-    dropped = edges.select(F.col("later").alias("id")).limit(0)
+        waiting = stage.write(near_first.select(F.col("later").alias("nid")).distinct())
+
+        def all_pairs(nids: DataFrame, excluded: bool) -> DataFrame:
+            """Near pairs in hot blocks of the given texts, or of all but these."""
+            how = "left_anti" if excluded else "left_semi"
+            looking = hot_probe.join(nids, "nid", how)
+            if bodies is None:
+                return verified(_meet(looking, hot_index, percent))
+            # Short texts are their heads. The others hold a common block of their whole texts.
+            size = F.col("size") > head_chars
+            pairs = _meet(looking.filter(~size), hot_index, percent)
+            members = hot_index.select("nid").distinct()
+            seekers = looking.filter(size).select("nid").distinct()
+            texts = stage.write(bodies(members.union(seekers).distinct()))
+            grams = whole_grams(texts.join(seekers, "nid", "left_semi"), percent, head_chars, index=False)
+            held = stage.write(whole_grams(texts.join(members, "nid", "left_semi"), percent, head_chars, index=True))
+            return verified(pairs.unionByName(_meet(grams, held, percent)).distinct())
+
+        found = all_pairs(waiting, excluded=True)
+        edges = stage.write(edges.unionByName(near_first).unionByName(found).distinct())
+
+    alive, parts = edges, []
+    nowhere = edges.select(F.col("later").alias("nid")).limit(0)
     while True:
-        alive = edges.join(
-            dropped.withColumnRenamed("id", "later"), "later", "left_anti"
-        ).join(dropped.withColumnRenamed("id", "earlier"), "earlier", "left_anti")
-        blocked = alive.select("later").distinct()
-        open_ids = blocked if waiting is None else blocked.union(waiting)
-        kept = alive.select("earlier").join(
-            open_ids.withColumnRenamed("later", "earlier"), "earlier", "left_anti"
-        )
+        blocked = alive.select(F.col("later").alias("nid")).distinct()
+        undecided = blocked if waiting is None else blocked.union(waiting)
+        kept = alive.join(undecided.withColumnRenamed("nid", "earlier"), "earlier", "left_anti").select("earlier")
         falls = stage.write(
-            alive.join(kept, "earlier", "left_semi").select(F.col("later").alias("id")).distinct()
+            alive.join(kept, "earlier", "left_semi").select(F.col("later").alias("nid")).distinct()
         )
         if not falls.isEmpty():
-            dropped = stage.write(dropped.union(falls))
+            parts.append(falls)
+            alive = stage.write(_without(alive, falls))
             continue
+        dropped = nowhere
+        for part in parts:
+            dropped = dropped.union(part)
         if waiting is None:
             return dropped
-        # Heads that waited for a holder that was dropped look at their whole blocks.
-        free = stage.write(
-            waiting.join(dropped.withColumnRenamed("id", "later"), "later", "left_anti").join(
-                blocked, "later", "left_anti"
-            )
-        )
+        # Texts that waited for a holder that was dropped look at their whole blocks.
+        free = stage.write(waiting.join(dropped, "nid", "left_anti").join(blocked, "nid", "left_anti"))
         if free.isEmpty():
             return dropped
-        looking = hot_probe.join(free.withColumnRenamed("later", "id"), "id", "left_semi")
-        found = verified(_meet(looking, hot_index, percent))
-        edges = stage.write(edges.union(found).distinct())
-        waiting = stage.write(waiting.join(free, "later", "left_anti"))
+        alive = stage.write(_without(alive.unionByName(all_pairs(free, excluded=False)).distinct(), dropped))
+        waiting = stage.write(waiting.join(free, "nid", "left_anti"))
 
 
-def dedup_fuzzy(
+def _without(edges: DataFrame, nids: DataFrame) -> DataFrame:
+    for end in ("later", "earlier"):
+        edges = edges.join(nids.withColumnRenamed("nid", end), end, "left_anti")
+    return edges
+
+
+def fates(
     df: DataFrame,
     order=("date", "review_id"),
     percent: int = 95,
     head_chars: int = 200,
-    hot: int = 1000,
+    hot: int = 100,
     id_col: str = "review_id",
     text: str = "review_text",
     whole: bool = False,
 ) -> DataFrame:
-    """Drop every review with an earlier kept near-duplicate in the whole table.
+    """The first row of every text (id) and whether it has an earlier kept near-duplicate (near).
 
-    The order columns and the id must identify a row. Only the first `head_chars`
-    characters are compared; that is how near-duplicates are defined by default, so long
-    texts that share such an opening count as copies. With `whole` the whole texts must be
-    as close as well; different texts that share an opening are then compared pair by pair
-    where their lengths allow it. The result does not depend on `hot`, which only says from
-    how many holders on a block is first compared with its earliest one.
-    Jobs run when this function is called.
+    Rows that are not listed are exact copies: lower-cased and stripped, their text is that of
+    an earlier row. Options are those of `dedup_fuzzy`. Only ids, order columns, a hash and
+    the heads are moved. Jobs run when this is called.
     """
-    at = [F.col(c).asc_nulls_last() for c in order]
+    stage = Stage(df.sparkSession, "heads")
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     body = strip(F.lower(F.col(text)))
-    same = Window.partitionBy(F.md5("_body") if whole else F.col("_head")).orderBy(*at)
-    # Undated rows come last, as in the window.
-    position = F.struct(
-        *[f for c in order for f in (F.col(c).isNull().alias(f"no_{c}"), F.col(c).alias(c))]
-    )
-    # Ids, positions and heads decide; the rows themselves only meet the ids that stay.
-    heads = Stage(df.sparkSession, "heads").write(
-        df.withColumns({"_head": head_of(F.col(text), head_chars), "_body": body})
-        .select(id_col, *[c for c in order if c != id_col], "_head", *(["_body"] if whole else []))
+    # Undated rows come last, as in a window.
+    place = [F.col(c).asc_nulls_last() for c in order]
+    same = Window.partitionBy("_hash").orderBy(*place)
+    firsts = (
+        df.withColumn("_body", body)
+        .select(
+            id_col, *[c for c in order if c != id_col],
+            F.md5("_body").alias("_hash"),
+            F.substring("_body", 1, head_chars).alias("_head"),
+            F.length("_body").alias("_size"),
+        )
         .withColumn("_n", F.row_number().over(same))
         .filter(F.col("_n") == 1)
+    )
+    # Sorted parts number the rows in the input's order: one long stands for id and place.
+    heads = stage.write(
+        firsts.repartitionByRange(tasks, *place)
+        .sortWithinPartitions(*place)
         .select(
             F.col(id_col).cast("string").alias("id"),
-            position.alias("at"),
+            F.monotonically_increasing_id().alias("nid"),
             F.col("_head").alias("head"),
             F.length("_head").alias("len"),
-            F.length("_body" if whole else "_head").alias("size"),
-            *([F.col("_body").alias("body")] if whole else []),
+            F.col("_size").alias("size"),
         )
     )
-    bodies = heads.select("id", "body") if whole else None
-    near = close_copies(heads.drop("body"), percent, head_chars, hot, bodies)
-    kept = heads.select("id").join(near, "id", "left_anti").withColumnRenamed("id", "_kept")
-    return df.join(kept, F.col(id_col).cast("string") == F.col("_kept"), "left_semi")
+
+    def bodies(nids: DataFrame) -> DataFrame:
+        ids = heads.join(nids, "nid", "left_semi").select("nid", F.col("id").alias("_id"))
+        texts = df.select(F.col(id_col).cast("string").alias("_id"), body.alias("body"))
+        return texts.join(ids.hint("shuffle_hash"), "_id").select("nid", "body")
+
+    if whole:
+        near = close_copies(heads.drop("id"), percent, head_chars, hot, bodies)
+        return stage.write(heads.select("id", "nid").join(near.withColumn("_near", F.lit(True)), "nid", "left")
+                           .select("id", F.coalesce("_near", F.lit(False)).alias("near")))
+    # Texts of one head are copies of its first one.
+    groups = stage.write(
+        heads.withColumn("_n", F.row_number().over(Window.partitionBy("head").orderBy("nid")))
+        .filter(F.col("_n") == 1)
+        .select("nid", "head", "len", F.col("len").alias("size"))
+    )
+    near = close_copies(groups, percent, head_chars, hot)
+    kept = groups.select("nid").join(near, "nid", "left_anti").withColumn("_kept", F.lit(True))
+    return stage.write(heads.select("id", "nid").join(kept, "nid", "left").select("id", F.col("_kept").isNull().alias("near")))
+
+
+def dedup_fuzzy(df: DataFrame, order=("date", "review_id"), id_col: str = "review_id", **options) -> DataFrame:
+    """Drop every review with an earlier kept near-duplicate in the whole table.
+
+    The order columns and the id must identify a row. Only the first `head_chars`
+    characters are compared; that is how near-duplicates are defined by default, so long
+    texts that share such an opening count as copies. With `whole` the whole texts must be
+    as close as well. `percent` is what the ratio must exceed. The result does not depend on `hot`,
+    which only says from how many holders on a block is first compared with its earliest one.
+    Jobs run when this function is called.
+    """
+    kept = fates(df, order, id_col=id_col, **options).filter(~F.col("near")).select(F.col("id").alias("_kept"))
+    return df.join(kept.hint("shuffle_hash"), F.col(id_col).cast("string") == F.col("_kept"), "left_semi")
 
 
 def near_copy_ids(df: DataFrame, order=("date", "review_id"), **options) -> DataFrame:

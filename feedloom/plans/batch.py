@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+import uuid
+from typing import NamedTuple
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import Settings
@@ -15,7 +17,6 @@ from ..operators import (
     explore,
     inference,
     issues,
-    neardup,
     quality,
     scorecards,
     star,
@@ -27,7 +28,7 @@ from ..sources.validation import validate
 
 
 def run_all(df: DataFrame, settings: Settings, cube: DataFrame | None = None) -> dict[str, DataFrame]:
-    """Every analysis by name, none of them computed yet.
+    """Every analysis by name; of the return risk the rows it is based on are computed.
 
     All aggregate analyses read the cube. Pass a persisted or stored one to pay for
     the pass over the reviews once; otherwise each analysis builds it for itself.
@@ -69,50 +70,70 @@ def quality_tables(df: DataFrame) -> dict[str, DataFrame]:
     }
 
 
+class ModelRun(NamedTuple):
+    """What a classification with a model gives: no row is lost between the two tables."""
+
+    classified: DataFrame
+    failed: DataFrame  # with failed_reason
+    calls: DataFrame  # the paid calls: cache_key, model, input_tokens, output_tokens, cost_usd
+
+
 def classify_raw(
     raw: DataFrame, settings: Settings, profiles: DataFrame | None = None, classify=None
 ) -> tuple[DataFrame, DataFrame]:
     """Validate, clean and classify; return the classified rows and the quarantine.
 
-    `classify` turns cleaned into classified reviews; the offline rules by default.
+    `classify` turns cleaned into classified reviews; the offline rules by default. Of a
+    `ModelRun` the classified rows are returned.
     """
     valid, rejected = validate(raw, "raw")
-    cleaned = cleaning.clean(valid, settings, profiles)
-    label = classify if classify is not None else (lambda d: rule_classify(d, settings.rules))
-    return label(cleaned).drop("is_shipping_only"), rejected
+    labelled = _label(cleaning.clean(valid, settings, profiles), settings, classify)
+    rows = labelled.classified if isinstance(labelled, ModelRun) else labelled
+    return rows.drop("is_shipping_only"), rejected
+
+
+def _label(cleaned: DataFrame, settings: Settings, classify) -> DataFrame | ModelRun:
+    return classify(cleaned) if classify is not None else rule_classify(cleaned, settings.rules)
 
 
 def classify_with_model(
-    df: DataFrame, make_scorer, cache: str, budget: float, order=("review_id",), hedges=None
-) -> tuple[DataFrame, DataFrame]:
+    df: DataFrame,
+    make_scorer,
+    cache: str | inference.AnswerCache,
+    budget: float,
+    order=("review_id",),
+    hedges=None,
+    batch_id: str | None = None,
+    **options,
+) -> ModelRun:
     """Classify with a model: route, look up, keep to the budget, ask, store, read the answers.
 
-    `cache` is the folder of the answers of earlier runs, to which new ones are appended
-    (it may not exist yet). Equal prompts share a call. Calls are made in the order of the
-    first review that needs them until the money spent reaches the budget; tokens are
-    estimated as a quarter of the characters. Returns the classified rows and those without
-    a usable answer with their `failed_reason`. Runs jobs when called.
+    `cache` holds the answers of earlier runs (a folder, which may not exist yet); new ones
+    are stored under the batch id, a fresh one by default. A run that is repeated with its batch id
+    asks only what it has no answer for and stores nothing twice. Equal prompts share a call. Calls are
+    made in the order of the first review that needs them, in waves, until the money spent reaches the budget;
+    tokens are estimated as a quarter of the characters, 200 for an answer that has not come yet.
+    Options go to `infer_within_budget` and `infer`. Runs jobs when called.
     """
-    stage = Stage(df.sparkSession, "model")
-    options = {} if hedges is None else {"hedges": hedges}
-    asked = stage.write(
-        inference.with_cache_key(with_prompt(route(df, **options)))
-    )
-    known = read_cache(df.sparkSession, cache)
-    misses = inference.split_cached(asked, known)[1]
+    spark = df.sparkSession
+    stage = Stage(spark, "model")
+    cache = cache if isinstance(cache, inference.AnswerCache) else inference.AnswerCache(spark, cache)
+    routed = route(df) if hedges is None else route(df, hedges=hedges)
+    asked = stage.write(inference.with_cache_key(with_prompt(routed)))
     place = F.min(F.struct(*order)).alias("place")
-    calls = (
-        misses.groupBy("cache_key")
-        .agg(F.any_value("model").alias("model"), F.any_value("prompt").alias("prompt"), place)
-        .withColumn("input_tokens", F.ceil(F.length("prompt") / 4))
-        .withColumn("output_tokens", F.lit(200))
+    wanted = stage.write(
+        asked.groupBy("cache_key").agg(F.any_value("model").alias("model"), F.any_value("prompt").alias("prompt"), place)
     )
-    paid = inference.within_budget(inference.call_cost(calls), budget, ["place"])
-    answered, failed = inference.infer(paid.select("cache_key", "prompt"), make_scorer)
-    answered.select("cache_key", "response").write.mode("append").parquet(cache)
-    responses = read_cache(df.sparkSession, cache).groupBy("cache_key").agg(
-        F.min("response").alias("response")
+    # The cache is read once, for these keys; its buckets stay where they are.
+    known = stage.write(inference.split_cached(wanted.select("cache_key"), cache.read())[0])
+    calls = (
+        wanted.join(known, "cache_key", "left_anti")
+        .withColumn("input_tokens", inference.tokens_of(F.col("prompt")))
+        .withColumn("output_tokens", F.lit(200).cast("long"))
     )
+    answered, failed, _ = inference.infer_within_budget(calls, make_scorer, budget, ["place"], **options)
+    cache.add(batch_id or uuid.uuid4().hex, answered)
+    responses = known.select("cache_key", "response").unionByName(answered.select("cache_key", "response"))
     failures = failed.select("cache_key", F.col("failed_reason").alias("call_failed"))
     rows = coerce_classification(
         asked.join(responses, "cache_key", "left").join(failures, "cache_key", "left")
@@ -126,28 +147,25 @@ def classify_with_model(
         )
     )
     fine = F.col("failed_reason").isNull()
-    return rows.filter(fine).drop("failed_reason"), rows.filter(~fine)
-
-
-def read_cache(spark: SparkSession, path: str) -> DataFrame:
-    schema = "cache_key string, response string"
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-
-
-def cleaning_counters(raw: DataFrame, settings: Settings, profiles: DataFrame | None = None) -> DataFrame:
-    """The removal counters of a cleaning run, near-duplicates included."""
-    copies = neardup.near_copy_ids(
-        cleaning.drop_short(raw, settings.min_text),
-        percent=settings.near_dup_percent,
-        head_chars=settings.near_dup_chars,
-        whole=settings.near_dup_whole,
-    )
-    return cleaning.cleaning_stats(raw, settings, profiles, copies)
+    paid = answered.select("cache_key", "model", "input_tokens", "output_tokens", "cost_usd")
+    return ModelRun(rows.filter(fine).drop("failed_reason"), rows.filter(~fine), paid)
+
+
+def model_consistency(
+    df: DataFrame, make_scorer, n: int = 100, seed: int = 42, key: str = "review_id", **options
+) -> DataFrame:
+    """Agreement of two passes of the base model over the same n reviews.
+
+    Reviews that either pass could not classify are left out; `sample_size` says how many counted.
+    Neither pass uses a cache. Options go to `infer`. Runs jobs when called.
+    """
+    stage = Stage(df.sparkSession, "consistency")
+    sample = stage.write(with_prompt(inference.sample_n(df, n, seed, key)).select(key, "prompt"))
+    passes = []
+    for _ in range(2):
+        answered, _failed = inference.infer(sample, make_scorer, **options)
+        passes.append(coerce_classification(answered.drop("failed_reason")).filter("failed_reason IS NULL"))
+    return inference.consistency(*passes, key)
 
 
 def exports(df: DataFrame, cube: DataFrame, own_brands) -> dict[str, DataFrame]:
@@ -192,6 +210,12 @@ def analyse(df: DataFrame, settings: Settings, out: str) -> dict[str, DataFrame]
             ),
             "service": evidence.riskiest_products(results["return_risk"]),
             "complaint_themes": evidence.complaint_themes(results["top_issues"]),
+            **{
+                f"brief_{name}": table
+                for name, table in evidence.briefs(
+                    results["top_issues"], results["competitor_comparison"], settings.briefs
+                ).items()
+            },
             **{
                 f"scorecard_{name}": table
                 for name, table in evidence.scorecard_evidence(
@@ -207,12 +231,33 @@ def analyse(df: DataFrame, settings: Settings, out: str) -> dict[str, DataFrame]
 
 
 def run_batch(
-    raw: DataFrame, settings: Settings, out: str, profiles: DataFrame | None = None, classify=None
+    raw: DataFrame,
+    settings: Settings,
+    out: str,
+    profiles: DataFrame | None = None,
+    classify=None,
+    recheck=None,
 ) -> dict[str, DataFrame]:
-    """The whole run; the classified table is written once and read by all analyses."""
-    classified, rejected = classify_raw(raw, settings, profiles, classify)
-    write_reviews(classified, f"{out}/classified")
+    """The whole run, from raw reviews to analyses, evidence and exports in one folder.
+
+    The cleaned table is written once, and its counters come from the pass that writes it; the
+    classified table is written once and read by all analyses. `classify` returns classified
+    rows or a `ModelRun`, whose failed rows and costs are written too. `recheck` gets the
+    cleaned reviews and returns a table that is kept with the checks, such as `model_consistency`.
+    """
+    spark = raw.sparkSession
+    valid, rejected = validate(raw, "raw")
+    cleaned, seen = cleaning.clean_counted(valid, settings, profiles)
+    write_reviews(cleaned, f"{out}/cleaned")
     write_reviews(rejected, f"{out}/quarantine", "json")
-    write_report({"cleaning": cleaning_counters(validate(raw, "raw")[0], settings, profiles)}, out)
-    stored = raw.sparkSession.read.parquet(f"{out}/classified")
-    return analyse(stored, settings, out)
+    write_report({"cleaning": cleaning.observed_stats(spark, seen)}, out)
+    cleaned = spark.read.parquet(f"{out}/cleaned")
+    labelled = _label(cleaned, settings, classify)
+    if isinstance(labelled, ModelRun):
+        write_reviews(labelled.failed.drop("is_shipping_only"), f"{out}/failed", "json")
+        write_report({"calls": labelled.calls, "costs": inference.cost_breakdown(labelled.calls)}, f"{out}/model")
+        labelled = labelled.classified
+    write_reviews(labelled.drop("is_shipping_only"), f"{out}/classified")
+    if recheck is not None:
+        write_report({"consistency": recheck(cleaned)}, f"{out}/quality")
+    return analyse(spark.read.parquet(f"{out}/classified"), settings, out)

@@ -1,5 +1,5 @@
 from feedloom.config import Settings
-from feedloom.operators import cleaning
+from feedloom.operators import cleaning, language
 from feedloom.operators.neardup import dedup_fuzzy
 from pyspark.sql import functions as F
 
@@ -111,21 +111,50 @@ def test_stats_add_up(raw):
 
 
 def test_stats_keep_what_cleaning_keeps_of_undated_copies(raw):
-    from feedloom.config import Settings
-    from feedloom.operators.neardup import near_copy_ids
-
     text = "A text that comes twice, once without a date."
     df = raw({"review_text": text, "date": None}, {"review_text": text}, {"review_text": text + "!", "date": None})
     settings = Settings(own_brands=("Ours",), as_of="2024-07-01")
     kept = cleaning.clean(df, settings).collect()
-    stats = cleaning.cleaning_stats(df, settings, None, near_copy_ids(df)).first()
+    stats = cleaning.cleaning_stats(df, settings).first()
     assert [r["review_id"] for r in kept] == ["r001"]
     assert (stats["output"], stats["removed_exact_dup"], stats["removed_fuzzy_dup"]) == (1, 1, 1)
 
 
-def test_cleaning_keeps_different_texts_after_one_opening_if_asked_to(raw):
-    from feedloom.config import Settings
-
+def test_counters_come_with_the_pass_that_writes(raw, spark, tmp_path, monkeypatch):
+    """One search for near-copies, and the observed counters are those of a pass of its own."""
+    searches = []
+    search = cleaning.fates
+    monkeypatch.setattr(cleaning, "fates", lambda *args, **options: searches.append(1) or search(*args, **options))
+    df = raw(
+        {"review_text": LONG}, {"review_text": LONG}, {"review_text": LONG + "!"}, {"review_text": "short"},
+        {"review_text": "Please click here to see much more of it"}, {"review_text": "Delivered by someone on a rainy morning"},
+        {"review_text": None},
+    )
+    settings = Settings(own_brands=(), as_of="2024-07-01")
+    cleaned, seen = cleaning.clean_counted(df, settings)
+    cleaned.write.parquet(str(tmp_path / "cleaned"))
+    assert len(searches) == 1
+    row = cleaning.observed_stats(spark, seen).first()
+    assert row == cleaning.cleaning_stats(df, settings).first()
+    assert row["output"] == spark.read.parquet(str(tmp_path / "cleaned")).count() == 2
+    assert (row["removed_empty"], row["removed_exact_dup"], row["removed_fuzzy_dup"], row["removed_spam"]) == (2, 1, 1, 1)
+
+
+def test_every_row_has_the_first_reason(raw, spark):
+    profiles = language.train_profiles(spark.createDataFrame([("the thing that is here", "en"), ("der und die das ist", "de")], "review_text string, lang string"))
+    df = raw(
+        {"review_text": "the thing that is good here"}, {"review_text": "das ist der Hund und die Katze"}, {"review_text": "1234567890 1234567890 12"},
+        {"review_text": "das ist der Hund, und die Katze"}, {"review_text": "the thing is: click here, click here"},
+    )
+    settings = Settings(own_brands=(), as_of="2024-07-01")
+    judged = cleaning.judge(df, settings, profiles)
+    assert {r["review_id"]: r["drop_reason"] for r in judged.collect()} == {
+        "r000": None, "r001": "non_english", "r002": None, "r003": "fuzzy_dup", "r004": "spam",
+    }
+    assert cleaning.cleaning_stats(df.limit(0), settings, profiles).first()["input"] == 0
+
+
+def test_cleaning_keeps_different_texts_after_one_opening(raw):
     words = [f"word{i}" for i in range(60)]
     opening, other = " ".join(words[:40]), " ".join(words[40:])
     df = raw({"review_text": opening}, {"review_text": f"{opening} {other}"}, {"review_text": f"{opening} {other}!"})

@@ -162,3 +162,48 @@ def test_whole_texts_confirm_copies(raw, hot):
     want = brute_whole(texts)
     assert ids(dedup_fuzzy(df, order=("review_id",), hot=hot, whole=True)) == want
     assert len(want) > len(ids(dedup_fuzzy(df, order=("review_id",), hot=hot)))
+
+
+def test_alike_is_the_exact_ratio():
+    rng = random.Random(5)
+    for letters, lengths, rounds in (("abcde", (0, 90), 500), ("ab", (0, 60), 300), ("abcdefgh ", (500, 900), 12)):
+        draw = lambda n: "".join(rng.choice(letters) for _ in range(n))
+        for _ in range(rounds):
+            a = draw(rng.randint(*lengths))
+            b = edited(rng, a, rng.randrange(0, max(2, len(a) // 9))) if a and rng.random() < 0.9 else draw(rng.randint(*lengths))
+            for percent in (95, 90, 70):
+                assert neardup.alike(a, b, percent) == (200 * common(a, b) > percent * (len(a) + len(b)))
+
+
+def test_whole_texts_of_one_opening_meet_by_rare_blocks(raw, spark):
+    """Different long texts behind one opening: the pairs that are compared grow as the texts do."""
+    rng = random.Random(29)
+    draw = lambda n: "".join(rng.choice("abcdefghijklmnopqrstuvw ") for _ in range(n))
+    opening = draw(205)
+    bodies = [opening + draw(1200) for _ in range(200)]
+    copies = [edited(rng, bodies[i], 20) for i in (3, 50, 199)]
+    texts = [(f"r{i:03d}", "z" + t + "z") for i, t in enumerate(bodies + copies)]
+    df = raw(*({"review_id": k, "review_text": t} for k, t in texts))
+    assert ids(dedup_fuzzy(df, order=("review_id",), whole=True, hot=20)) == [f"r{i:03d}" for i in range(200)]
+    rows = [(i, t) for i, (_, t) in enumerate(texts)]
+    whole = spark.createDataFrame(rows, "nid long, body string")
+    index = neardup.whole_grams(whole, 95, 200, index=True)
+    pairs = neardup._meet(neardup.whole_grams(whole, 95, 200, index=False), index, 95).count()
+    assert 3 <= pairs <= 2 * len(texts)
+
+
+def test_blocks_of_whole_texts_are_enough():
+    for n in range(1, 3000, 7):
+        w, need = neardup.width_of(n, 95, 200), neardup.needed_of(n, 95)
+        assert n // w >= need and w in neardup.widths_of(n, 95, 200)
+        for m in range(n, int(n * 1.12) + 2):
+            if m - n <= neardup.most_edits(n, m, 95):
+                assert need > neardup.most_edits(n, m, 95) and w in neardup.widths_of(m, 95, 200)
+
+
+def test_fates_list_the_first_of_every_text(raw):
+    df = raw({"review_text": "One text that is here."}, {"review_text": " ONE text that is here.\n"}, {"review_text": "One text that is here!"}, {"review_text": "x"})
+    for whole in (False, True):
+        rows = {r["id"]: r["near"] for r in neardup.fates(df, order=("review_id",), whole=whole).collect()}
+        assert rows == {"r000": False, "r002": True, "r003": False}
+    assert neardup.fates(df.limit(0), order=("review_id",)).count() == 0

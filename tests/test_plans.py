@@ -85,7 +85,13 @@ def test_comparison_collects_no_brands(stored):
 
 
 def test_return_risk_reads_the_texts_once(spark, stored):
-    issues.return_risk(stored).collect()
+    """Both parts read the risk rows that were written down; nothing stays in memory."""
     text = plan(issues.return_risk(stored))
-    assert text.count("InMemoryRelation") == 2 and "lambdafunction" not in text.split("InMemoryRelation")[0].replace("_values", "")
-    spark.catalog.clearCache()
+    scans = [line for line in text.splitlines() if "FileScan" in line]
+    assert scans and not any("review_text" in line for line in scans) and "InMemoryRelation" not in text
+
+
+def test_issues_and_products_come_from_one_reduction(stored):
+    text = plan(issues.top_issues(stored, AS_OF))
+    assert sum("FileScan" in line and "review_text" in line for line in text.splitlines()) == 1
+    assert all("n_reviews" in line or "review_text" in line or "product_name" in line for line in text.splitlines() if "FileScan" in line)

@@ -17,15 +17,18 @@ copies never meet. A block that is still shared by more than `hot` heads is not
 joined pair by pair at once: every head that holds it is first compared with the
 earliest holder only. A head that is close to it waits; when the holder is kept,
 the head is dropped and its other pairs are never needed. Only heads that stay
-undecided look at the whole block. If whole texts count, these are different texts
-behind one opening: they meet by blocks of the whole texts then, whose rarest ones
-leave the opening out unless it is a large part of the text.
+undecided look at the whole block.
+
+Crowds. If whole texts count, many different texts may have one head. More than `crowd` of
+them do not meet by its blocks: each is compared with the earliest one and may wait as
+above. Those that do not wait meet by blocks of their whole texts, whose rarest ones
+leave the common opening out unless it is a large part of the text.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
-from functools import lru_cache
+from functools import lru_cache, reduce
 
 import pandas as pd
 import pyarrow as pa
@@ -146,12 +149,13 @@ def alike(a: str, b: str, percent: int) -> bool:
 
 
 def blocks(heads: DataFrame, percent: int, head_chars: int) -> DataFrame:
-    """Index entries (key, nid, pos, len, size, uses) of every head: its rarest `needed` blocks."""
+    """Index entries (key, nid, pos, len, size, crowd, uses) of every head: its rarest `needed` blocks."""
     w = F.col("w")
     cut = heads.withColumn("w", width(F.col("len"), percent, head_chars)).select(
         "nid",
         "len",
         "size",
+        "crowd",
         F.inline(
             F.transform(
                 F.sequence(F.lit(0), F.floor(F.col("len") / w).cast("int") - 1),
@@ -190,6 +194,7 @@ def lookups(heads: DataFrame, percent: int, head_chars: int) -> DataFrame:
         "nid",
         "len",
         "size",
+        "crowd",
         F.inline(
             F.transform(
                 F.sequence(F.lit(0), F.col("len") - w),
@@ -228,49 +233,52 @@ def widths_of(length: int, percent: int, opening: int) -> set[int]:
 
 
 def whole_grams(bodies: DataFrame, percent: int, opening: int, index: bool) -> DataFrame:
-    """Blocks of whole texts for the index, or all substrings that can meet one."""
+    """Blocks of whole texts (nid, crowd, body) for the index, or all substrings that can meet one.
+
+    Texts only meet within their crowd.
+    """
+    names = ("nid", "crowd", "len", "need", "w", "pos", "block")
+    kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int32(), pa.int32(), pa.string())
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for nid, body in zip(batch.column(0).to_pylist(), batch.column(1)):
+            for nid, crowd, body in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), batch.column(2)):
                 text = body.as_py()
                 n = len(text)
-                sizes = [width_of(n, percent, opening)] if index else sorted(widths_of(n, percent, opening))
-                for w in sizes:
+                for w in [width_of(n, percent, opening)] if index else sorted(widths_of(n, percent, opening)):
                     starts = range(0, n // w * w, w) if index else range(n - w + 1)
-                    yield pa.RecordBatch.from_pydict(
-                        {
-                            "nid": pa.array([nid] * len(starts), pa.int64()),
-                            "len": pa.array([n] * len(starts), pa.int32()),
-                            "size": pa.array([n] * len(starts), pa.int32()),
-                            "need": pa.array([needed_of(n, percent)] * len(starts), pa.int32()),
-                            "w": pa.array([w] * len(starts), pa.int32()),
-                            "pos": pa.array(starts, pa.int32()),
-                            "block": pa.array([text[p : p + w] for p in starts], pa.string()),
-                        }
-                    )
-
-    kinds = "nid long, len int, size int, need int, w int, pos int, block string"
-    rows = bodies.select("nid", "body").mapInArrow(cut, kinds).withColumn("key", F.xxhash64("block", "w")).drop("block", "w")
+                    fixed = (nid, crowd, n, needed_of(n, percent), w)
+                    columns = [pa.repeat(pa.scalar(v, k), len(starts)) for v, k in zip(fixed, kinds)]
+                    columns += [pa.array(starts, kinds[5]), pa.array([text[p : p + w] for p in starts], kinds[6])]
+                    yield pa.RecordBatch.from_arrays(columns, names=list(names))
+
+    schema = "nid long, crowd long, len int, need int, w int, pos int, block string"
+    key = F.xxhash64("block", "w", "crowd")
+    rows = bodies.select("nid", "crowd", "body").mapInArrow(cut, schema).withColumn("key", key)
+    rows = rows.withColumn("size", F.col("len")).drop("block", "w", "crowd")
     return rarest(rows, F.col("need")).drop("need") if index else rows.drop("need")
 
 
 def _meet(probe: DataFrame, index: DataFrame, percent: int) -> DataFrame:
     """Pairs (later, earlier) that share a block at positions the edits allow.
 
-    Spark sizes an exploded table like the table before the explode and would
-    broadcast it, so a sort-merge join is asked for; it also splits skewed blocks.
+    Spark sizes an exploded table like the table before the explode and would broadcast it,
+    so a shuffled join is asked for; adaptive execution also splits skewed blocks. Members of one crowd do not meet here.
     """
     p, i = probe.alias("p"), index.alias("i")
+    apart = F.lit(True)
+    if "crowd" in index.columns:
+        apart = F.coalesce(F.col("p.crowd") != F.col("i.crowd"), F.lit(True))
     shift = F.col("p.pos") - F.col("i.pos")
     growth = F.col("p.len") - F.col("i.len")
     allowed = edits(F.col("p.len"), F.col("i.len"), percent)
     sizes = F.col("p.size"), F.col("i.size")
     return (
         p.join(
-            i.hint("merge"),
+            i.hint("shuffle_hash"),
             (F.col("p.key") == F.col("i.key"))
             & (F.col("i.nid") < F.col("p.nid"))
+            & apart
             & (F.abs(shift) + F.abs(growth - shift) <= allowed)
             & (F.abs(sizes[0] - sizes[1]) <= edits(*sizes, percent)),
         )
@@ -333,15 +341,15 @@ def close_copies(
     heads: DataFrame,
     percent: int = 95,
     head_chars: int = 200,
-    hot: int = 100,
+    hot: int = 1000,
     bodies: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Numbers of the texts that have an earlier kept near-duplicate.
 
-    `heads` has one row per text: nid (its place in the input), head, len, and size, the
-    length of what is compared in the end. With `bodies`, which returns (nid, body) for a table
-    of numbers, that is the whole text, and pairs of close heads count if their bodies are close;
-    else heads must be distinct.
+    `heads` has one row per text: nid (its place in the input), head, len, size, the length of
+    what is compared in the end, and crowd, a number of the head where many share it. With
+    `bodies`, which returns (nid, body) for a table of numbers, the whole text is compared,
+    and pairs of close heads count if their bodies are close; else heads must be distinct.
     """
     stage = Stage(heads.sparkSession, "near-duplicates")
     filled = heads.filter("len > 0")
@@ -353,34 +361,42 @@ def close_copies(
         return stage.write(close.drop("longer") if bodies is None else _confirm(close, bodies, percent))
 
     edges = verified(_meet(probe, index.filter(F.col("uses") <= hot), percent))
+    # Near pairs with the earliest of many, and ways to all pairs of those that need them.
+    near_first, searches = [], []
+
     hot_index = index.filter(F.col("uses") > hot)
-    waiting = None
     if not hot_index.isEmpty():
         keys = hot_index.select("key").distinct()
         hot_probe = stage.write(probe.join(keys, "key", "left_semi"))
-        first = F.min_by(F.struct("nid", "len", "size", "pos"), "nid").alias("first")
+        first = F.min_by(F.struct("nid", "len", "size", "crowd", "pos"), "nid").alias("first")
         holders = hot_index.groupBy("key").agg(first).select("key", "first.*")
-        near_first = verified(_meet(hot_probe, holders, percent))
-        waiting = stage.write(near_first.select(F.col("later").alias("nid")).distinct())
-
-        def all_pairs(nids: DataFrame, excluded: bool) -> DataFrame:
-            """Near pairs in hot blocks of the given texts, or of all but these."""
-            how = "left_anti" if excluded else "left_semi"
-            looking = hot_probe.join(nids, "nid", how)
-            if bodies is None:
-                return verified(_meet(looking, hot_index, percent))
-            # Short texts are their heads. The others hold a common block of their whole texts.
-            size = F.col("size") > head_chars
-            pairs = _meet(looking.filter(~size), hot_index, percent)
-            members = hot_index.select("nid").distinct()
-            seekers = looking.filter(size).select("nid").distinct()
-            texts = stage.write(bodies(members.union(seekers).distinct()))
-            grams = whole_grams(texts.join(seekers, "nid", "left_semi"), percent, head_chars, index=False)
-            held = stage.write(whole_grams(texts.join(members, "nid", "left_semi"), percent, head_chars, index=True))
-            return verified(pairs.unionByName(_meet(grams, held, percent)).distinct())
-
-        found = all_pairs(waiting, excluded=True)
-        edges = stage.write(edges.unionByName(near_first).unionByName(found).distinct())
+        near_first.append(verified(_meet(hot_probe, holders, percent)))
+        searches.append(lambda nids, how: _meet(hot_probe.join(nids, "nid", how), hot_index, percent))
+
+    members = heads.filter("crowd IS NOT NULL").select("nid", "crowd", "size")
+    if bodies is not None and not members.isEmpty():
+        first = members.groupBy("crowd").agg(F.min("nid").alias("earlier"), F.min_by("size", "nid").alias("_size"))
+        allowed = edits(F.col("size"), F.col("_size"), percent)
+        from_first = members.join(first, "crowd").filter(
+            (F.col("nid") > F.col("earlier")) & (F.abs(F.col("size") - F.col("_size")) <= allowed)
+        )
+        near_first.append(verified(from_first.select(F.col("nid").alias("later"), "earlier")))
+        texts = stage.write(bodies(members.select("nid")).join(members.drop("size"), "nid"))
+        held = stage.write(whole_grams(texts, percent, head_chars, index=True))
+        searches.append(
+            lambda nids, how: _meet(whole_grams(texts.join(nids, "nid", how), percent, head_chars, index=False), held, percent)
+        )
+
+    waiting = None
+    if near_first:
+        firsts = reduce(DataFrame.unionByName, near_first)
+        waiting = stage.write(firsts.select(F.col("later").alias("nid")).distinct())
+
+        def all_pairs(nids: DataFrame, how: str) -> DataFrame:
+            """Near pairs of the given texts among many, or of all but these."""
+            return verified(reduce(DataFrame.unionByName, [search(nids, how) for search in searches]).distinct())
+
+        edges = stage.write(edges.unionByName(firsts).unionByName(all_pairs(waiting, "left_anti")).distinct())
 
     alive, parts = edges, []
     nowhere = edges.select(F.col("later").alias("nid")).limit(0)
@@ -404,7 +420,7 @@ def close_copies(
         free = stage.write(waiting.join(dropped, "nid", "left_anti").join(blocked, "nid", "left_anti"))
         if free.isEmpty():
             return dropped
-        alive = stage.write(_without(alive.unionByName(all_pairs(free, excluded=False)).distinct(), dropped))
+        alive = stage.write(_without(alive.unionByName(all_pairs(free, "left_semi")).distinct(), dropped))
         waiting = stage.write(waiting.join(free, "nid", "left_anti"))
 
 
@@ -419,7 +435,8 @@ def fates(
     order=("date", "review_id"),
     percent: int = 95,
     head_chars: int = 200,
-    hot: int = 100,
+    hot: int = 1000,
+    crowd: int = 50,
     id_col: str = "review_id",
     text: str = "review_text",
     whole: bool = False,
@@ -465,15 +482,20 @@ def fates(
         texts = df.select(F.col(id_col).cast("string").alias("_id"), body.alias("body"))
         return texts.join(ids.hint("shuffle_hash"), "_id").select("nid", "body")
 
+    nobody = F.lit(None).cast("long").alias("crowd")
     if whole:
-        near = close_copies(heads.drop("id"), percent, head_chars, hot, bodies)
+        # Heads that more texts share than a crowd needs are few, or else short of the table by that factor.
+        many = heads.filter(F.col("size") > head_chars).groupBy("head").count().filter(F.col("count") > crowd)
+        many = many.select("head", F.xxhash64("head").alias("crowd"))
+        rows = stage.write(heads.drop("id").join(many.hint("shuffle_hash"), "head", "left"))
+        near = close_copies(rows, percent, head_chars, hot, bodies)
         return stage.write(heads.select("id", "nid").join(near.withColumn("_near", F.lit(True)), "nid", "left")
                            .select("id", F.coalesce("_near", F.lit(False)).alias("near")))
     # Texts of one head are copies of its first one.
     groups = stage.write(
         heads.withColumn("_n", F.row_number().over(Window.partitionBy("head").orderBy("nid")))
         .filter(F.col("_n") == 1)
-        .select("nid", "head", "len", F.col("len").alias("size"))
+        .select("nid", "head", "len", F.col("len").alias("size"), nobody)
     )
     near = close_copies(groups, percent, head_chars, hot)
     kept = groups.select("nid").join(near, "nid", "left_anti").withColumn("_kept", F.lit(True))
@@ -486,8 +508,9 @@ def dedup_fuzzy(df: DataFrame, order=("date", "review_id"), id_col: str = "revie
     The order columns and the id must identify a row. Only the first `head_chars`
     characters are compared; that is how near-duplicates are defined by default, so long
     texts that share such an opening count as copies. With `whole` the whole texts must be
-    as close as well. `percent` is what the ratio must exceed. The result does not depend on `hot`,
-    which only says from how many holders on a block is first compared with its earliest one.
+    as close as well. `percent` is what the ratio must exceed. The result does not depend on `hot`
+    and `crowd`, which only say from how many holders on a block or head is first compared with
+    its earliest one.
     Jobs run when this function is called.
     """
     kept = fates(df, order, id_col=id_col, **options).filter(~F.col("near")).select(F.col("id").alias("_kept"))

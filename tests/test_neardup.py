@@ -160,7 +160,8 @@ def test_whole_texts_confirm_copies(raw, hot):
     texts = [(f"r{i:03d}", "z" + t + "z") for i, t in enumerate(bodies)]
     df = raw(*({"review_id": k, "review_text": t} for k, t in texts))
     want = brute_whole(texts)
-    assert ids(dedup_fuzzy(df, order=("review_id",), hot=hot, whole=True)) == want
+    for crowd in (1, 50):
+        assert ids(dedup_fuzzy(df, order=("review_id",), hot=hot, crowd=crowd, whole=True)) == want
     assert len(want) > len(ids(dedup_fuzzy(df, order=("review_id",), hot=hot)))
 
 
@@ -184,9 +185,9 @@ def test_whole_texts_of_one_opening_meet_by_rare_blocks(raw, spark):
     copies = [edited(rng, bodies[i], 20) for i in (3, 50, 199)]
     texts = [(f"r{i:03d}", "z" + t + "z") for i, t in enumerate(bodies + copies)]
     df = raw(*({"review_id": k, "review_text": t} for k, t in texts))
-    assert ids(dedup_fuzzy(df, order=("review_id",), whole=True, hot=20)) == [f"r{i:03d}" for i in range(200)]
-    rows = [(i, t) for i, (_, t) in enumerate(texts)]
-    whole = spark.createDataFrame(rows, "nid long, body string")
+    assert ids(dedup_fuzzy(df, order=("review_id",), whole=True, crowd=20)) == [f"r{i:03d}" for i in range(200)]
+    rows = [(i, 1, t) for i, (_, t) in enumerate(texts)]
+    whole = spark.createDataFrame(rows, "nid long, crowd long, body string")
     index = neardup.whole_grams(whole, 95, 200, index=True)
     pairs = neardup._meet(neardup.whole_grams(whole, 95, 200, index=False), index, 95).count()
     assert 3 <= pairs <= 2 * len(texts)

@@ -902,6 +902,7 @@ add(
     f"""{FACT}, {SCORES} SELECT category, brand, primary_theme, frequency, avg_severity,
     recency_weight, impact_score, top_failure_mode FROM scores""",
 )
+add("a13_issue_scores_from_days", SQL["a13_issue_scores_from_cube"])
 GAPS = f"""
 praised AS (SELECT category, brand, primary_theme AS theme, count(*) AS n FROM fact
   WHERE sentiment = 'positive' GROUP BY ALL),
@@ -1096,6 +1097,14 @@ add(
     strftime(date, '%b %Y') AS month_year, count(*) AS reviews FROM classified GROUP BY ALL""",
 )
 
+add(
+    "x12_star_slice",
+    f"""{CLASSIFIED} SELECT {_LABEL} AS category_label,
+    CASE WHEN brand IN {OWN} THEN 'Own' ELSE 'Competitor' END AS brand_type,
+    strftime(date, '%b %Y') AS month_year, count(*) AS reviews FROM classified
+    WHERE year(date) = 2024 AND quarter(date) IN (1, 3) GROUP BY ALL""",
+)
+
 # --- Measures -----------------------------------------------------------------
 
 add(

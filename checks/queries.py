@@ -665,6 +665,17 @@ def stored_cube(spark: SparkSession, sf: str) -> DataFrame:
     return Stage(spark, "cube").write(cube.review_cube(b.reviews_fact(spark, sf), AS_OF))
 
 
+@query
+def a13_issue_scores_from_days(spark, sf):
+    """Cells by month; one month is stored in part first and then replaced by the whole."""
+    rows = b.reviews_fact(spark, sf)
+    folder = f"{Stage(spark, 'days').folder}/cells"
+    late = F.coalesce(F.trunc("date", "month") == F.lit("2001-10-01").cast("date"), F.lit(False))
+    cube.write_days(rows.filter(~late | (F.col("helpful_votes") % 2 == 0)), folder, "month")
+    cube.write_days(rows.filter(late), folder, "month")
+    return issues.issue_scores(cube.cube_of_days(cube.read_days(spark, folder), AS_OF), AS_OF)
+
+
 @query
 def a13_issue_scores_from_cube(spark, sf):
     return issues.issue_scores(stored_cube(spark, sf), AS_OF)
@@ -782,6 +793,19 @@ def x12_star_join(spark, sf):
     )
 
 
+@query
+def x12_star_slice(spark, sf):
+    """Two quarters of the facts, which are stored by month."""
+    rows = classified(spark, sf)
+    folder = f"{Stage(spark, 'star').folder}/fact"
+    star.write_fact_by_month(star.fact_reviews(rows, OWN), folder)
+    dates = star.dim_date(rows).filter(F.col("quarter").isin("Q1", "Q3") & (F.col("year") == 2024))
+    joined = star.star_join(
+        spark.read.parquet(folder), star.dim_brand(rows, OWN), star.dim_category(rows), dates, "inner"
+    )
+    return joined.groupBy("category_label", "brand_type", "month_year").agg(F.count(F.lit(1)).alias("reviews"))
+
+
 # --- Measures -----------------------------------------------------------------
 
 

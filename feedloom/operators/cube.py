@@ -9,7 +9,7 @@ reviews and answers every aggregate analysis from that.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 KEYS = [
@@ -93,6 +93,62 @@ def review_cube(df: DataFrame, as_of, recent_days: int = 90) -> DataFrame:
     return measures(df, as_of, recent_days).groupBy(*KEYS).agg(*totals()).withColumns(built)
 
 
+# --- Cubes by day -------------------------------------------------------------
+
+DAY_KEYS = [key for key in KEYS if key != "is_recent"]
+_DAY_SUMS = ("n_reviews", "rating_sum", "rated", "severity_sum", "graded", "dated")
+
+
+def day_cells(df: DataFrame) -> DataFrame:
+    """Reviews reduced to a cell per day and cube key; undated ones have no day.
+
+    Nothing here depends on today: ages and recency follow from the day when a cube is asked for.
+    """
+    cells = measures(df).withColumn("day", F.col("date").cast("date")).groupBy(*DAY_KEYS, "day")
+    return cells.agg(*[F.sum(c).alias(c) for c in _DAY_SUMS])
+
+
+def write_days(df: DataFrame, path: str, period: str = "day") -> None:
+    """Store the cells of the reviews by period, in place of those periods' earlier cells.
+
+    `df` must hold all reviews of its periods, which may be one new day or a corrected one: only
+    their partitions are rewritten. Where days are small, a `period` of "week" or "month"
+    makes fewer files; a folder keeps to one period.
+    """
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cells = day_cells(df).withColumn("period", F.date_trunc(period, "day").cast("date"))
+    writer = cells.repartition(tasks, "period").write.option("partitionOverwriteMode", "dynamic")
+    writer.mode("overwrite").partitionBy("period").parquet(path)
+
+
+def read_days(spark: SparkSession, path: str) -> DataFrame:
+    """The stored cells; filters on `period` (its first day) read the matching partitions only."""
+    kinds = {
+        "verified_purchase": "boolean", "rating_sum": "double", "day": "date", "period": "date",
+        **{c: "long" for c in _DAY_SUMS if c != "rating_sum"},
+    }
+    schema = ", ".join(f"{c} {kinds.get(c, 'string')}" for c in [*DAY_KEYS, "day", *_DAY_SUMS, "period"])
+    return spark.read.schema(schema).parquet(path)
+
+
+def cube_of_days(cells: DataFrame, as_of, recent_days: int = 90) -> DataFrame:
+    """The review cube of a date from stored cells, equal to `review_cube` of all their reviews."""
+    today, day = as_date(as_of), F.col("day")
+    dated = cells.withColumns(
+        {
+            "age_sum": F.col("dated") * F.datediff(today, day),
+            "is_recent": day >= F.date_sub(today, recent_days),
+            "first_date": day,
+            "last_date": day,
+        }
+    )
+    built = {"cube_as_of": today, "cube_days": F.lit(recent_days)}
+    return dated.groupBy(*KEYS).agg(*totals()).withColumns(built)
+
+
+# --- Aggregates -------------------------------------------------------------------
+
+
 def n_where(condition: Column) -> Column:
     """Number of reviews that satisfy the condition."""
     return F.coalesce(F.sum(F.when(condition, F.col(_COUNT))), F.lit(0)).cast("long")

@@ -140,13 +140,35 @@ def theme_category_pivot(df: DataFrame, categories=None) -> DataFrame:
     return wide.agg(F.sum("n")).na.fill(0)
 
 
-def star_join(fact: DataFrame, brands: DataFrame, categories: DataFrame, dates: DataFrame) -> DataFrame:
-    """Fact rows with the attributes of their dimensions."""
+MONTH = "review_month"
+
+
+def write_fact_by_month(fact: DataFrame, path: str) -> None:
+    """Store the fact table in one partition per month (year * 100 + month; null without a date)."""
+    day = F.col("review_date")
+    tasks = int(fact.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    # Months hold very different numbers of rows: days spread them over the tasks.
+    rows = fact.withColumn(MONTH, F.year(day) * 100 + F.month(day)).repartition(tasks, MONTH, day)
+    rows.write.mode("overwrite").partitionBy(MONTH).parquet(path)
+
+
+def star_join(
+    fact: DataFrame, brands: DataFrame, categories: DataFrame, dates: DataFrame, how: str = "left"
+) -> DataFrame:
+    """Fact rows with the attributes of their dimensions.
+
+    Rows without a match stay, or with `how="inner"` go: dimensions that were filtered then
+    slice the facts. If the facts are stored by month, a slice of the dates is turned into the months to read
+    while the query runs.
+    """
+    on_date = fact["review_date"] == dates["date"]
+    if MONTH in fact.columns:
+        on_date = on_date & (fact[MONTH] == dates["year_month_sort"])
     return (
-        fact.join(brands.drop("is_own_brand"), "brand", "left")
-        .join(categories, "category", "left")
-        .join(dates, fact["review_date"] == dates["date"], "left")
-        .drop("date")
+        fact.join(dates, on_date, how)
+        .drop("date", MONTH)
+        .join(brands.drop("is_own_brand"), "brand", how)
+        .join(categories, "category", how)
     )
 
 

@@ -1,9 +1,10 @@
 """The physical plans hold what the operators promise."""
 
+import datetime as dt
 import os
 
 import pytest
-from feedloom.operators import cleaning, competition, explore, issues
+from feedloom.operators import cleaning, competition, cube, explore, issues, star
 from feedloom.sources.landing import latest_per_product
 
 AS_OF = "2024-07-01"
@@ -95,3 +96,43 @@ def test_issues_and_products_come_from_one_reduction(stored):
     text = plan(issues.top_issues(stored, AS_OF))
     assert sum("FileScan" in line and "review_text" in line for line in text.splitlines()) == 1
     assert all("n_reviews" in line or "review_text" in line or "product_name" in line for line in text.splitlines() if "FileScan" in line)
+
+
+def test_one_new_day_rewrites_one_partition(spark, labelled, tmp_path):
+    path = str(tmp_path / "days")
+    days = [None, dt.date(2024, 6, 1), dt.date(2024, 6, 2), dt.date(2024, 6, 2), dt.date(2024, 1, 5)]
+    old = labelled(*[{"date": d, "brand": f"b{i % 2}"} for i, d in enumerate(days)])
+    new = labelled(*[{"date": dt.date(2024, 6, 2), "rating": 1.0 + i, "review_id": f"n{i}"} for i in range(3)])
+    cube.write_days(old, path)
+    before = {f: os.path.getmtime(f"{path}/{f}") for f in os.listdir(path) if f.startswith("period=")}
+    stored = {f: sorted(os.listdir(f"{path}/{f}")) for f in before}
+    cube.write_days(new, path)
+    after = {f: sorted(os.listdir(f"{path}/{f}")) for f in os.listdir(path) if f.startswith("period=")}
+    assert {f for f in after if after[f] != stored.get(f)} == {"period=2024-06-02"} and len(after) == 4
+    rows = old.filter("date IS NULL OR date <> '2024-06-02'").unionByName(new)
+    for as_of in ("2024-07-01", "2024-12-01"):
+        want = cube.review_cube(rows, as_of)
+        got = cube.cube_of_days(cube.read_days(spark, path), as_of)
+        assert sorted(map(str, got.select(want.columns).collect())) == sorted(map(str, want.collect()))
+        assert issues.issue_scores(got, as_of).collect() == issues.issue_scores(rows, as_of).collect()
+    one = cube.read_days(spark, path).filter("period = '2024-06-01'")
+    assert "PartitionFilters: [isnotnull(period" in plan(one)
+    monthly = str(tmp_path / "months")
+    cube.write_days(rows, monthly, "month")
+    assert cube.read_days(spark, monthly).select("period").distinct().count() == 3
+    assert cube.cube_of_days(cube.read_days(spark, monthly), "2024-07-01").count() == cube.review_cube(rows, "2024-07-01").count()
+
+
+def test_a_slice_of_dates_prunes_the_months(spark, labelled, tmp_path):
+    path = str(tmp_path / "fact")
+    rows = labelled(*[{"date": dt.date(2024, 1 + i, 10)} for i in range(12)], {"date": None})
+    star.write_fact_by_month(star.fact_reviews(rows, ["b0"]), path)
+    fact, dates = spark.read.parquet(path), star.dim_date(rows)
+    brands, categories = star.dim_brand(rows, ["b0"]), star.dim_category(rows)
+    sliced = star.star_join(fact, brands, categories, dates.filter("quarter = 'Q2'"), "inner")
+    text = plan(sliced)
+    assert "dynamicpruning" in text and "PartitionFilters" in text
+    assert sorted(r["month_num"] for r in sliced.collect()) == [4, 5, 6]
+    assert star.star_join(fact, brands, categories, dates).count() == 13
+    whole = star.star_join(star.fact_reviews(rows, ["b0"]), brands, categories, dates)
+    assert whole.count() == 13 and sorted(whole.columns) == sorted(sliced.columns)

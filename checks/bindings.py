@@ -32,6 +32,7 @@ RULES = RuleSet(
     mention_brands=("Is", "La", "Der", "Und", "The", "Que"),
     feature_words=("the ", "ion", "est", "license", "@", "tion and", "eau", "sch", "http"),
 )
+NEEDLES = ("ß", "th", "ion", "The MIT License", "eaux la", "released under the mit license", "%_\\", "no such words here")
 SIGNALS = ("return", "the ", "ion", "license", "@", "eau")
 HEDGE_WORDS = ("ther", "eaux", "sch")
 SPAM = (r"released\s+under", r"click\s+here", r"(my|our)\s+(website|link)", r"\bthe\s+the\b")

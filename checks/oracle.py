@@ -1305,6 +1305,11 @@ add(
     f"{FACT}, {EMERGING} SELECT *, {label_case('theme')} AS theme_label FROM emerging",
 )
 add("d22_search_text", f"{CLASSIFIED} SELECT review_id, brand FROM classified WHERE contains(low, 'the mit license')")
+add(
+    "d22_search_index",
+    f"{TEXT} SELECT needle, review_id FROM docs, (VALUES {', '.join(f'({quoted(n)})' for n in b.NEEDLES)}) AS n(needle) "
+    "WHERE contains(low, lower(needle))",
+)
 _DISPLAY = (
     "brand, product_name, category, rating, sentiment, primary_theme, severity, "
     "verified_purchase, title, review_text"

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -23,6 +24,7 @@ from feedloom.operators import (
     neardup,
     quality,
     scorecards,
+    search,
     star,
 )
 from feedloom.plans import batch
@@ -985,6 +987,15 @@ def d22_search_text(spark, sf):
     return explore.search_text(classified(spark, sf), "The MIT License").select("review_id", "brand")
 
 
+@query
+def d22_search_index(spark, sf):
+    """Several needles, from one to thirty characters, looked up in one index."""
+    rows = b.reviews_text(spark, sf)
+    index = search.TextIndex(spark, Stage(spark, "search").folder).build(rows)
+    found = [index.search(n).select(F.lit(n).alias("needle"), F.col("id").alias("review_id")) for n in b.NEEDLES]
+    return reduce(DataFrame.unionByName, found)
+
+
 @query
 def d23_sorted_view(spark, sf):
     return explore.sorted_view(b.reviews_fact(spark, sf), "date")

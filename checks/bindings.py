@@ -272,8 +272,13 @@ def unchecked(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An answer of a model for every document: clean, wrapped, broken or odd."""
+    """An answer of a model for every document: clean, wrapped, broken or odd.
+
+    Every second one quotes the whole text, escaped as JSON.
+    """
     doc = F.col("doc_id")
+    object_text = F.to_json(F.struct(F.coalesce("text", F.lit("")).alias("t")))
+    quoted = F.substring(object_text, F.lit(6), F.length(object_text) - 6)  # without {"t": and }
     theme = F.element_at(F.array(*[F.lit(t) for t in THEMES + ["weather"]]), (doc % 16 + 1).cast("int"))
     mood = F.element_at(
         F.array(*[F.lit(s) for s in ("positive", "negative", "mixed", "neutral", "angry")]),
@@ -294,8 +299,7 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         doc % 2 == 0,
         F.concat(
             F.lit(', "key_phrases": ["n '), doc.cast("string"),
-            F.lit('", "m"], "has_actionable_signal": true, "actionable_detail": "d'),
-            doc.cast("string"), F.lit('"'),
+            F.lit('", "m"], "has_actionable_signal": true, "actionable_detail": '), quoted,
         ),
     ).otherwise("")
     body = F.concat(

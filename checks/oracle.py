@@ -392,11 +392,12 @@ def grams(text: str) -> str:
     )
 
 
-PROFILES = f"""
+def profiles_of(rows: str) -> str:
+    return f"""
 padded AS (SELECT review_id, lang, string_split({padded('review_text')}, '') AS p_c
            FROM docs),
 counted AS (SELECT lang, gram, count(*) AS n FROM (
-              SELECT lang, unnest({grams('p')}) AS gram FROM padded WHERE lang IS NOT NULL) GROUP BY ALL),
+              SELECT lang, unnest({grams('p')}) AS gram FROM padded WHERE lang IS NOT NULL AND {rows}) GROUP BY ALL),
 listed AS (SELECT * FROM (
     SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, gram)::INT AS rank,
       ln(n / sum(n) OVER (PARTITION BY lang)) AS share FROM counted) WHERE rank <= 300),
@@ -404,6 +405,8 @@ profiles AS (SELECT lang, gram, rank, (floor((share - min(share) OVER ()) * 1000
   FROM listed)"""
 
 
+PROFILES = profiles_of("true")
+
 def detected(text: str) -> str:
     return f"""
 seen AS (SELECT review_id, gram, count(*) AS uses FROM (
@@ -426,6 +429,12 @@ add(
     f"""{TEXT}, {PROFILES}, {detected('p')}
     SELECT review_id, lang, guess AS detected_lang FROM docs LEFT JOIN best USING (review_id)""",
 )
+add(
+    "c04_judged_on_other_rows",
+    f"""{TEXT}, {profiles_of('review_id::BIGINT % 3 <> 1')}, {detected('p')}
+    SELECT lang, guess AS detected_lang, count(*) AS reviews FROM docs LEFT JOIN best USING (review_id)
+    WHERE review_id::BIGINT % 3 = 1 GROUP BY ALL""",
+)
 _SPAM = f"regexp_matches(review_text, {pattern(b.SPAM)})"
 _TOKS = tokens("low")
 _REPETITIVE = (
@@ -588,7 +597,7 @@ add(
 # What each answer holds follows from how `bindings.responses` writes it.
 RESPONSES = f"""
 WITH answers AS (
-  SELECT doc_id, doc_id::VARCHAR AS review_id, doc_id % 8 NOT IN (1, 2) AS readable,
+  SELECT doc_id, coalesce(text, '') AS text, doc_id::VARCHAR AS review_id, doc_id % 8 NOT IN (1, 2) AS readable,
     ({array(THEMES + ['weather'])})[doc_id % 16 + 1] AS theme,
     (['positive','negative','mixed','neutral','angry'])[doc_id % 5 + 1] AS mood,
     CASE WHEN doc_id % 11 = 0 THEN 3 WHEN doc_id % 7 = 0 THEN 9 WHEN doc_id % 7 = 1 THEN NULL
@@ -614,7 +623,7 @@ add(
     CASE WHEN readable THEN CASE WHEN raw_severity IS NOT NULL
          THEN greatest(1, least(5, raw_severity)) END ELSE 3 END::INT AS severity,
     readable AND doc_id % 2 = 0 AS has_actionable_signal,
-    CASE WHEN readable AND doc_id % 2 = 0 THEN 'd' || review_id ELSE '' END AS actionable_detail,
+    CASE WHEN readable AND doc_id % 2 = 0 THEN text ELSE '' END AS actionable_detail,
     CASE WHEN readable AND doc_id % 2 = 0 THEN 'n ' || review_id || '|m' ELSE '' END AS key_phrases
     FROM answers""",
 )

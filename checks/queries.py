@@ -282,6 +282,15 @@ def c04_detect_whole_text(spark, sf):
     )
 
 
+@query
+def c04_judged_on_other_rows(spark, sf):
+    """Profiles learn from two thirds of the reviews and are judged on the rest, all of them."""
+    rows = b.reviews_text(spark, sf)
+    profiles = language.train_profiles(rows.filter("doc_id % 3 <> 1"))
+    told = language.detect_language(rows.filter("doc_id % 3 = 1"), profiles)
+    return told.groupBy("lang", "detected_lang").agg(F.count(F.lit(1)).alias("reviews"))
+
+
 @query
 def c05_spam_regex(spark, sf):
     return b.reviews_text(spark, sf).select(

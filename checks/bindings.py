@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.config import FAILURE_MODES, THEMES, RuleSet
+from feedloom.functions.staging import Stage
 
 AS_OF = "2001-11-05"
 OWN_BRANDS = ("Brand#1", "Brand#2")
@@ -55,11 +56,13 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 def dealt(spark: SparkSession, sf_dir: str, name: str, key: str) -> DataFrame:
     """A table dealt out by a key that it is joined on later.
 
-    The driver stores every table in one file with one row group, which only one task can
-    read; only the columns that a query uses are dealt.
+    The driver stores most tables in one file with one row group, which only one task can
+    read; only the columns that a query uses are dealt. Tables of enough files are read as they lie.
     """
-    tasks = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return table(spark, sf_dir, name).repartition(tasks, key)
+    rows = table(spark, sf_dir, name)
+    if len(rows.inputFiles()) >= spark.sparkContext.defaultParallelism:
+        return rows
+    return rows.repartition(int(spark.conf.get("spark.sql.shuffle.partitions")), key)
 
 
 def product_name() -> Column:
@@ -135,9 +138,17 @@ def reviews_fact(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def reviews_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document as a raw review; `lang` is the known language."""
+def stored_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As `reviews_text`, for queries that read it several times: a table in one file is dealt once."""
     documents = dealt(spark, sf_dir, "documents", "doc_id")
+    if len(table(spark, sf_dir, "documents").inputFiles()) < spark.sparkContext.defaultParallelism:
+        documents = Stage(spark, "documents").write(documents)
+    return reviews_text(spark, sf_dir, documents)
+
+
+def reviews_text(spark: SparkSession, sf_dir: str, documents: DataFrame | None = None) -> DataFrame:
+    """Every document as a raw review; `lang` is the known language."""
+    documents = documents if documents is not None else dealt(spark, sf_dir, "documents", "doc_id")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     parts = table(spark, sf_dir, "part")
     doc = F.col("doc_id")

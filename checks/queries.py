@@ -250,14 +250,14 @@ def c02_dedup_exact(spark, sf):
 
 @query
 def c03_dedup_fuzzy(spark, sf):
-    rows = cleaning.drop_short(b.reviews_text(spark, sf))
+    rows = cleaning.drop_short(b.stored_text(spark, sf))
     return neardup.dedup_fuzzy(rows, ORDER).select("review_id")
 
 
 @query
 def c03_dedup_whole(spark, sf):
     """Heads and whole texts must both be close."""
-    rows = cleaning.drop_short(b.reviews_text(spark, sf))
+    rows = cleaning.drop_short(b.stored_text(spark, sf))
     return neardup.dedup_fuzzy(rows, ORDER, whole=True).select("review_id")
 
 
@@ -268,14 +268,14 @@ def c04_language_profiles(spark, sf):
 
 @query
 def c04_filter_language(spark, sf):
-    rows = b.reviews_text(spark, sf)
+    rows = b.stored_text(spark, sf)
     profiles = language.train_profiles(rows)
     return language.filter_language(rows, profiles).select("review_id", "lang")
 
 
 @query
 def c04_detect_whole_text(spark, sf):
-    rows = b.reviews_text(spark, sf)
+    rows = b.stored_text(spark, sf)
     profiles = language.train_profiles(rows)
     return language.detect_language(rows, profiles, chars=None).select(
         "review_id", "lang", "detected_lang"
@@ -285,7 +285,7 @@ def c04_detect_whole_text(spark, sf):
 @query
 def c04_judged_on_other_rows(spark, sf):
     """Profiles learn from two thirds of the reviews and are judged on the rest, all of them."""
-    rows = b.reviews_text(spark, sf)
+    rows = b.stored_text(spark, sf)
     profiles = language.train_profiles(rows.filter("doc_id % 3 <> 1"))
     told = language.detect_language(rows.filter("doc_id % 3 = 1"), profiles)
     return told.groupBy("lang", "detected_lang").agg(F.count(F.lit(1)).alias("reviews"))
@@ -329,14 +329,14 @@ def c10_normalize_text(spark, sf):
 
 @query
 def c11_cleaning_stats(spark, sf):
-    rows = b.reviews_text(spark, sf)
+    rows = b.stored_text(spark, sf)
     profiles = language.train_profiles(rows)
     return cleaning.cleaning_stats(rows, SETTINGS, profiles, ORDER, b.SPAM, b.SHIPPING, b.PRODUCT)
 
 
 @query
 def c12_clean(spark, sf):
-    rows = b.reviews_text(spark, sf)
+    rows = b.stored_text(spark, sf)
     profiles = language.train_profiles(rows)
     return cleaning.clean(
         rows, SETTINGS, profiles, ORDER, b.SPAM, b.SHIPPING, b.PRODUCT
@@ -414,7 +414,7 @@ def k06_split_cached(spark, sf):
 
 @query
 def k11_model_run(spark, sf):
-    rows = b.reviews_text(spark, sf).drop("lang")
+    rows = b.stored_text(spark, sf).drop("lang")
     cache = Stage(spark, "answers").folder
     # Half of the reviews first; the second run finds their answers in the cache.
     batch.classify_with_model(rows.filter("doc_id % 2 = 0"), rating_scorer, cache, 1e9, ("doc_id",), wave=1.0)
@@ -999,7 +999,7 @@ def d22_search_text(spark, sf):
 @query
 def d22_search_index(spark, sf):
     """Several needles, from one to thirty characters, looked up in one index."""
-    rows = b.reviews_text(spark, sf)
+    rows = b.stored_text(spark, sf)
     index = search.TextIndex(spark, Stage(spark, "search").folder).build(rows)
     found = [index.search(n).select(F.lit(n).alias("needle"), F.col("id").alias("review_id")) for n in b.NEEDLES]
     return reduce(DataFrame.unionByName, found)

@@ -9,6 +9,7 @@ from __future__ import annotations
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _SETTING = "spark.checkpoint.dir"
 _WAREHOUSE = "spark.sql.warehouse.dir"
@@ -25,6 +26,19 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{warehouse.rstrip('/')}/_staged"
 
 
+# Narrow rows (a key and a flag) that may be sent to every executor: some 50 MB.
+BROADCAST_ROWS = 500_000
+
+
+def sized(keys: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A staged table of keys with the join hint that its counted size allows.
+
+    Up to so many rows are broadcast, so that wide rows on the other side stay where they are;
+    beyond that both sides are shuffled and the keys are hashed.
+    """
+    return F.broadcast(keys) if keys.count() <= rows else keys.hint("shuffle_hash")
+
+
 class Stage:
     """A run's own sub-folder; every table written to it gets a fresh name."""
 

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..config import PRODUCT_PATTERNS, SHIPPING_PATTERNS, SPAM_PATTERNS, Settings
 from ..functions.numbers import ratio, round_even
+from ..functions.staging import sized
 from ..functions.text import collapse, let, matches_any, strip, words
 from .language import detector
 from .neardup import fates
@@ -125,7 +126,7 @@ def judge(
         body = text if settings.language_chars is None else F.substring(text, 1, settings.language_chars)
         foreign = F.coalesce(F.col("_lang") != settings.language, F.lit(False))
     # The language is told for rows that got so far only; short texts keep their null.
-    met = df.join(seen.hint("shuffle_hash"), F.col("review_id").cast("string") == F.col("_first"), "left")
+    met = df.join(sized(seen), F.col("review_id").cast("string") == F.col("_first"), "left")
     if profiles is not None:
         unique = F.coalesce(~F.col("near"), F.lit(False))
         met = met.withColumn("_lang", detector(profiles)(F.when(unique, body)))

@@ -36,7 +36,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..functions.staging import Stage
+from ..functions.staging import Stage, sized
 from ..functions.text import strip
 
 # Blocks of seven characters leave a head of 200 eight blocks to spare for common
@@ -478,9 +478,9 @@ def fates(
     )
 
     def bodies(nids: DataFrame) -> DataFrame:
-        ids = heads.join(nids, "nid", "left_semi").select("nid", F.col("id").alias("_id"))
+        ids = stage.write(heads.join(nids, "nid", "left_semi").select("nid", F.col("id").alias("_id")))
         texts = df.select(F.col(id_col).cast("string").alias("_id"), body.alias("body"))
-        return texts.join(ids.hint("shuffle_hash"), "_id").select("nid", "body")
+        return texts.join(sized(ids), "_id").select("nid", "body")
 
     nobody = F.lit(None).cast("long").alias("crowd")
     if whole:
@@ -514,7 +514,7 @@ def dedup_fuzzy(df: DataFrame, order=("date", "review_id"), id_col: str = "revie
     Jobs run when this function is called.
     """
     kept = fates(df, order, id_col=id_col, **options).filter(~F.col("near")).select(F.col("id").alias("_kept"))
-    return df.join(kept.hint("shuffle_hash"), F.col(id_col).cast("string") == F.col("_kept"), "left_semi")
+    return df.join(sized(kept), F.col(id_col).cast("string") == F.col("_kept"), "left_semi")
 
 
 def near_copy_ids(df: DataFrame, order=("date", "review_id"), **options) -> DataFrame:

@@ -288,8 +288,6 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     Every second one quotes the whole text, escaped as JSON.
     """
     doc = F.col("doc_id")
-    object_text = F.to_json(F.struct(F.coalesce("text", F.lit("")).alias("t")))
-    quoted = F.substring(object_text, F.lit(6), F.length(object_text) - 6)  # without {"t": and }
     theme = F.element_at(F.array(*[F.lit(t) for t in THEMES + ["weather"]]), (doc % 16 + 1).cast("int"))
     mood = F.element_at(
         F.array(*[F.lit(s) for s in ("positive", "negative", "mixed", "neutral", "angry")]),
@@ -310,7 +308,7 @@ def responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         doc % 2 == 0,
         F.concat(
             F.lit(', "key_phrases": ["n '), doc.cast("string"),
-            F.lit('", "m"], "has_actionable_signal": true, "actionable_detail": '), quoted,
+            F.lit('", "m"], "has_actionable_signal": true, "actionable_detail": '), quoted_text(),
         ),
     ).otherwise("")
     body = F.concat(
@@ -366,18 +364,24 @@ def two_passes(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
     return first.drop("helpful_votes"), second.drop("helpful_votes")
 
 
+def quoted_text() -> Column:
+    """The whole text as a JSON string, escaped."""
+    object_text = F.to_json(F.struct(F.coalesce("text", F.lit("")).alias("t")))
+    return F.substring(object_text, F.lit(6), F.length(object_text) - 6)  # without {"t": and }
+
+
 def answers(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Generated recommendation lists, one per part: plain, wrapped or broken."""
-    part = F.col("p_partkey")
+    """Generated recommendation lists, one per document, that quote it: plain, wrapped or broken."""
+    doc = F.col("doc_id")
+    size = F.col("n_chars").cast("string")
     body = F.concat(
-        F.lit('[{"brand": "'), F.col("p_brand"), F.lit('", "rank": 1}, {"brand": "x", "rank": '),
-        F.col("p_size").cast("string"), F.lit("}]"),
+        F.lit('[{"quote": '), quoted_text(), F.lit(', "rank": 1}, {"quote": "x", "rank": '), size, F.lit("}]")
     )
-    kind = part % 4
-    return table(spark, sf_dir, "part").select(
-        part.alias("id"),
+    kind = doc % 4
+    return dealt(spark, sf_dir, "documents", "doc_id").select(
+        doc.alias("id"),
         F.when(kind == 0, F.concat(F.lit("Sure: "), body, F.lit(" ok?")))
-        .when(kind == 1, F.substring(body, 1, 25))
+        .when(kind == 1, F.concat(F.lit('[{"quote": "cut, "rank": '), size))
         .otherwise(body)
         .alias("answer"),
     )

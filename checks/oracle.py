@@ -1407,11 +1407,9 @@ add(
 )
 add(
     "r06_parse_generated_lists",
-    """WITH a AS (SELECT p_partkey AS id, p_partkey % 4 = 1 AS bad, p_brand, p_size,
-      '[{"brand": "' || p_brand || '", "rank": 1}, {"brand": "x", "rank": ' || p_size::VARCHAR || '}]' AS body
-      FROM part)
+    """WITH a AS (SELECT doc_id AS id, doc_id % 4 = 1 AS bad, coalesce(text, '') AS text, n_chars::INT AS n FROM documents)
     SELECT id, 0 AS position, bad AS parse_error,
-      CASE WHEN bad THEN substring(body, 1, 25) END AS raw_response,
-      CASE WHEN NOT bad THEN p_brand END AS brand, CASE WHEN NOT bad THEN 1 END AS rank FROM a
-    UNION ALL SELECT id, 1, false, NULL, 'x', p_size FROM a WHERE NOT bad""",
+      CASE WHEN bad THEN '[{"quote": "cut, "rank": ' || n::VARCHAR END AS raw_response,
+      CASE WHEN NOT bad THEN text END AS quote, CASE WHEN NOT bad THEN 1 END AS rank FROM a
+    UNION ALL SELECT id, 1, false, NULL, 'x', n FROM a WHERE NOT bad""",
 )

@@ -1105,7 +1105,7 @@ def r06_parse_generated_lists(spark, sf):
     rows = evidence.recommendation_rows(b.answers(spark, sf))
     return rows.select(
         "id", "position", "parse_error", "raw_response",
-        F.try_variant_get("item", "$.brand", "string").alias("brand"),
+        F.try_variant_get("item", "$.quote", "string").alias("quote"),
         F.try_variant_get("item", "$.rank", "int").alias("rank"),
     )
 

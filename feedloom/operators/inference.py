@@ -137,7 +137,8 @@ def infer(
         scorer = make_scorer()
         for prompts in parts:
             rows = answer_in_order(scorer, list(prompts), batch, in_flight, **options)
-            yield pd.DataFrame(rows, columns=["response", "failed_reason", "attempts"]).astype({"response": object, "failed_reason": object, "attempts": "int32"})
+            frame = pd.DataFrame(rows, columns=["response", "failed_reason", "attempts"], dtype=object)
+            yield frame.astype({"attempts": "int32"})
 
     ask = answer.asNondeterministic()  # never copied or repeated by the optimizer
     dealt = df if tasks is None else df.repartition(tasks)

@@ -11,7 +11,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from feedloom.config import FAILURE_MODES, THEMES, RuleSet
-from feedloom.functions.staging import Stage
+from feedloom.functions.staging import Stage, sized
 
 AS_OF = "2001-11-05"
 OWN_BRANDS = ("Brand#1", "Brand#2")
@@ -153,7 +153,7 @@ def reviews_text(spark: SparkSession, sf_dir: str, documents: DataFrame | None =
     parts = table(spark, sf_dir, "part")
     doc = F.col("doc_id")
     return (
-        documents.join(labels, "doc_id", "left")
+        documents.join(sized(labels), "doc_id", "left")  # else all texts are shuffled to meet a flag
         .withColumn("_part", doc % 200)
         .join(parts, F.col("_part") == F.col("p_partkey"))
         .select(

@@ -208,3 +208,44 @@ def test_fates_list_the_first_of_every_text(raw):
         rows = {r["id"]: r["near"] for r in neardup.fates(df, order=("review_id",), whole=whole).collect()}
         assert rows == {"r000": False, "r002": True, "r003": False}
     assert neardup.fates(df.limit(0), order=("review_id",)).count() == 0
+
+
+def test_marks_differ_in_no_more_bits_than_edits(spark):
+    rng = random.Random(31)
+    rows = []
+    for i in range(300):
+        a = "".join(rng.choice("abcdefgh éß漢\U0001f600") for _ in range(rng.randrange(0, 200)))
+        chars, edits = list(a), rng.randrange(0, 25)
+        for _ in range(edits):
+            if chars and rng.random() < 0.5:
+                del chars[rng.randrange(len(chars))]
+            else:
+                chars.insert(rng.randrange(len(chars) + 1), rng.choice("abcé漢x"))
+        rows.append((a, "".join(chars), edits))
+    df = spark.createDataFrame(rows, "a string, b string, edits int").withColumns(
+        {"x": neardup.marks(F.col("a")), "y": neardup.marks(F.col("b"))}
+    )
+    apart = sum(F.bit_count(F.col(f"x.{m}").bitwiseXOR(F.col(f"y.{m}"))) for m in neardup.MARKS)
+    assert df.filter(apart > F.col("edits")).count() == 0
+    assert df.filter(apart > 0).count() > 200
+
+
+@pytest.mark.parametrize("hot", [1000, 20])
+def test_unrelated_heads_of_one_opening_are_not_verified(raw, monkeypatch, hot):
+    """What is verified follows the near pairs, not the square of the heads behind one opening."""
+    rng = random.Random(37)
+    draw = lambda n: "".join(rng.choice("abcdefghijklmnopqrs ") for _ in range(n))
+    opening = draw(75)
+    texts = [opening + draw(150) for _ in range(150)]
+    texts += [edited(rng, texts[i], 3) for i in range(5)]
+    seen, plain = [], neardup._verify
+
+    def counted(pairs, *args):
+        pairs = pairs.localCheckpoint()
+        seen.append(pairs.count())
+        return plain(pairs, *args)
+
+    monkeypatch.setattr(neardup, "_verify", counted)
+    df = raw(*({"review_id": f"r{i:03d}", "review_text": "z" + t + "z"} for i, t in enumerate(texts)))
+    assert ids(dedup_fuzzy(df, order=("review_id",), hot=hot)) == [f"r{i:03d}" for i in range(150)]
+    assert 5 <= sum(seen) <= 50

@@ -112,6 +112,7 @@ def infer(
     retries: int = 0,
     pause: float = 0.0,
     timeout: float | None = None,
+    keep_prompt: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """Answer every prompt; return the answered rows and the failed ones.
 
@@ -119,7 +120,7 @@ def infer(
     which is called with up to `batch` prompts, from up to `in_flight` threads at a time. With
     `tasks` the prompts are dealt out to that many tasks, so a job has at most `tasks * in_flight`
     calls open. `answer_all` says what happens to prompts that fail; rows get `attempts`.
-    Only the prompt column travels to Python. Calls cost money, so they are made when this
+    Only the prompt column travels to Python, and without `keep_prompt` it is not written down. Calls cost money, so they are made when this
     function is called and the answers are written down once before they are split.
     """
 
@@ -142,8 +143,9 @@ def infer(
 
     ask = answer.asNondeterministic()  # never copied or repeated by the optimizer
     dealt = df if tasks is None else df.repartition(tasks)
+    kept = [c for c in df.columns if keep_prompt or c != prompt]
     scored = Stage(df.sparkSession, "answers").write(
-        dealt.withColumn("_answer", ask(F.col(prompt))).select(*df.columns, "_answer.*")
+        dealt.withColumn("_answer", ask(F.col(prompt))).select(*kept, "_answer.*")
     )
     failed = F.col("failed_reason").isNotNull()
     return scored.filter(~failed), scored.filter(failed)
@@ -321,6 +323,7 @@ def infer_within_budget(
     answer_tokens: Callable[[Column], Column] = tokens_of,
     prices=None,
     default=UNKNOWN_PRICE,
+    prompts: Callable[[DataFrame], DataFrame] | None = None,
     **options,
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Ask in waves until the money that was really spent reaches the budget.
@@ -330,7 +333,9 @@ def infer_within_budget(
     what is left of it; when it is answered, the tokens of its answers say what it cost, and the
     next wave is released. So more is spent than allowed by at most what one wave costs beyond its
     estimate, and by its last call. Failed calls cost nothing. Returns the answered calls with their actual
-    output_tokens and cost_usd, the failed calls and those never asked. Runs jobs when called.
+    output_tokens and cost_usd, the failed calls and those never asked. With `prompts`, which adds the
+    prompts to released calls, `calls` and what is returned have none, so that they are not moved
+    with the plan of the waves. Runs jobs when called.
     """
     stage = Stage(calls.sparkSession, "waves")
     line = stage.write(running_cost(call_cost(calls, prices, default), order))
@@ -345,7 +350,9 @@ def infer_within_budget(
             break
         end = start + min(share, max(limit - spent, decimal.Decimal("1e-9")))
         released = line.filter((place >= F.lit(start)) & (place < F.lit(end)))
-        good, bad = infer(released, make_scorer, **options)
+        if prompts is not None:
+            released = prompts(released)
+        good, bad = infer(released, make_scorer, keep_prompt=prompts is None, **options)
         good = stage.write(
             call_cost(good.withColumn("output_tokens", answer_tokens(F.col("response"))), prices, default)
         )

@@ -113,25 +113,35 @@ def classify_with_model(
     asks only what it has no answer for and stores nothing twice. Equal prompts share a call. Calls are
     made in the order of the first review that needs them, in waves, until the money spent reaches the budget;
     tokens are estimated as a quarter of the characters, 200 for an answer that has not come yet.
-    Options go to `infer_within_budget` and `infer`. Runs jobs when called.
+    Options go to `infer_within_budget` and `infer`. Prompts are made anew from the reviews when their calls
+    are released, so keys, estimates and places are planned with and the texts stay where they are. Runs
+    jobs when called.
     """
     spark = df.sparkSession
     stage = Stage(spark, "model")
     cache = cache if isinstance(cache, inference.AnswerCache) else inference.AnswerCache(spark, cache)
     routed = route(df) if hedges is None else route(df, hedges=hedges)
-    asked = stage.write(inference.with_cache_key(with_prompt(routed)))
+    keyed = inference.with_cache_key(with_prompt(routed))
+    asked = stage.write(keyed.withColumn("_tokens", inference.tokens_of(F.col("prompt"))).drop("prompt"))
     place = F.min(F.struct(*order)).alias("place")
     wanted = stage.write(
-        asked.groupBy("cache_key").agg(F.any_value("model").alias("model"), F.any_value("prompt").alias("prompt"), place)
+        asked.groupBy("cache_key").agg(
+            F.any_value("model").alias("model"), F.any_value("_tokens").alias("input_tokens"), place
+        )
     )
     # The cache is read once, for these keys; its buckets stay where they are.
     known = stage.write(inference.split_cached(wanted.select("cache_key"), cache.read())[0])
-    calls = (
-        wanted.join(known, "cache_key", "left_anti")
-        .withColumn("input_tokens", inference.tokens_of(F.col("prompt")))
-        .withColumn("output_tokens", F.lit(200).cast("long"))
-    )
-    answered, failed, _ = inference.infer_within_budget(calls, make_scorer, budget, ["place"], **options)
+    calls = wanted.join(known, "cache_key", "left_anti").withColumn("output_tokens", F.lit(200).cast("long"))
+
+    def prompts(released: DataFrame) -> DataFrame:
+        """Released calls with the prompt of the first review that needs them; texts are shuffled once."""
+        first = with_prompt(asked).select("cache_key", "prompt", F.struct(*order).alias("place"))
+        plan = {c: F.any_value(c).alias(c) for c in released.columns if c != "cache_key"}
+        same = (first["cache_key"] == released["cache_key"]) & first["place"].eqNullSafe(released["place"])
+        met = first.join(released.hint("shuffle_hash"), same).select(*[released[c] for c in released.columns], "prompt")
+        return met.groupBy("cache_key").agg(*plan.values(), F.any_value("prompt").alias("prompt"))
+
+    answered, failed, _ = inference.infer_within_budget(calls, make_scorer, budget, ["place"], prompts=prompts, **options)
     cache.add(batch_id or uuid.uuid4().hex, answered)
     responses = known.select("cache_key", "response").unionByName(answered.select("cache_key", "response"))
     failures = failed.select("cache_key", F.col("failed_reason").alias("call_failed"))
@@ -143,7 +153,7 @@ def classify_with_model(
     )
     rows = stage.write(
         rows.withColumn("failed_reason", F.coalesce(unanswered, F.col("failed_reason"))).drop(
-            "call_failed", "prompt", "cache_key", "response", "model"
+            "call_failed", "cache_key", "response", "model", "_tokens"
         )
     )
     fine = F.col("failed_reason").isNull()

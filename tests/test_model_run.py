@@ -232,3 +232,20 @@ def test_a_batch_with_a_model_writes_every_row(reviews, spark, tmp_path):
     assert checks["sentiment"] == (2, "PASS")
     assert spark.read.json(f"{out}/evidence/brief_vacuums_Ours_issues").first()["brand"] == "Ours"
     assert os.path.isdir(f"{out}/evidence/brief_vacuums_Ours_context")
+
+
+def test_texts_are_not_written_with_the_plan_of_the_calls(raw, tmp_path, monkeypatch):
+    """Of all staged tables only the reviews and the result hold texts; equal prompts still share a call."""
+    written, plain = [], inference.Stage.write
+
+    def write(self, df):
+        written.append(set(df.columns))
+        return plain(self, df)
+
+    monkeypatch.setattr(inference.Stage, "write", write)
+    df = raw({"review_text": "one and the same"}, {"review_text": "one and the same"}, {"review_text": "another one"})
+    df = df.unionByName(df.limit(1))  # an id and its review may come twice
+    fine, failed, paid = batch.classify_with_model(df, lambda: lambda ps: [ANSWER for _ in ps], str(tmp_path / "c"), 1e9)
+    assert ids(fine) == ["r000", "r000", "r001", "r002"] and failed.count() == 0 and paid.count() == 2
+    assert not any("prompt" in columns for columns in written)
+    assert sum("review_text" in columns for columns in written) == 2

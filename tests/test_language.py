@@ -1,8 +1,10 @@
 """Trigram profiles: scores against a plain sum, held-out rows, ties and unknown letters."""
 
 import math
+import tracemalloc
 from collections import Counter
 
+import pyarrow as pa
 import pytest
 from feedloom.operators import language
 from pyspark.sql import functions as F
@@ -70,3 +72,22 @@ def test_unknown_and_equal(spark):
     assert [r["detected_lang"] for r in language.detect_language(texts, profiles).collect()] == ["a", None, None, None, None, None]
     assert [r["detected_lang"] for r in language.detect_language(texts, profiles.limit(0)).collect()] == [None] * 6
     assert language.filter_language(texts, profiles, "b").count() == 5
+
+
+def test_texts_become_python_strings_a_part_at_a_time(monkeypatch):
+    """Memory follows the characters that are scored at once, not those of an Arrow batch."""
+    monkeypatch.setattr(language, "CHARS_AT_ONCE", 5_000)
+    rows = [("a", "abc", 1500), ("b", "xyz", 1500)]
+    scorer, held = language.Scorer(rows), []
+    best = scorer.best
+    scorer.best = lambda texts: held.append(sum(map(len, texts))) or best(texts)
+    texts = pa.array(["abc " * 500, "xyz " * 500, None, "", "123"] * 2000)
+    tracemalloc.start()
+    try:
+        found = scorer.languages(texts)
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert found == ["a", "b", None, None, None] * 2000
+    assert max(held) <= 5_000 + 2_002 and sum(held) == 2_000 * (2_002 + 2_002 + 2 + 2 + 5)
+    assert peak < 2_000_000 < texts.nbytes

@@ -163,3 +163,12 @@ def test_cleaning_keeps_different_texts_after_one_opening(raw):
         for whole in (False, True)
     ]
     assert kept == [["r000"], ["r000", "r001"]]
+
+
+def test_ends_are_stripped_of_the_same_characters(spark):
+    from feedloom.functions.text import strip, strip_ends
+
+    codes = [c for c in range(0x10000) if not 0xD800 <= c <= 0xDFFF] + [0x1F600]
+    rows = [(chr(c) + "aé b" + chr(c) * 2,) for c in codes] + [("",), ("  　",), (None,)]
+    df = spark.createDataFrame(rows, "t string")
+    assert df.filter(~strip(F.col("t")).eqNullSafe(strip_ends(F.col("t")))).count() == 0

@@ -249,3 +249,51 @@ def test_unrelated_heads_of_one_opening_are_not_verified(raw, monkeypatch, hot):
     df = raw(*({"review_id": f"r{i:03d}", "review_text": "z" + t + "z"} for i, t in enumerate(texts)))
     assert ids(dedup_fuzzy(df, order=("review_id",), hot=hot)) == [f"r{i:03d}" for i in range(150)]
     assert 5 <= sum(seen) <= 50
+
+
+@pytest.mark.parametrize("hot,first_rows", [(1000, 1), (2, 10)])
+def test_portions_decide_as_the_whole_table_does(raw, hot, first_rows):
+    rng = random.Random(41)
+    draw = lambda n: "".join(rng.choice("abcdefghijklmnop ") for _ in range(n))
+    opening = draw(205)
+    bodies = [opening + draw(rng.choice([0, 60, 200])) for _ in range(8)] + [draw(rng.choice([30, 150, 300])) for _ in range(8)]
+    bodies += [edited(rng, rng.choice(bodies), rng.randrange(0, 9)) for _ in range(40)]
+    rng.shuffle(bodies)
+    texts = [(f"r{i:03d}", "z" + t + "z") for i, t in enumerate(bodies)]
+    df = raw(*({"review_id": k, "review_text": t} for k, t in texts))
+    assert ids(dedup_fuzzy(df, order=("review_id",), hot=hot, first_rows=first_rows)) == brute(texts)
+    got = ids(dedup_fuzzy(df, order=("review_id",), hot=hot, crowd=3, whole=True, first_rows=first_rows))
+    assert got == brute_whole(texts)
+
+
+def test_pairs_of_a_family_follow_its_copies(raw, monkeypatch):
+    """Near-copies of one text are compared with what is kept of it, not all with each other."""
+    rng = random.Random(43)
+    base = "".join(rng.choice("abcdefghijklmnop ") for _ in range(320))
+    texts = [("r000", "z" + base + "z")] + [(f"r{i:03d}", "z" + edited(rng, base, 3) + "z") for i in range(1, 160)]
+    seen, plain = [], neardup._confirm
+
+    def counted(pairs, *args):
+        pairs = pairs.localCheckpoint()
+        seen.append(pairs.count())
+        return plain(pairs, *args)
+
+    monkeypatch.setattr(neardup, "_confirm", counted)
+    df = raw(*({"review_id": k, "review_text": t} for k, t in texts))
+    assert ids(dedup_fuzzy(df, order=("review_id",), whole=True, first_rows=10)) == ["r000"]
+    assert sum(seen) < 160 * 159 / 4
+
+
+def test_sizes_that_can_be_close_share_a_step(spark):
+    n = F.col("id").cast("int")
+    for percent in (95, 80, 99):
+        rows = spark.range(1, 3000).select(
+            n.alias("n"),
+            neardup.longest(n, percent, 1 << 30).alias("most"),
+            neardup.span(n, percent).alias("own"),
+            neardup.span(neardup.longest(n, percent, 1 << 30), percent).alias("high"),
+            neardup.span(neardup.shortest(n, percent), percent).alias("low"),
+        ).collect()
+        own = {r["n"]: r["own"] for r in rows}
+        assert all(r["high"] - r["low"] <= 1 for r in rows if r["n"] > 60)
+        assert all(r["low"] <= own.get(m, r["low"]) <= r["high"] for r in rows for m in (r["n"], r["most"], (r["n"] + r["most"]) // 2))

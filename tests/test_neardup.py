@@ -297,3 +297,34 @@ def test_sizes_that_can_be_close_share_a_step(spark):
         own = {r["n"]: r["own"] for r in rows}
         assert all(r["high"] - r["low"] <= 1 for r in rows if r["n"] > 60)
         assert all(r["low"] <= own.get(m, r["low"]) <= r["high"] for r in rows for m in (r["n"], r["most"], (r["n"] + r["most"]) // 2))
+
+
+def test_heads_are_looked_up_by_their_rarest_blocks(raw, monkeypatch):
+    """Fewer than half of the substrings of a head are joined, and no close pair is missed."""
+    rng = random.Random(47)
+    bodies = ["".join(rng.choice("abcdefghijklmnop ") for _ in range(220)) for _ in range(40)]
+    bodies += [edited(rng, t, rng.randrange(0, 14)) for t in bodies]
+    texts = [(f"r{i:03d}", "z" + t + "z") for i, t in enumerate(bodies)]
+    seen, plain = [], neardup._meet
+
+    def counted(probe, *args, **options):
+        seen.append(probe.count())
+        return plain(probe, *args, **options)
+
+    monkeypatch.setattr(neardup, "_meet", counted)
+    df = raw(*({"review_id": k, "review_text": t} for k, t in texts))
+    assert ids(dedup_fuzzy(df, order=("review_id",))) == brute(texts)
+    assert 20 * len(texts) <= sum(seen) <= 97 * len(texts)
+
+
+def test_plans_of_heads_are_those_of_columns(spark):
+    n = F.col("id").cast("int")
+    for percent, head in ((95, 200), (80, 200), (99, 1000)):
+        rows = spark.range(1, head + 1).select(
+            n.alias("n"), neardup.needed(n, percent, head).alias("need"), neardup.width(n, percent, head).alias("w"),
+            neardup.shortest(n, percent).alias("low"), neardup.longest(n, percent, head).alias("high"),
+        ).collect()
+        width = {r["n"]: r["w"] for r in rows}
+        for r in rows:
+            widths = {width[m] for m in range(r["low"], r["high"] + 1) if width[m] <= r["n"]}
+            assert neardup.head_plan(r["n"], percent, head) == (r["need"], tuple(sorted(widths)))
